@@ -13,7 +13,7 @@ from .patterns import LogFormat, get_format
 
 # Separator and match marker used to carry all capture groups of one regex match
 # through a single regexp_replace (see regex_groups).
-_SEP = "\u0000\u0001"
+_SEP = "\u0001"
 _MARK = "\u0002"
 
 
@@ -21,31 +21,34 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def regex_groups(col: str | Column, pattern: str, n_groups: int) -> Column:
+def _wrapped(pattern: str, n_groups: int) -> tuple[str, str]:
+    wrapped = "^[\\s\\S]*?(" + pattern + ")[\\s\\S]*$"
+    repl = _MARK + _SEP.join(f"${i}" for i in range(1, n_groups + 2))
+    return wrapped, repl
+
+
+def regex_match(col: str | Column, pattern: str, n_groups: int) -> Column:
     """All capture groups of the first match of ``pattern`` in one regex pass.
 
-    Returns ``array<string>`` of length ``n_groups + 1``: element 0 is the whole
-    match, element i is group i. A line without a match gives empty strings, as
-    ``regexp_extract`` does. The pattern is wrapped as ``^lazy-prefix (P) rest$``;
-    the lazy prefix tries start positions left to right exactly like ``find``,
-    so the groups are those of ``regexp_extract(col, pattern, i)`` — but the line
-    is scanned once instead of once per group.
+    Returns ``array<string>`` of length ``n_groups + 1`` (element 0 = whole match,
+    element i = group i, '' for a group that took no part), or null when the
+    pattern is not found or the input is null. The pattern is wrapped as
+    ``^lazy-prefix (P) rest$``: the lazy prefix tries start positions left to
+    right exactly like ``find``, so the groups equal ``regexp_extract(col, pattern, i)``,
+    but the line is scanned once instead of once per group.
     """
-    wrapped = "^[\\s\\S]*?(" + pattern + ")[\\s\\S]*$"
-    repl = _MARK + _SEP.join(f"${i}" for i in range(1, n_groups + 2))
+    wrapped, repl = _wrapped(pattern, n_groups)
     replaced = F.regexp_replace(_c(col), F.lit(wrapped), F.lit(repl))
     body = replaced.substr(F.lit(2), F.length(replaced))
-    return (F.when(_c(col).isNull(), F.lit(None))
-            .when(replaced.startswith(_MARK), F.split(body, _SEP, -1))
-            .otherwise(F.array_repeat(F.lit(""), n_groups + 1)))
+    return F.when(replaced.startswith(_MARK), F.split(body, _SEP, -1))
 
 
-def regex_matched(col: str | Column, pattern: str, n_groups: int) -> Column:
-    """True when ``pattern`` is found in ``col``; shares the regex pass of regex_groups."""
-    wrapped = "^[\\s\\S]*?(" + pattern + ")[\\s\\S]*$"
-    repl = _MARK + _SEP.join(f"${i}" for i in range(1, n_groups + 2))
-    replaced = F.regexp_replace(_c(col), F.lit(wrapped), F.lit(repl))
-    return replaced.startswith(_MARK)
+def regex_groups(col: str | Column, pattern: str, n_groups: int) -> Column:
+    """``regex_match`` with ``regexp_extract``'s conventions: '' for every group when
+    there is no match, null for a null input."""
+    return (F.when(_c(col).isNull(), F.lit(None))
+            .otherwise(F.coalesce(regex_match(col, pattern, n_groups),
+                                  F.array_repeat(F.lit(""), n_groups + 1))))
 
 
 def log_matches(col: str | Column, fmt: str | LogFormat) -> Column:

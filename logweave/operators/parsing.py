@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.columns import (non_negative, regex_groups, regex_matched, split_get,
-                                to_double_array)
+from ..functions.columns import non_negative, regex_match, split_get, to_double_array
 from ..functions.patterns import CLAIM_PHRASE, LogFormat, get_format
 
 
@@ -26,18 +25,28 @@ def parse_log(df: DataFrame, col: str, fmt: str | LogFormat,
 
     ``groups`` are 1-based group numbers (0 = whole match); default = the groups
     the original job emitted. A line that does not match gives ``''`` in every
-    field (and ``matched = false``), like ``regexp_extract``.
+    field (and ``matched = false``), like ``regexp_extract``; a null line gives nulls.
+
+    The regex runs once per line: the match goes through a one-element
+    ``explode`` (a Generate node). Without it, Catalyst would copy the parse
+    expression into every pushed-down filter predicate on the fields and match
+    each line several times.
     """
     f = get_format(fmt)
     groups = tuple(f.default_groups if groups is None else groups)
-    g = regex_groups(col, f.pattern, f.n_groups)
     names = ["match" if i == 0 else f.groups[i - 1] for i in groups]
-    out = [(F.trim(g[i]) if trim else g[i]).alias(n) for i, n in zip(groups, names)]
     keep_cols = [F.col(c) for c in (keep if keep is not None else df.columns)]
-    sel = keep_cols + out
+    m = F.struct(regex_match(col, f.pattern, f.n_groups).alias("g"), F.col(col).isNull().alias("n"))
+    x = df.select(*keep_cols, F.explode(F.array(m)).alias("_m"))
+    out = []
+    for i, n in zip(groups, names):
+        v = F.coalesce(F.col("_m.g")[i], F.lit(""))
+        v = F.trim(v) if trim else v
+        out.append(F.when(F.col("_m.n"), F.lit(None).cast("string")).otherwise(v).alias(n))
+    sel = [F.col(name) for name in (keep if keep is not None else df.columns)] + out
     if matched_col:
-        sel.append(regex_matched(col, f.pattern, f.n_groups).alias(matched_col))
-    return df.select(*sel)
+        sel.append(F.col("_m.g").isNotNull().alias(matched_col))
+    return x.select(*sel)
 
 
 # --------------------------------------------------------------------------- F1/F2

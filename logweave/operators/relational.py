@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import CLAIM_PHRASE
+from ..session import cut_lineage
 from .parsing import claim_columns, drop_unparsed, filter_contains_any, is_claim, parse_log
 
 
@@ -41,6 +42,9 @@ def usage_by_user(logs: DataFrame, users: DataFrame, *, line: str = "line",
     totals = p.groupBy("user_id").agg(F.sum(memory).alias("memory_mb"),
                                       F.sum(disk).alias("disk_gb"),
                                       F.count(F.lit(1)).alias("n_claims"))
+    # one row per user, written to the checkpoint dir: the lines are read and parsed
+    # once, and the contains-filter below works on the small table only
+    totals = cut_lineage(totals)
     totals = filter_contains_any(totals, "user_id", users, user_key)
     named = with_user_name(totals, users, "user_id", user_key, user_name)
     named = named.select("user_id", user_name, "memory_mb", "disk_gb", "n_claims")
