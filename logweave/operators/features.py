@@ -100,8 +100,15 @@ def tokenizer(input_col: str = "text", output_col: str = "words") -> RegexTokeni
 
 # --------------------------------------------------------------------------- V2/V3/V4
 def term_freq(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Exact (doc, term, tf) long form — partial aggregation per (doc, term)."""
-    return (df.select(doc, F.explode(words(text)).alias("term"))
+    """Exact (doc, term, tf) long form.
+
+    Documents are hash-partitioned by id *before* tokenising: the (doc, term)
+    aggregation is then already clustered (a partitioning on ``doc`` satisfies a
+    grouping on ``(doc, term)``), so the only shuffle moves raw text — not one
+    row per token — and tokenising runs on all cores.
+    """
+    return (df.select(doc, text).repartition(F.col(doc))
+            .select(doc, F.explode(words(text)).alias("term"))
             .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

@@ -104,10 +104,8 @@ def nb_fit_terms(tf: DataFrame, labels: DataFrame, doc: str = "doc_id", label: s
     a = float(smoothing)
     lt = tf.join(labels.select(doc, label), doc)
     docs = labels.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    n_docs = labels.count()
-    n_cls = docs.count()
-    vocab = tf.select("term").distinct()
-    v = vocab.count()
+    n_docs, n_cls = labels.agg(F.count(F.lit(1)), F.countDistinct(label)).first()
+    v = tf.agg(F.countDistinct("term")).first()[0]
     ct = lt.groupBy(label, "term").agg(F.sum("tf").alias("tf_ct"))
     cls = ct.groupBy(label).agg(F.sum("tf_ct").alias("tf_c"))
     priors = (docs.join(cls, label, "left").fillna({"tf_c": 0})

@@ -13,7 +13,7 @@ from ..operators import evaluate as E
 from ..operators import features as V
 from ..operators import learn as L
 from ..operators.split import split
-from ..session import read_table
+from ..session import cut_lineage, read_table
 from .registry import query
 
 NB_SEED = 12345
@@ -25,7 +25,8 @@ def _labeled_tf(spark: SparkSession, sf: str):
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     lab = read_table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     train, test = split(lab, [0.6, 0.4], "doc_id", NB_SEED)
-    tf = V.term_freq(docs.join(lab, "doc_id", "left_semi"))
+    # the term table feeds several aggregates: tokenise once, keep it in the checkpoint dir
+    tf = cut_lineage(V.term_freq(docs.join(lab, "doc_id", "left_semi")))
     return tf, train, test
 
 

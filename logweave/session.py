@@ -65,5 +65,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows when the input has fewer partitions than task slots.
+
+    A large input already has many partitions and is returned unchanged; a small
+    or unsplittable file (one row group = one scan task) is spread so that the
+    CPU-heavy narrow work after it (regexes, tokenising) uses every core.
+    Only the partition count is inspected; no job runs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if parallel else df
