@@ -147,6 +147,24 @@ def term_index(term: str, num_features: int = 1 << 18) -> int:
     return HashingTF(numFeatures=num_features).indexOf(term)
 
 
+def hash_slot(term: F.Column, num_features: int = 1 << 18) -> F.Column:
+    """Hashing-trick slot of a term as a native expression: Spark SQL's murmur3
+    ``hash`` (seed 42), non-negative modulo the width. It is not the slot
+    ``ml.feature.HashingTF`` picks (that one uses a corrected murmur3 variant);
+    use ``hashing_tf`` when the slots must line up with an ML pipeline."""
+    return F.pmod(F.hash(term), F.lit(num_features))
+
+
+def hashed_term_freq(df: DataFrame, doc: str = "doc_id", text: str = "text",
+                     num_features: int = 1 << 18) -> DataFrame:
+    """Hashed TF in long form (doc, slot, tf), slots from ``hash_slot``: a sparse
+    term-count vector per document, kept as rows so it can be joined and grouped."""
+    return (df.select(doc, text).repartition(F.col(doc))
+            .select(doc, F.explode(words(text)).alias("_t"))
+            .select(doc, hash_slot(F.col("_t"), num_features).alias("slot"))
+            .groupBy(doc, "slot").agg(F.count(F.lit(1)).alias("tf")))
+
+
 def text_pipeline(text: str = "text", num_features: int = 500_000, min_doc_freq: int = 0,
                   out: str = "features") -> Pipeline:
     """tokenise -> hashed TF -> IDF, fitted on training and reused on test."""

@@ -117,8 +117,10 @@ def parse_edges(df: DataFrame, col: str = "line", sep: str = " ") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- P4
-def parse_category_text(df: DataFrame, col: str = "line", sep: str = ",") -> DataFrame:
-    return df.select(split_get(col, sep, 0).alias("category"),
+def parse_category_text(df: DataFrame, col: str = "line", sep: str = ",",
+                        keep: Sequence[str] = ()) -> DataFrame:
+    """First two comma fields: (category, text); the rest of the line is ignored."""
+    return df.select(*keep, split_get(col, sep, 0).alias("category"),
                      split_get(col, sep, 1).alias("text"))
 
 

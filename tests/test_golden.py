@@ -339,3 +339,42 @@ def test_streaming_parse_and_totals(spark, tmp_dir):
     q.stop()
     r = spark.sql("select * from usage_stream_test").collect()
     assert [(x.user_id, x.memory_mb, x.disk_gb, x.n_claims) for x in r] == [("u0001", 3048, 40, 2)]
+
+
+def test_hashed_long_form_matches_vector_counts(spark):
+    docs = spark.createDataFrame([(0, "a b a été"), (1, ""), (2, "x " * 30)], "doc_id int, text string")
+    h = V.hashed_term_freq(docs, num_features=16)
+    got = {}
+    for r in h.collect():
+        assert 0 <= r.slot < 16
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.tf
+    toks = V.tokenizer("text", "w").transform(docs)
+    vec = HashingTF(inputCol="w", outputCol="v", numFeatures=16).transform(toks)
+    assert got == {r.doc_id: int(sum(r.v.values)) for r in vec.collect() if r.v.numNonzeros() > 0}
+    assert V.term_index("is", 1 << 18) == HashingTF(numFeatures=1 << 18).indexOf("is")
+
+
+def test_sources_read_back(spark, tmp_dir):
+    import os
+    from logweave.sources import read_delimited, read_documents, read_libsvm, read_lines
+    p = os.path.join(tmp_dir, "lines.txt")
+    with open(p, "w") as fh:
+        fh.write("1.0,1 2\n0.0,3 4\n")
+    lines = read_lines(spark, p)
+    assert [r.line for r in lines.collect()] == ["1.0,1 2", "0.0,3 4"]
+    assert P.parse_labeled(lines).count() == 2
+    svm = os.path.join(tmp_dir, "data.libsvm")
+    with open(svm, "w") as fh:
+        fh.write("1 1:0.5 3:2.0\n0 2:1.0\n")
+    d = read_libsvm(spark, svm, num_features=3).orderBy("label").collect()
+    assert d[1].label == 1.0 and list(d[1].features.toArray()) == [0.5, 0.0, 2.0]
+    js = os.path.join(tmp_dir, "docs.json")
+    with open(js, "w") as fh:
+        fh.write('{"message": "m1", "host": "h", "@version": "1", "extra": 5}\n{"message": "m2"}\n')
+    docs = read_documents(spark, js, "json", schema="message string, host string, `@version` string")
+    assert docs.columns == ["message", "host", "@version"] and docs.count() == 2
+    csv = os.path.join(tmp_dir, "r.csv")
+    with open(csv, "w") as fh:
+        fh.write("a,1\nb,x\n")
+    r = read_delimited(spark, csv, "k string, v int").orderBy("k").collect()
+    assert (r[0].v, r[1].v) == (1, None)
