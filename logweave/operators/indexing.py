@@ -26,7 +26,9 @@ def with_row_id(df: DataFrame, order: Sequence[str | Column] | None = None, out:
     """Add ``out`` = 0, 1, 2, ... in ``order`` (or in the current partition order)."""
     base = df
     if order:
-        n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+        spark = df.sparkSession
+        n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                  spark.sparkContext.defaultParallelism)
         base = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ided = cut_lineage(base.withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), _LOW_BITS)

@@ -181,18 +181,24 @@ def _sigmoid(m):
 
 def newton_boost(train: DataFrame, test: DataFrame | None = None, *, features: str = "features",
                  label: str = "label", rounds: int = 1, eta: float = 1.0, depth: int = 2,
-                 lam: float = 1.0, init_margin: str | None = None, seed: int = 0):
+                 lam: float = 1.0, init_margin: str | None = None, seed: int = 0,
+                 checkpoint_interval: int = 5):
     """Second-order boosting with logistic loss.
 
     Per round: gradient g = p - y and hessian h = p(1-p) at the current margin;
     a regression tree is fitted to -g/h with weight h (Spark ML tree, leaf ids via
     ``leafCol``); each leaf's value is -sum(g)/(sum(h)+lam) from a grouped
-    aggregate; margins move by eta * leaf value. Splits use the weighted variance
-    gain, which equals the Newton gain at lam = 0; lam shrinks leaf values.
-    Starting margins come from ``init_margin`` (continue boosting) or 0.
+    aggregate (at most 2^depth rows, broadcast); margins move by eta * leaf value.
+    Splits use the weighted variance gain, which equals the Newton gain at lam = 0;
+    lam shrinks leaf values. Starting margins come from ``init_margin`` (continue
+    boosting) or 0.
 
-    Returns (train_with_margin, test_with_margin or None, metrics DataFrame rows
-    (round, dataset, logloss, error)).
+    Each round's margins are persisted (the previous round's are released) and the
+    lineage is cut with a reliable checkpoint every ``checkpoint_interval`` rounds
+    and after the last one.
+
+    Returns (train_with_margin, test_with_margin or None, metrics DataFrame with
+    rows (round, dataset, logloss, error)).
     """
     def start(df):
         m = F.col(init_margin) if init_margin else F.lit(0.0)
@@ -201,25 +207,32 @@ def newton_boost(train: DataFrame, test: DataFrame | None = None, *, features: s
     tr = start(train)
     te = start(test) if test is not None else None
     metrics = []
+    held: list[DataFrame] = []
     for r in range(1, rounds + 1):
         p = _sigmoid(F.col("margin"))
         gh = tr.withColumn("_g", p - F.col(label)).withColumn("_h", F.greatest(p * (1 - p), F.lit(1e-16)))
         gh = gh.withColumn("_target", -F.col("_g") / F.col("_h"))
         tree = DecisionTreeRegressor(featuresCol=features, labelCol="_target", weightCol="_h",
                                      maxDepth=depth, leafCol="_leaf", seed=seed).fit(gh)
-        leaves = tree.transform(gh)
-        values = leaves.groupBy("_leaf").agg(
-            (-F.sum("_g") / (F.sum("_h") + lam)).alias("_w"))  # at most 2^depth rows
+        values = tree.transform(gh).groupBy("_leaf").agg(
+            (-F.sum("_g") / (F.sum("_h") + lam)).alias("_w"))
         vb = F.broadcast(values)
 
         def step(df):
-            out = tree.transform(df).join(vb, "_leaf", "left").fillna({"_w": 0.0})
+            out = tree.transform(train_cols(df)).join(vb, "_leaf", "left").fillna({"_w": 0.0})
             return out.withColumn("margin", F.col("margin") + eta * F.col("_w")).drop("_leaf", "_w", "prediction")
 
-        tr = cut_lineage(step(train_cols(tr)))
+        cut = r % checkpoint_interval == 0 or r == rounds
+        new_tr = cut_lineage(step(tr)) if cut else step(tr).persist()
+        new_te = None
+        if te is not None:
+            new_te = cut_lineage(step(te)) if cut else step(te).persist()
+        for d in held:
+            d.unpersist()
+        held = [d for d in (new_tr, new_te) if d is not None and not cut]
+        tr, te = new_tr, new_te
         metrics.append(_round_metrics(tr, label, r, "train"))
         if te is not None:
-            te = cut_lineage(step(train_cols(te)))
             metrics.append(_round_metrics(te, label, r, "test"))
     met = metrics[0]
     for m in metrics[1:]:

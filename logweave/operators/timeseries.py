@@ -33,6 +33,13 @@ def _ts_lit(t: datetime | str) -> F.Column:
     return F.lit(str(t)).cast("timestamp_ntz")
 
 
+def epoch_seconds(ts: F.Column) -> F.Column:
+    """Seconds since 1970-01-01 of a wall-clock (timestamp_ntz) value, independent of
+    the session time zone (no daylight-saving gaps in the arithmetic)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, ts.cast("timestamp_ntz"))
+
+
 # --------------------------------------------------------------------------- T1
 def datetime_index(spark: SparkSession, start: datetime | str, end: datetime | str,
                    step: str = "1 hour") -> DataFrame:
@@ -66,7 +73,7 @@ def align(obs: DataFrame, start: datetime | str, end: datetime | str, step: str
     """
     s, e, sec = _ts_lit(start), _ts_lit(end), step_seconds(step)
     t = F.col(ts)
-    off = F.unix_seconds(t.cast("timestamp")) - F.unix_seconds(s.cast("timestamp"))
+    off = epoch_seconds(t) - epoch_seconds(s)
     on_index = (t >= s) & (t <= e) & (F.pmod(off, F.lit(sec)) == 0)
     red = {"max": F.max, "min": F.min, "sum": F.sum, "avg": F.avg}[duplicates]
     o = (obs.where(on_index & F.col(key).isNotNull())
@@ -87,7 +94,7 @@ def fill(df: DataFrame, method: str = "linear", *, key: str = "key", ts: str = "
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     after = w.rowsBetween(1, Window.unboundedFollowing)
     v = F.col(value)
-    t = F.unix_seconds(F.col(ts).cast("timestamp")).cast("double")
+    t = epoch_seconds(F.col(ts)).cast("double")
     t_known = F.when(v.isNotNull(), t)
     vp, tp = F.last(v, True).over(before), F.last(t_known, True).over(before)
     vn, tn = F.first(v, True).over(after), F.first(t_known, True).over(after)

@@ -15,7 +15,9 @@ TYPE_SUPPORT = 0.05
 TYPE_RULE_CONFIDENCE = 0.3
 SEQ_SUPPORT = 0.05
 SEQ_MAX_LEN = 5
-MINING_PARTITIONS = 10
+# None: FP-growth splits the conditional databases over as many partitions as the input
+# has (the original fixed 10, which would cap a large job at 10 tasks)
+MINING_PARTITIONS = None
 
 
 def baskets(spark: SparkSession, sf: str, attr: str = "p_brand") -> DataFrame:
