@@ -12,6 +12,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import wallclock as W
+from ..functions.wallclock import epoch_seconds
+
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
 
 
@@ -33,13 +36,6 @@ def _ts_lit(t: datetime | str) -> F.Column:
     return F.lit(str(t)).cast("timestamp_ntz")
 
 
-def epoch_seconds(ts: F.Column) -> F.Column:
-    """Seconds since 1970-01-01 of a wall-clock (timestamp_ntz) value, independent of
-    the session time zone (no daylight-saving gaps in the arithmetic)."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", epoch, ts.cast("timestamp_ntz"))
-
-
 # --------------------------------------------------------------------------- T1
 def datetime_index(spark: SparkSession, start: datetime | str, end: datetime | str,
                    step: str = "1 hour") -> DataFrame:
@@ -48,15 +44,23 @@ def datetime_index(spark: SparkSession, start: datetime | str, end: datetime | s
         F.explode(F.sequence(_ts_lit(start), _ts_lit(end), _interval(step))).alias("ts"))
 
 
+def _trunc(df: DataFrame, ts: str, unit: str) -> F.Column:
+    """Wall-clock truncation for timestamp_ntz (zone-free), session-zone for timestamp."""
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        return W.trunc(ts, unit)
+    return F.date_trunc(unit, F.col(ts))
+
+
 def index_bounds(df: DataFrame, ts: str = "ts", unit: str = "hour") -> tuple[datetime, datetime]:
     """(first, last) instant of the data truncated to ``unit``: one two-value aggregate."""
-    r = df.agg(F.min(F.date_trunc(unit, ts)), F.max(F.date_trunc(unit, ts))).first()
+    t = _trunc(df, ts, unit)
+    r = df.agg(F.min(t), F.max(t)).first()
     return r[0], r[1]
 
 
 def snap(df: DataFrame, unit: str, ts: str = "ts") -> DataFrame:
     """Truncate observation times to ``unit`` (minute, hour, day) before aligning."""
-    return df.withColumn(ts, F.date_trunc(unit, F.col(ts)).cast(dict(df.dtypes)[ts]))
+    return df.withColumn(ts, _trunc(df, ts, unit).cast(dict(df.dtypes)[ts]))
 
 
 # --------------------------------------------------------------------------- T2

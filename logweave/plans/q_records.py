@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import wallclock as W
 from ..operators import features as V
 from ..operators import parsing as P
 from ..session import read_table
@@ -92,11 +93,11 @@ FROM lines
 """)
 def q_parse_observations(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
-    lines = o.select(F.concat_ws("\t", F.date_format("o_orderdate", "yyyy"), F.month("o_orderdate").cast("string"),
+    lines = o.select(F.concat_ws("\t", F.year("o_orderdate").cast("string"), F.month("o_orderdate").cast("string"),
                                  F.dayofmonth("o_orderdate").cast("string"), "o_orderstatus", "o_orderpriority",
                                  F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")).alias("line"))
     p = P.parse_observations_tsv(lines)
-    return p.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "key", "value")
+    return p.select(W.wall_datetime("ts").alias("ts"), "key", "value")
 
 
 # --------------------------------------------------------------------------- P14/P15

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import wallclock as W
 from ..operators import timeseries as T
 from ..operators.indexing import with_row_id
 from ..operators.relational import count_series, extremes
 from ..session import read_table
 from .registry import query
 
-TS_FMT = "yyyy-MM-dd HH:mm:ss"
 SQL_TS_FMT = "'%Y-%m-%d %H:%M:%S'"
 
 
@@ -72,7 +72,7 @@ SELECT strftime(unnest(generate_series(lo, hi, INTERVAL 1 HOUR)), {SQL_TS_FMT})
 """)
 def q_ts_index(spark: SparkSession, sf: str) -> DataFrame:
     _, lo, hi = _hourly_events(spark, sf)
-    return T.datetime_index(spark, lo, hi, "1 hour").select(F.date_format("ts", TS_FMT).alias("ts"))
+    return T.datetime_index(spark, lo, hi, "1 hour").select(W.wall_datetime("ts").alias("ts"))
 
 
 @query("ts_align", ops=("T2", "P7"), sql="WITH " + _sql_aligned("events", "event_type", "ts", "value", "hour") + f"""
@@ -81,7 +81,7 @@ SELECT key, strftime(ts, {SQL_TS_FMT}) AS ts, value FROM aligned
 def q_ts_align(spark: SparkSession, sf: str) -> DataFrame:
     obs, lo, hi = _hourly_events(spark, sf)
     a = T.align(obs, lo, hi, "1 hour")
-    return a.select("key", F.date_format("ts", TS_FMT).alias("ts"), "value")
+    return a.select("key", W.wall_datetime("ts").alias("ts"), "value")
 
 
 @query("ts_fill_linear", ops=("T2", "T3"), sql=_SQL_ORDERS + "," + _SQL_FILLED + f"""
@@ -89,7 +89,7 @@ SELECT key, strftime(ts, {SQL_TS_FMT}) AS ts, round(value, 6) AS value FROM fill
 """)
 def q_ts_fill_linear(spark: SparkSession, sf: str) -> DataFrame:
     f = T.fill(_daily_orders(spark, sf))
-    return f.select("key", F.date_format("ts", TS_FMT).alias("ts"), F.round("value", 6).alias("value"))
+    return f.select("key", W.wall_datetime("ts").alias("ts"), F.round("value", 6).alias("value"))
 
 
 @query("ts_returns", ops=("T4",), sql=_SQL_ORDERS + "," + _SQL_FILLED + f"""
@@ -97,7 +97,7 @@ SELECT key, strftime(ts, {SQL_TS_FMT}) AS ts, round(rate, 6) AS rate FROM rates
 """)
 def q_ts_returns(spark: SparkSession, sf: str) -> DataFrame:
     r = T.return_rates(T.fill(_daily_orders(spark, sf)))
-    return r.select("key", F.date_format("ts", TS_FMT).alias("ts"), F.round("rate", 6).alias("rate"))
+    return r.select("key", W.wall_datetime("ts").alias("ts"), F.round("rate", 6).alias("rate"))
 
 
 @query("ts_durbin_watson", ops=("T5",), sql=_SQL_ORDERS + "," + _SQL_FILLED + """

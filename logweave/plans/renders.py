@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import wallclock as W
+
 
 def _level() -> Column:
     t = F.col("event_type")
@@ -28,7 +30,7 @@ def compute_lines(events: DataFrame) -> DataFrame:
     """``date time pid LEVEL module [req u t - - -] [instance: i] message``."""
     line = F.concat_ws(
         " ",
-        F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss.SSS"),
+        W.wall_date("ts"), W.wall_time("ts", millis=True),
         F.col("event_id").cast("string"), _level(), F.lit("compute.claims"),
         F.format_string("[req-%d u%d t%d - - -]", "event_id", "user_id", F.col("user_id") % 7),
         F.format_string("[instance: %d]", "event_id"), _claim_or_other())
@@ -42,7 +44,7 @@ def agent_lines(events: DataFrame) -> DataFrame:
     tail = F.when(F.col("event_id") % 5 == 0, F.lit("")).otherwise(F.lit("-"))
     line = F.concat_ws(
         " ",
-        F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss.SSS"),
+        W.wall_date("ts"), W.wall_time("ts", millis=True),
         F.col("event_id").cast("string"), F.upper("event_type"),
         F.concat(F.lit("agent."), F.col("event_type")), msg, tail)
     return events.select("event_id", line.alias("line"))
@@ -52,8 +54,9 @@ def dashboard_lines(events: DataFrame) -> DataFrame:
     """``Dow Mon dd HH:mm:ss.ffffff yyyy] [x:error] [pid p:tid t] message``."""
     line = F.concat_ws(
         " ",
-        F.date_format("ts", "EEE MMM dd"), F.concat(F.date_format("ts", "HH:mm:ss"), F.lit(".000000")),
-        F.concat(F.date_format("ts", "yyyy"), F.lit("]")), F.lit("[x:error]"),
+        F.concat_ws(" ", W.day_abbr("ts"), W.month_abbr("ts"), F.format_string("%02d", F.dayofmonth("ts"))),
+        F.concat(W.wall_time("ts"), F.lit(".000000")),
+        F.format_string("%04d]", F.year("ts")), F.lit("[x:error]"),
         F.format_string("[pid %d:tid %d]", "user_id", "event_id"),
         F.format_string("%s boom %d", F.col("event_type"), F.floor(F.col("value"))))
     return events.select("event_id", line.alias("line"))
