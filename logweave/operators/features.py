@@ -33,19 +33,21 @@ def encode_ordinal(df: DataFrame, dictionary: DataFrame, col: str = "cats", out:
                    vector: bool = False) -> DataFrame:
     """Replace each category by its dictionary index; unseen -> ``default``.
 
-    One left join per position. The dictionary's size is checked first: under
-    ``BROADCAST_DICTIONARY_MAX`` entries each position's slice is broadcast (no
-    shuffle of ``df`` at all); above it, plain joins let the planner shuffle.
+    One left join per position. Each position's slice of the dictionary is sized
+    first (one grouped count, a row per position): a slice of at most
+    ``BROADCAST_DICTIONARY_MAX`` entries is broadcast, so ``df`` is not shuffled
+    for it; only a larger slice (a high-cardinality position) is joined by
+    shuffle, where AQE splits a hot value's partition.
     """
+    sizes = {r[0]: r[1] for r in dictionary.groupBy("position").count().collect()}
     if n_positions is None:
-        n_positions = dictionary.agg(F.max("position")).first()[0] + 1
-    small = dictionary.count() <= BROADCAST_DICTIONARY_MAX
+        n_positions = max(sizes) + 1 if sizes else 0
     cur = df
     idx_cols = []
     for i in range(n_positions):
         d = dictionary.where(F.col("position") == i).select(
             F.col("value").alias(f"_v{i}"), F.col("idx").cast("double").alias(f"_i{i}"))
-        d = F.broadcast(d) if small else d
+        d = F.broadcast(d) if sizes.get(i, 0) <= BROADCAST_DICTIONARY_MAX else d
         cur = cur.join(d, F.get(F.col(col), i) == F.col(f"_v{i}"), "left").drop(f"_v{i}")
         idx_cols.append(F.coalesce(F.col(f"_i{i}"), F.lit(float(default))))
     cur = cur.withColumn(out, F.array(*idx_cols)).drop(*[f"_i{i}" for i in range(n_positions)])

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, default_parallelism
 
 _LOW_BITS = 33  # monotonically_increasing_id: partition id << 33 | record number
 
@@ -28,7 +28,7 @@ def with_row_id(df: DataFrame, order: Sequence[str | Column] | None = None, out:
     if order:
         spark = df.sparkSession
         n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                  spark.sparkContext.defaultParallelism)
+                                  default_parallelism(spark))
         base = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ided = cut_lineage(base.withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), _LOW_BITS)

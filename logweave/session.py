@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
     Only when it is unset (local runs, tests) a fresh scratch folder is made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server's checkpoint settings apply
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -65,6 +68,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster; falls back to the shuffle partition count when the
+    session exposes no SparkContext (e.g. a remote session)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows when the input has fewer partitions than task slots.
 
@@ -73,8 +85,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     CPU-heavy narrow work after it (regexes, tokenising) uses every core.
     Only the partition count is inspected; no job runs.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    target = min_partitions or default_parallelism(df.sparkSession)
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of this session: leave the input as it is
+        return df
+    return df.repartition(target) if n < target else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
