@@ -378,3 +378,41 @@ def test_sources_read_back(spark, tmp_dir):
         fh.write("a,1\nb,x\n")
     r = read_delimited(spark, csv, "k string, v int").orderBy("k").collect()
     assert (r[0].v, r[1].v) == (1, None)
+
+
+def test_small_operators(spark):
+    df = spark.createDataFrame([("t1", "m", "r", "u", "i", "hello,world")],
+                               "tenant string, module string, req string, user string, inst string, msg string")
+    kv = P.key_by_group(df, "tenant", ["module", "req", "user", "inst", "msg"])
+    items = P.split_tokens(kv, "value").first().items
+    assert kv.first().key == "t1" and items == ["m", "r", "u", "i", "hello", "world"]
+    pos = P.with_positions(spark.createDataFrame([(["a", "b"],)], "c array<string>"), "c").first().c
+    assert [(p.pos, p.value) for p in pos] == [(0, "a"), (1, "b")]
+    tok = P.tokenize(spark.createDataFrame([("Hello  World",)], "text string")).first().words
+    assert tok == ["hello", "", "world"]  # whitespace split as ml Tokenizer does
+    top = R.top_k(spark.range(10), 3, [F.desc("id")]).collect()
+    assert [r.id for r in top] == [9, 8, 7]
+    pts = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0],), ([3.0, 4.0],)], "features array<double>")
+    assert R.distinct_points(pts).count() == 2
+    m = spark.createDataFrame([(0.5, 1.0), (-1.0, 1.0), (-0.1, 0.0), (2.0, 0.0)], "margin double, label double")
+    assert E.margin_error_rate(m).first().error_rate == 0.5
+    c = {(r.label, r.prediction): r.n for r in E.confusion(
+        spark.createDataFrame([(1.0, 1.0), (1.0, 0.0), (0.0, 0.0)], "label double, prediction double")).collect()}
+    assert c == {(1.0, 1.0): 1, (1.0, 0.0): 1, (0.0, 0.0): 1}
+
+
+def test_text_pipeline_and_classify_text(spark):
+    from logweave.plans.jobs import classify_text
+    rows = [(i, ("good fine nice " if i % 2 else "bad awful poor ") * 3, float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, label double")
+    _, pred, acc = classify_text(df, num_features=1 << 10)
+    assert acc.first().accuracy == 1.0 and pred.count() == acc.first().n
+
+
+def test_skewed_user_is_combined(spark):
+    # one user holds most lines: partial aggregation keeps the result exact
+    lines = [(COMPUTE,)] * 300 + [(COMPUTE.replace("u0001", "u0002"),)] * 3
+    users = spark.createDataFrame([("u0001", "ann"), ("u0002", "bo")], "user_id string, user_name string")
+    out = {r.user_id: (r.memory_mb, r.n_claims) for r in
+           R.usage_by_user(spark.createDataFrame(lines, "line string").repartition(8), users).collect()}
+    assert out == {"u0001": (2048 * 300, 300), "u0002": (2048 * 3, 3)}
