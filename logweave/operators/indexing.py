@@ -7,13 +7,15 @@ and the per-partition row counts — one row per partition, a bounded table —
 turned into offsets and joined back by broadcast. The numbered table is
 checkpointed to the reliable checkpoint directory first, because the range
 bounds are sampled at run time and must not change between the two uses.
+Nothing is gathered into one task: the per-partition counts (one number per
+partition) are summed on the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, default_parallelism
@@ -32,10 +34,14 @@ def with_row_id(df: DataFrame, order: Sequence[str | Column] | None = None, out:
         base = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ided = cut_lineage(base.withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), _LOW_BITS)
-    counts = ided.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: the window below runs over #partitions rows only
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # one count per partition (a table bounded by the partition count): its prefix
+    # sums are the partitions' first row ids, joined back by broadcast
+    counts = sorted(tuple(r) for r in ided.groupBy(pid.alias("_pid")).count().collect())
+    rows, acc = [], 0
+    for p, c in counts:
+        rows.append((int(p), acc))
+        acc += int(c)
+    offsets = df.sparkSession.createDataFrame(rows, "_pid long, _off long")
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     return (ided.join(F.broadcast(offsets), pid == F.col("_pid"))
             .withColumn(out, F.col("_off") + local)
