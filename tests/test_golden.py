@@ -3,9 +3,7 @@
 import math
 
 import numpy as np
-import pytest
 from pyspark.ml.feature import HashingTF, IDF, Tokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from logweave.functions.columns import regex_groups
