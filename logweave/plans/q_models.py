@@ -38,13 +38,31 @@ def _metrics_rows(spark: SparkSession, **vals: float) -> DataFrame:
                                  "metric string, value double")
 
 
-@query("linear_sgd", ops=("L1",))
+@query("linear_sgd", ops=("L1",), sql="""
+WITH RECURSIVE d AS (SELECT l_discount * 10 AS x0, l_tax * 10 AS x1, l_quantity / 50 AS y FROM lineitem),
+s AS (SELECT sum(x0 * x0) AS a, sum(x0 * x1) AS b, sum(x1 * x1) AS c, sum(x0 * y) AS d, sum(x1 * y) AS e,
+             count(*) AS n FROM d),
+it AS (
+  SELECT 0 AS t, CAST(0.0 AS DOUBLE) AS w0, CAST(0.0 AS DOUBLE) AS w1, false AS done
+  UNION ALL
+  SELECT t + 1, nw0, nw1,
+         sqrt((nw0 - w0) * (nw0 - w0) + (nw1 - w1) * (nw1 - w1)) < 0.001 * greatest(sqrt(nw0 * nw0 + nw1 * nw1), 1.0)
+  FROM (SELECT it.t, it.w0, it.w1,
+               it.w0 - (1.0 / sqrt(it.t + 1)) * ((s.a * it.w0 + s.b * it.w1 - s.d) / s.n) AS nw0,
+               it.w1 - (1.0 / sqrt(it.t + 1)) * ((s.b * it.w0 + s.c * it.w1 - s.e) / s.n) AS nw1
+        FROM it, s WHERE it.t < 10 AND NOT it.done))
+SELECT metric, value FROM (
+  SELECT 'w0' AS metric, round(w0, 9) AS value FROM (SELECT * FROM it ORDER BY t DESC LIMIT 1)
+  UNION ALL
+  SELECT 'w1', round(w1, 9) FROM (SELECT * FROM it ORDER BY t DESC LIMIT 1))
+""")
 def q_linear_sgd(spark: SparkSession, sf: str) -> DataFrame:
+    """Full-batch gradient descent, 10 iterations, step 1/sqrt(t), no intercept."""
     li = read_table(spark, sf, "lineitem")
     d = li.select((F.col("l_discount") * 10).alias("x0"), (F.col("l_tax") * 10).alias("x1"),
                   (F.col("l_quantity") / 50).alias("y"))
     w = L.linear_sgd(d, ["x0", "x1"], "y", iters=10, step=1.0)
-    return _metrics_rows(spark, w0=w[0], w1=w[1])
+    return _metrics_rows(spark, w0=round(float(w[0]), 9), w1=round(float(w[1]), 9))
 
 
 @query("svm", ops=("L2", "E3", "X2"))
