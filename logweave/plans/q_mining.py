@@ -42,8 +42,9 @@ b AS (SELECT l_orderkey AS k, {attr} AS i FROM lineitem JOIN part ON l_partkey =
 nb AS (SELECT count(DISTINCT k) AS n FROM b)"""
 
 
-def _sql_itemsets(attr: str, support: float, max_size: int) -> str:
-    """Item sets of size 1..max_size by self-joins on the exploded baskets."""
+def sql_sets_from_baskets(support: float, max_size: int) -> str:
+    """CTE ``sets(items, size, freq)``: item sets of size 1..max_size by self-joins on
+    CTEs ``b(k, i)`` (distinct basket/item pairs) and ``nb(n)`` (number of baskets)."""
     parts = []
     for size in range(1, max_size + 1):
         al = [f"b{j}" for j in range(size)]
@@ -52,10 +53,15 @@ def _sql_itemsets(attr: str, support: float, max_size: int) -> str:
         items = " || '|' || ".join(f"{a}.i" for a in al)
         parts.append(f"SELECT {items} AS items, {size} AS size, count(*) AS freq FROM {frm} GROUP BY ALL")
     union = "\nUNION ALL ".join(parts)
-    return _sql_baskets(attr) + f""",
+    return f"""
 sets AS (SELECT items, size, freq FROM ({union}) WHERE freq >= (SELECT ceil({support} * n) FROM nb))"""
 
 
+def _sql_itemsets(attr: str, support: float, max_size: int) -> str:
+    """Item sets of part attributes per order, size 1..max_size."""
+    return _sql_baskets(attr) + "," + sql_sets_from_baskets(support, max_size)
+
+
 @query("frequent_itemsets", ops=("B1", "P14"), sql="WITH " + _sql_itemsets("p_brand", BRAND_SUPPORT, 3) + """
 SELECT items, freq FROM sets
 """)

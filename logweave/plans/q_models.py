@@ -16,7 +16,9 @@ from ..operators.split import split
 from ..session import read_table
 from . import jobs as J
 from .q_features import click_lines
-from .q_logs import compute_lines
+from .q_logs import _P, _P_TAIL, compute_lines
+from .q_mining import sql_sets_from_baskets
+from .renders import SQL_COMPUTE_LINES
 from .registry import query
 from .renders import agent_lines, dashboard_lines
 
@@ -142,7 +144,20 @@ def q_power_iteration(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- composite jobs
-@query("mine_tenant_logs", ops=("B5",))
+@query("mine_tenant_logs", ops=("B5",), sql=f"""
+WITH lines AS ({SQL_COMPUTE_LINES}),
+g AS (
+  SELECT regexp_extract(line, {_P}, 5) AS module, regexp_extract(line, {_P}, 6) AS request_id,
+         regexp_extract(line, {_P}, 7) AS user_id, regexp_extract(line, {_P}, 8) AS tenant_id,
+         regexp_extract(line, {_P}, 9) AS instance, regexp_extract(line, {_P_TAIL}, 1) AS message
+  FROM lines),
+t AS (SELECT row_number() OVER () AS k,
+             string_split(concat_ws(',', module, request_id, user_id, instance, message), ',') AS items
+      FROM g WHERE tenant_id = 't3'),
+b AS (SELECT DISTINCT k, unnest(items) AS i FROM t),
+nb AS (SELECT count(*) AS n FROM t),""" + sql_sets_from_baskets(0.1, 4) + """
+SELECT items, freq FROM sets
+""")
 def q_mine_tenant_logs(spark: SparkSession, sf: str) -> DataFrame:
     fi = J.mine_tenant_logs(compute_lines(read_table(spark, sf, "events")), "t3", 0.1)
     return fi.select(F.array_join(F.array_sort("items"), "|").alias("items"), "freq")
