@@ -174,3 +174,50 @@ def q_hashed_tf(spark: SparkSession, sf: str) -> DataFrame:
     h = V.hashed_term_freq(d, num_features=1 << 18)
     per_doc = h.groupBy("doc_id").agg(F.sum("tf").cast("double").alias("n_tokens"))
     return d.select("doc_id").join(per_doc, "doc_id", "left").fillna({"n_tokens": 0.0})
+
+
+# --------------------------------------------------------------------------- B1 + B2 + O1 on validated baskets
+BASKET_SUPPORT = 0.01
+BASKET_CONFIDENCE = 0.1
+
+
+def basket_rules_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule-mining job end to end: CSV fields 18-20 -> basket validation (invalid
+    baskets become empty but still count in N) -> FP-growth -> one-item-consequent
+    rules with confidence >= 0.1, ranked by confidence."""
+    from ..operators.mining import association_rules, rank_rules
+    baskets = P.validate_basket(P.basket_from_fields(basket_lines(spark, sf)))
+    rules = association_rules(baskets, BASKET_SUPPORT, BASKET_CONFIDENCE)
+    return rank_rules(rules)
+
+
+def _sql_basket_rules() -> str:
+    from .q_mining import sql_sets_from_baskets
+    return f"""
+WITH lines AS (
+  SELECT concat_ws(',', CAST(l_orderkey AS VARCHAR), 'f1', 'f2', 'f3', 'f4', 'f5', 'f6', 'f7', 'f8', 'f9', 'f10', 'f11',
+                   'f12', 'f13', 'f14', 'f15', 'f16', 'f17', 'ln_' || l_linenumber, 'sk_' || (l_suppkey % 10),
+                   'tx_' || CASE WHEN l_tax > 0.05 THEN 'hi' ELSE CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR) END) AS line
+  FROM lineitem),
+t AS (SELECT row_number() OVER () AS k,
+             [split_part(line, ',', 19), split_part(line, ',', 20), split_part(line, ',', 21)] AS items FROM lines),
+v AS (SELECT k, items, list_transform(items, lambda x: split_part(x, '_', 2)) AS vals FROM t),
+ok AS (SELECT k, items FROM v WHERE list_bool_and(list_transform(vals, lambda y: regexp_matches(y, '^[0-9]')))
+                                AND len(list_distinct(vals)) = len(vals)),
+b AS (SELECT DISTINCT k, unnest(items) AS i FROM ok),
+nb AS (SELECT count(*) AS n FROM t),""" + sql_sets_from_baskets(BASKET_SUPPORT, 3) + f""",
+el AS (SELECT items, size, freq, unnest(string_split(items, '|')) AS c FROM sets WHERE size >= 2),
+r AS (SELECT array_to_string(list_filter(string_split(el.items, '|'), lambda x: x <> el.c), '|') AS antecedent,
+             el.c AS consequent, el.freq AS f FROM el)
+SELECT r.antecedent, r.consequent, round(r.f / s.freq, 9) AS confidence
+FROM r JOIN sets s ON s.items = r.antecedent
+WHERE r.f / s.freq >= {BASKET_CONFIDENCE}
+"""
+
+
+@query("basket_rules", ops=("B1", "B2", "O1", "P14", "P15"), sql=_sql_basket_rules())
+def q_basket_rules(spark: SparkSession, sf: str) -> DataFrame:
+    r = basket_rules_job(spark, sf)
+    return r.select(F.array_join(F.array_sort("antecedent"), "|").alias("antecedent"),
+                    F.array_join(F.array_sort("consequent"), "|").alias("consequent"),
+                    F.round("confidence", 9).alias("confidence"))
