@@ -10,7 +10,9 @@ from ..operators import timeseries as T
 from ..operators.indexing import with_row_id
 from ..operators.relational import count_series, extremes
 from ..session import read_table
+from ..operators.parsing import parse_log_observations
 from .registry import query
+from .renders import SQL_COMPUTE_LINE, compute_lines
 
 SQL_TS_FMT = "'%Y-%m-%d %H:%M:%S'"
 
@@ -134,3 +136,37 @@ SELECT doc_id, lang, row_number() OVER (ORDER BY lang, doc_id) - 1 AS row_id FRO
 def q_row_ids(spark: SparkSession, sf: str) -> DataFrame:
     d = read_table(spark, sf, "documents").select("doc_id", "lang")
     return with_row_id(d, ["lang", "doc_id"]).select("doc_id", "lang", "row_id")
+
+
+# ------------------------------------------------------------------ log lines -> hourly series
+def _log_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Log documents: the compute-log line as ``message`` plus ``host`` and ``version``
+    fields (host from the user, version from the value)."""
+    ev = read_table(spark, sf, "events")
+    ev = ev.withColumn("host", F.format_string("host-%d", F.col("user_id") % 5)) \
+           .withColumn("version", F.floor("value").cast("string"))
+    return compute_lines(ev, keep=("host", "version")).withColumnRenamed("line", "message")
+
+
+@query("log_series", ops=("P7", "P8", "T1", "T2"), sql=f"""
+WITH docs AS (SELECT 'host-' || (user_id % 5) AS host, CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS version,
+                     {SQL_COMPUTE_LINE} AS message FROM events),
+w AS (SELECT host, version, string_split(string_split(message, ' ')[1], '-') AS dd,
+             string_split(string_split(message, ' ')[2], ':') AS tt FROM docs),
+o AS (SELECT make_timestamp(TRY_CAST(dd[1] AS BIGINT), TRY_CAST(dd[2] AS BIGINT), TRY_CAST(dd[3] AS BIGINT),
+                            TRY_CAST(tt[1] AS BIGINT), TRY_CAST(tt[2] AS BIGINT), 0) AS ts,
+             host AS key, TRY_CAST(version AS DOUBLE) AS value FROM w),
+b AS (SELECT date_trunc('hour', min(ts)) AS lo, date_trunc('hour', max(ts)) AS hi FROM o),
+idx AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts FROM b),
+keys AS (SELECT DISTINCT key FROM o WHERE key IS NOT NULL),
+obs AS (SELECT key, ts, max(value) AS value FROM o WHERE key IS NOT NULL AND ts = date_trunc('hour', ts) GROUP BY 1, 2)
+SELECT k.key, strftime(i.ts, {SQL_TS_FMT}) AS ts, obs.value
+FROM keys k CROSS JOIN idx i LEFT JOIN obs ON obs.key = k.key AND obs.ts = i.ts
+""")
+def q_log_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Minute timestamps parsed from log lines, aligned per host to an hourly index:
+    only observations on the hour align (minutes are kept, as in the original job)."""
+    obs = parse_log_observations(_log_docs(spark, sf), "message", "host", "version")
+    lo, hi = T.index_bounds(obs, "ts", "hour")
+    a = T.align(obs, lo, hi, "1 hour")
+    return a.select("key", W.wall_datetime("ts").alias("ts"), "value")

@@ -26,7 +26,7 @@ def _claim_or_other() -> Column:
     return F.when(t == "purchase", claim).otherwise(other)
 
 
-def compute_lines(events: DataFrame) -> DataFrame:
+def compute_lines(events: DataFrame, keep: tuple[str, ...] | list = ("event_id",)) -> DataFrame:
     """``date time pid LEVEL module [req u t - - -] [instance: i] message``."""
     line = F.concat_ws(
         " ",
@@ -34,7 +34,7 @@ def compute_lines(events: DataFrame) -> DataFrame:
         F.col("event_id").cast("string"), _level(), F.lit("compute.claims"),
         F.format_string("[req-%d u%d t%d - - -]", "event_id", "user_id", F.col("user_id") % 7),
         F.format_string("[instance: %d]", "event_id"), _claim_or_other())
-    return events.select("event_id", line.alias("line"))
+    return events.select(*keep, line.alias("line"))
 
 
 def agent_lines(events: DataFrame) -> DataFrame:
@@ -71,11 +71,12 @@ SQL_MESSAGE = (
     "' GB, VCPUs 1' ELSE 'Handled ' || event_type || ' request, value ' || "
     "CAST(floor(value * 100) AS BIGINT) END")
 
-SQL_COMPUTE_LINES = f"""
-SELECT event_id,
-       strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' '
+SQL_COMPUTE_LINE = f"""strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' '
        || {SQL_LEVEL} || ' compute.claims [req-' || event_id || ' u' || user_id || ' t'
-       || (user_id % 7) || ' - - -] [instance: ' || event_id || '] ' || {SQL_MESSAGE} AS line
+       || (user_id % 7) || ' - - -] [instance: ' || event_id || '] ' || {SQL_MESSAGE}"""
+
+SQL_COMPUTE_LINES = f"""
+SELECT event_id, {SQL_COMPUTE_LINE} AS line
 FROM events"""
 
 SQL_AGENT_LINES = """
