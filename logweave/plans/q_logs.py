@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.patterns import AGENT_ERROR_LOG, COMPUTE_LOG, DASHBOARD_ERROR_LOG, FORMATS
+from ..functions.patterns import (AGENT_ERROR_LOG, API_ACCESS_LOG, COMPUTE_LOG, COMPUTE_LOG_SHORT,
+                                  DASHBOARD_ERROR_LOG, FORMATS)
 from ..operators import parsing as P
 from ..operators.relational import usage_by_user, with_user_name
 from ..session import read_table
 from .registry import noncapturing_prefix, query
-from .renders import (SQL_AGENT_LINES, SQL_COMPUTE_LINES, SQL_DASHBOARD_LINES, agent_lines,
-                      compute_lines, dashboard_lines)
+from .renders import (SQL_AGENT_LINES, SQL_API_LINES, SQL_COMPUTE_LINES, SQL_DASHBOARD_LINES,
+                      agent_lines, api_lines, compute_lines, dashboard_lines)
 
 # Known users: customers of one market segment, id rendered as in the log lines.
 KNOWN_SEGMENT = "BUILDING"
@@ -170,3 +171,39 @@ def q_json_metrics(spark: SparkSession, sf: str) -> DataFrame:
     m = P.parse_metrics(j, ["value", "user_id"], "k", threshold=50, keep=["event_id"])
     return m.select("event_id", "label", F.round(F.col("features")[0], 4).alias("f_value"),
                     F.round(F.col("features")[1], 4).alias("f_user"))
+
+
+# --------------------------------------------------------------------- P9: API access and short compute formats
+_API = q(API_ACCESS_LOG)
+_API_TAIL = q(noncapturing_prefix(API_ACCESS_LOG, 9))  # groups 10..13 become 1..4
+_API_COLS = FORMATS["api_access"].groups
+
+
+@query("parse_log_api", ops=("P9",), sql=f"""
+WITH lines AS ({SQL_API_LINES})
+SELECT event_id,
+       {", ".join(f"regexp_extract(line, {_API}, {i + 1}) AS {n}" for i, n in enumerate(_API_COLS[:9]))},
+       {", ".join(f"regexp_extract(line, {_API_TAIL}, {i + 1}) AS {n}" for i, n in enumerate(_API_COLS[9:]))},
+       regexp_matches(line, {_API}) AS matched
+FROM lines
+""")
+def q_parse_log_api(spark: SparkSession, sf: str) -> DataFrame:
+    """All 13 groups of the API access format."""
+    lines = api_lines(read_table(spark, sf, "events"))
+    return P.parse_log(lines, "line", "api_access", groups=tuple(range(1, 14)), keep=["event_id"])
+
+
+_S = q(COMPUTE_LOG_SHORT)
+
+
+@query("parse_log_compute_short", ops=("P9",), sql=f"""
+WITH lines AS ({SQL_COMPUTE_LINES})
+SELECT event_id,
+       {", ".join(f"regexp_extract(line, {_S}, {i + 1}) AS {n}" for i, n in enumerate(FORMATS["compute_short"].groups))},
+       regexp_matches(line, {_S}) AS matched
+FROM lines
+""")
+def q_parse_log_compute_short(spark: SparkSession, sf: str) -> DataFrame:
+    """The short compute-log format (8 groups) on the same compute lines."""
+    lines = compute_lines(read_table(spark, sf, "events"))
+    return P.parse_log(lines, "line", "compute_short", groups=tuple(range(1, 9)), keep=["event_id"])

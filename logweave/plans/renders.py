@@ -62,6 +62,19 @@ def dashboard_lines(events: DataFrame) -> DataFrame:
     return events.select("event_id", line.alias("line"))
 
 
+def api_lines(events: DataFrame) -> DataFrame:
+    """``date time pid LEVEL module [req user tenant - - -] client "METHOD path``."""
+    method = F.when(F.col("event_type").isin("purchase", "signup"), "POST").otherwise("GET")
+    line = F.concat_ws(
+        " ",
+        W.wall_date("ts"), W.wall_time("ts", millis=True), F.col("event_id").cast("string"),
+        _level(), F.lit("api.wsgi"),
+        F.format_string("[req-%d u%d t%d - - -]", "event_id", "user_id", F.col("user_id") % 7),
+        F.format_string("10.0.%d.%d", F.col("user_id") % 250, F.col("event_id") % 250),
+        F.concat(F.lit('"'), method), F.format_string("/v2/%s/%d", F.col("event_type"), "user_id"))
+    return events.select("event_id", line.alias("line"))
+
+
 # ---------------------------------------------------------------- SQL twins
 SQL_LEVEL = ("CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'purchase' "
              "THEN 'AUDIT' ELSE 'INFO' END")
@@ -93,3 +106,12 @@ SELECT event_id,
        || strftime(ts, '%Y') || '] [x:error] [pid ' || user_id || ':tid ' || event_id || '] '
        || event_type || ' boom ' || CAST(floor(value) AS BIGINT) AS line
 FROM events"""
+
+SQL_API_LINES = f"""
+SELECT event_id,
+       strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' ' || {SQL_LEVEL}
+       || ' api.wsgi [req-' || event_id || ' u' || user_id || ' t' || (user_id % 7) || ' - - -] 10.0.'
+       || (user_id % 250) || '.' || (event_id % 250) || ' "'
+       || CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END
+       || ' /v2/' || event_type || '/' || user_id AS line
+FROM events"""
