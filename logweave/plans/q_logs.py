@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import (AGENT_ERROR_LOG, API_ACCESS_LOG, COMPUTE_LOG, COMPUTE_LOG_SHORT,
-                                  DASHBOARD_ERROR_LOG, FORMATS)
+                                  DASHBOARD_ACCESS_LOG, DASHBOARD_ERROR_LOG, FORMATS)
 from ..operators import parsing as P
 from ..operators.relational import usage_by_user, with_user_name
 from ..session import read_table
 from .registry import noncapturing_prefix, query
-from .renders import (SQL_AGENT_LINES, SQL_API_LINES, SQL_COMPUTE_LINES, SQL_DASHBOARD_LINES,
-                      agent_lines, api_lines, compute_lines, dashboard_lines)
+from .renders import (SQL_AGENT_LINES, SQL_API_LINES, SQL_COMPUTE_LINES, SQL_DASHBOARD_ACCESS_LINES,
+                      SQL_DASHBOARD_LINES, agent_lines, api_lines, compute_lines,
+                      dashboard_access_lines, dashboard_lines)
 
 # Known users: customers of one market segment, id rendered as in the log lines.
 KNOWN_SEGMENT = "BUILDING"
@@ -207,3 +208,22 @@ def q_parse_log_compute_short(spark: SparkSession, sf: str) -> DataFrame:
     """The short compute-log format (8 groups) on the same compute lines."""
     lines = compute_lines(read_table(spark, sf, "events"))
     return P.parse_log(lines, "line", "compute_short", groups=tuple(range(1, 9)), keep=["event_id"])
+
+
+_DA = q(DASHBOARD_ACCESS_LOG)
+_DA_TAIL = q(noncapturing_prefix(DASHBOARD_ACCESS_LOG, 9))  # groups 10..17 become 1..8
+_DA_COLS = FORMATS["dashboard_access"].groups
+
+
+@query("parse_log_dashboard_access", ops=("P9",), sql=f"""
+WITH lines AS ({SQL_DASHBOARD_ACCESS_LINES})
+SELECT event_id,
+       {", ".join(f"regexp_extract(line, {_DA}, {i + 1}) AS {n}" for i, n in enumerate(_DA_COLS[:9]))},
+       {", ".join(f"regexp_extract(line, {_DA_TAIL}, {i + 1}) AS {n}" for i, n in enumerate(_DA_COLS[9:]))},
+       regexp_matches(line, {_DA}) AS matched
+FROM lines
+""")
+def q_parse_log_dashboard_access(spark: SparkSession, sf: str) -> DataFrame:
+    """All 17 groups of the dashboard access format."""
+    lines = dashboard_access_lines(read_table(spark, sf, "events"))
+    return P.parse_log(lines, "line", "dashboard_access", groups=tuple(range(1, 18)), keep=["event_id"])

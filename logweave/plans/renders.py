@@ -75,6 +75,21 @@ def api_lines(events: DataFrame) -> DataFrame:
     return events.select("event_id", line.alias("line"))
 
 
+def dashboard_access_lines(events: DataFrame) -> DataFrame:
+    """Access-log lines: client, ident, [time zone], "request", status, size, referer, agent."""
+    method = F.when(F.col("event_type").isin("purchase", "signup"), "POST").otherwise("GET")
+    status = F.when(F.col("event_type") == "error", "500").otherwise("200")
+    line = F.concat_ws(
+        " ",
+        F.format_string("10.0.%d.%d", F.col("user_id") % 250, F.col("event_id") % 250), F.lit("- -"),
+        F.format_string("[%02d/%s/%04d:%s", F.dayofmonth("ts"), W.month_abbr("ts"), F.year("ts"), W.wall_time("ts")),
+        F.lit("+0000]"), F.concat(F.lit('"'), method), F.format_string("/dashboard/%s", F.col("event_type")),
+        F.lit('HTTP/1.1"'), status, F.floor(F.col("value") * 10).cast("string"),
+        F.format_string('"http://host/%d"', "user_id"),
+        F.lit('"Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/49.0 Safari/537.36"'))
+    return events.select("event_id", line.alias("line"))
+
+
 # ---------------------------------------------------------------- SQL twins
 SQL_LEVEL = ("CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'purchase' "
              "THEN 'AUDIT' ELSE 'INFO' END")
@@ -115,3 +130,12 @@ SELECT event_id,
        || CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END
        || ' /v2/' || event_type || '/' || user_id AS line
 FROM events"""
+
+SQL_DASHBOARD_ACCESS_LINES = """
+SELECT event_id,
+       '10.0.' || (user_id % 250) || '.' || (event_id % 250) || ' - - ' || strftime(ts, '[%d/%b/%Y:%H:%M:%S')
+       || ' +0000] "' || CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END
+       || ' /dashboard/' || event_type || ' HTTP/1.1" ' || CASE WHEN event_type = 'error' THEN '500' ELSE '200' END
+       || ' ' || CAST(floor(value * 10) AS BIGINT) || ' "http://host/' || user_id || '" '
+       || '"Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/49.0 Safari/537.36"' AS line
+FROM events"""
