@@ -22,11 +22,12 @@ from ..operators import mining as M
 from ..operators import parsing as P
 from ..operators.relational import distinct_points
 from ..operators.split import split
+from ..sources.io import write_partitioned
 
 
 # --------------------------------------------------------------------------- B5
 def mine_tenant_logs(lines: DataFrame, tenant: str, min_support: float = 0.1, line: str = "line",
-                     num_partitions: int | None = 10) -> DataFrame:
+                     num_partitions: int | None = None) -> DataFrame:
     """Compute-log lines of one tenant -> (module, request, user, instance, message)
     item sets."""
     p = P.parse_log(lines, line, "compute", keep=[], matched_col=None)
@@ -38,9 +39,10 @@ def mine_tenant_logs(lines: DataFrame, tenant: str, min_support: float = 0.1, li
 
 # --------------------------------------------------------------------------- C7
 def cluster_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, runs: int = 3, seed: int = 1,
-                 line: str = "line", keep: Sequence[str] = ()) -> DataFrame:
+                 line: str = "line", keep: Sequence[str] = (), out_path: str | None = None) -> DataFrame:
     """Agent error lines -> 6 trimmed fields -> position dictionary -> ordinal vectors
-    -> k-means on the distinct vectors -> cluster of every parsed line."""
+    -> k-means on the distinct vectors -> cluster of every parsed line. With
+    ``out_path`` the lines are also written, one directory per cluster (every cluster)."""
     p = P.parse_log(lines, line, "agent_error", keep=list(keep), trim=True, matched_col=None)
     p = P.drop_unparsed(p, "message")
     fields = list(P.get_format("agent_error").groups[:6])
@@ -49,13 +51,16 @@ def cluster_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, runs: int = 3
     enc = V.encode_ordinal(p, d, "cats", "features", n_positions=len(fields), vector=True)
     enc = enc.persist()
     model = C.kmeans(distinct_points(enc, "features"), k, max_iter, runs, seed)
-    return C.assign(model, enc).withColumnRenamed("prediction", "cluster")
+    out = C.assign(model, enc).withColumnRenamed("prediction", "cluster")
+    if out_path:
+        write_partitioned(out.select(*keep, *fields, "cluster"), out_path, "cluster")
+    return out
 
 
 # --------------------------------------------------------------------------- C8 / B6
 def cluster_and_mine(lines: DataFrame, k: int = 3, max_iter: int = 10, runs: int = 3, seed: int = 1,
                      cluster: int = 2, min_support: float = 0.1, line: str = "line",
-                     num_partitions: int | None = 10) -> DataFrame:
+                     num_partitions: int | None = None) -> DataFrame:
     """Compute-log lines -> 10 fields -> ordinal vectors -> k-means -> item sets of
     the fields of the lines in one cluster."""
     p = P.parse_log(lines, line, "compute", keep=[], matched_col=None)
@@ -73,7 +78,7 @@ def cluster_and_mine(lines: DataFrame, k: int = 3, max_iter: int = 10, runs: int
 # --------------------------------------------------------------------------- C9
 def cluster_text_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, seed: int = 1,
                       num_features: int = 1 << 18, weighting: str = "tf", line: str = "line",
-                      keep: Sequence[str] = ()) -> DataFrame:
+                      keep: Sequence[str] = (), out_path: str | None = None) -> DataFrame:
     """Dashboard error lines -> fields 0..6 as words -> hashed TF (or TF-IDF) -> k-means.
     A line that does not match gives empty fields: a zero vector, still clustered."""
     p = P.parse_log(lines, line, "dashboard_error", keep=list(keep), matched_col=None)
@@ -86,7 +91,10 @@ def cluster_text_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, seed: in
             .withColumnRenamed("_w", "features")
     tf = tf.persist()
     model = C.kmeans(tf, k, max_iter, 1, seed)
-    return C.assign(model, tf).withColumnRenamed("prediction", "cluster")
+    out = C.assign(model, tf).withColumnRenamed("prediction", "cluster")
+    if out_path:
+        write_partitioned(out.select(*keep, *fields, "cluster"), out_path, "cluster")
+    return out
 
 
 # --------------------------------------------------------------------------- L11

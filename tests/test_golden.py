@@ -414,3 +414,17 @@ def test_skewed_user_is_combined(spark):
     out = {r.user_id: (r.memory_mb, r.n_claims) for r in
            R.usage_by_user(spark.createDataFrame(lines, "line string").repartition(8), users).collect()}
     assert out == {"u0001": (2048 * 300, 300), "u0002": (2048 * 3, 3)}
+
+
+def test_cluster_logs_writes_every_cluster(spark, tmp_dir):
+    from logweave.plans.jobs import cluster_logs
+    from logweave.sources import load_table
+    lines = [(i, f"2016-03-21 08:15:{i % 60:02d}.123 {i} ERROR mod{i % 4}.agent - failure {i % 3} text -")
+             for i in range(120)] + [(999, "junk")]
+    df = spark.createDataFrame(lines, "event_id int, line string")
+    out = cluster_logs(df, k=3, max_iter=5, runs=2, keep=["event_id"], out_path=tmp_dir + "/clusters")
+    got = out.select("event_id", "cluster").collect()
+    assert len(got) == 120 and {r.cluster for r in got} <= {0, 1, 2}
+    back = load_table(spark, tmp_dir + "/clusters")
+    assert back.count() == 120
+    assert {r.cluster for r in back.select("cluster").distinct().collect()} == {r.cluster for r in got}
