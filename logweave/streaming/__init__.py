@@ -1,0 +1 @@
+"""The stateless parsers on streaming sources, and running per-user totals."""
