@@ -20,12 +20,15 @@ from ..functions.patterns import CLAIM_PHRASE, LogFormat, get_format
 # --------------------------------------------------------------------------- P9
 def parse_log(df: DataFrame, col: str, fmt: str | LogFormat,
               groups: Sequence[int] | None = None, *, matched_col: str | None = "matched",
-              trim: bool = False, keep: Sequence[str] | None = None) -> DataFrame:
+              trim: bool = False, keep: Sequence[str] | None = None,
+              on_mismatch: str = "empty") -> DataFrame:
     """Capture groups of a named log format as string columns.
 
     ``groups`` are 1-based group numbers (0 = whole match); default = the groups
     the original job emitted. A line that does not match gives ``''`` in every
     field (and ``matched = false``), like ``regexp_extract``; a null line gives nulls.
+    ``on_mismatch="null"`` gives nulls instead of ``''`` for non-matching lines, and
+    ``on_mismatch="drop"`` keeps matching lines only.
 
     The regex runs once per line: the match goes through a one-element
     ``explode`` (a Generate node). Without it, Catalyst would copy the parse
@@ -38,9 +41,13 @@ def parse_log(df: DataFrame, col: str, fmt: str | LogFormat,
     keep_cols = [F.col(c) for c in (keep if keep is not None else df.columns)]
     m = F.struct(regex_match(col, f.pattern, f.n_groups).alias("g"), F.col(col).isNull().alias("n"))
     x = df.select(*keep_cols, F.explode(F.array(m)).alias("_m"))
+    if on_mismatch not in ("empty", "null", "drop"):
+        raise ValueError(f"on_mismatch must be empty, null or drop, not {on_mismatch!r}")
+    if on_mismatch == "drop":
+        x = x.where(F.col("_m.g").isNotNull())
     out = []
     for i, n in zip(groups, names):
-        v = F.coalesce(F.col("_m.g")[i], F.lit(""))
+        v = F.col("_m.g")[i] if on_mismatch == "null" else F.coalesce(F.col("_m.g")[i], F.lit(""))
         v = F.trim(v) if trim else v
         out.append(F.when(F.col("_m.n"), F.lit(None).cast("string")).otherwise(v).alias(n))
     sel = [F.col(name) for name in (keep if keep is not None else df.columns)] + out
@@ -252,6 +259,15 @@ def substrings(col: str | Column, min_len: Column | int, max_len: Column | int)
     return F.array_distinct(F.flatten(per_len))
 
 
+def filter_known_users(df: DataFrame, users: DataFrame, phrase: str | None = CLAIM_PHRASE,
+                       key: str = "user_id", message: str = "message",
+                       user_key: str = "user_id") -> DataFrame:
+    """Rows whose user key *contains* a known user id and whose message contains
+    ``phrase`` (the original's loose user match; the name lookup stays exact)."""
+    out = df.where(F.col(message).contains(phrase)) if phrase else df
+    return filter_contains_any(out, key, users, user_key)
+
+
 def filter_contains_any(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows whose ``key`` *contains* any value of ``ids[id_col]`` (exact, no cross join).
 

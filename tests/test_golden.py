@@ -428,3 +428,16 @@ def test_cluster_logs_writes_every_cluster(spark, tmp_dir):
     back = load_table(spark, tmp_dir + "/clusters")
     assert back.count() == 120
     assert {r.cluster for r in back.select("cluster").distinct().collect()} == {r.cluster for r in got}
+
+
+def test_parse_log_on_mismatch_and_known_users(spark):
+    df = spark.createDataFrame([(COMPUTE,), ("junk",)], "line string")
+    n = P.parse_log(df, "line", "compute", keep=["line"], on_mismatch="null").where(F.col("line") == "junk").first()
+    assert n.user_id is None and n.matched is False
+    d = P.parse_log(df, "line", "compute", keep=["line"], on_mismatch="drop")
+    assert [r.user_id for r in d.collect()] == ["u0001"]
+    p = P.parse_log(spark.createDataFrame([(COMPUTE,), (COMPUTE.replace("Attempting", "Finished"),),
+                                           (COMPUTE.replace("u0001", "x9"),)], "line string"), "line", "compute")
+    users = spark.createDataFrame([("0001",)], "user_id string")
+    got = [(r.user_id, r.message[:10]) for r in P.filter_known_users(p, users).collect()]
+    assert got == [("u0001", "Attempting")]
