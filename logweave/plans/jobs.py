@@ -22,6 +22,7 @@ from ..operators import mining as M
 from ..operators import parsing as P
 from ..operators.relational import distinct_points
 from ..operators.split import split
+from ..session import cut_lineage
 from ..sources.io import write_partitioned
 
 
@@ -48,8 +49,9 @@ def cluster_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, runs: int = 3
     fields = list(P.get_format("agent_error").groups[:6])
     p = p.withColumn("cats", F.array(*fields))
     d = V.category_dictionary(p, "cats")
-    enc = V.encode_ordinal(p, d, "cats", "features", n_positions=len(fields), vector=True)
-    enc = enc.persist()
+    # encoded lines feed the dictionary-free k-means fit and the assignment: write them
+    # once to the checkpoint dir (disk, survives executor loss) instead of caching on the heap
+    enc = cut_lineage(V.encode_ordinal(p, d, "cats", "features", n_positions=len(fields), vector=True))
     model = C.kmeans(distinct_points(enc, "features"), k, max_iter, runs, seed)
     out = C.assign(model, enc).withColumnRenamed("prediction", "cluster")
     if out_path:
@@ -68,7 +70,7 @@ def cluster_and_mine(lines: DataFrame, k: int = 3, max_iter: int = 10, runs: int
     fields = list(P.get_format("compute").groups[:10])
     p = p.withColumn("cats", F.array(*fields))
     d = V.category_dictionary(p, "cats")
-    enc = V.encode_ordinal(p, d, "cats", "features", n_positions=len(fields), vector=True).persist()
+    enc = cut_lineage(V.encode_ordinal(p, d, "cats", "features", n_positions=len(fields), vector=True))
     model = C.kmeans(enc, k, max_iter, runs, seed)
     assigned = C.assign(model, enc).withColumnRenamed("prediction", "cluster")
     return M.mine_cluster(assigned.withColumn("items", F.array_distinct("cats")), cluster, min_support,
@@ -89,7 +91,7 @@ def cluster_text_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, seed: in
         from pyspark.ml.feature import IDF
         tf = IDF(inputCol="features", outputCol="_w").fit(tf).transform(tf).drop("features") \
             .withColumnRenamed("_w", "features")
-    tf = tf.persist()
+    tf = cut_lineage(tf)
     model = C.kmeans(tf, k, max_iter, 1, seed)
     out = C.assign(model, tf).withColumnRenamed("prediction", "cluster")
     if out_path:
@@ -129,7 +131,7 @@ def classify_clicks(lines: DataFrame, iters: int = 10, depth: int = 10, seed: in
         e = V.combine_features(e, "cats_idx", "nums", "f", mode)
         return e.withColumn("features", array_to_vector("f")).drop("f")
 
-    tr, te = featurise(train).persist(), featurise(test)
+    tr, te = featurise(train), featurise(test)  # the tree learner caches its own input
     model = L.gbt(tr, iters=iters, depth=depth, seed=seed)
     pred = model.transform(te)
     return model, pred, E.error_rate(pred)

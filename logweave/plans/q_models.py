@@ -108,7 +108,7 @@ def q_newton_boost(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("kmeans", ops=("C1", "C2"))
 def q_kmeans(spark: SparkSession, sf: str) -> DataFrame:
-    e = _emb(spark, sf).persist()
+    e = _emb(spark, sf)  # each fit caches its input and releases it afterwards
     m = C.kmeans(e, k=10, max_iter=20, runs=3, seed=SEED)
     return C.assign(m, e).select("vec_id", F.col("prediction").alias("cluster"))
 
