@@ -157,14 +157,19 @@ def parse_observations_tsv(df: DataFrame, col: str = "line", sep: str = "\t") ->
 # --------------------------------------------------------------------------- P7
 def parse_log_observations(df: DataFrame, message: str = "message", host: str = "host",
                            version: str = "version") -> DataFrame:
-    """Log line prefix ``yyyy-MM-dd HH:mm...`` -> minute timestamp, host, numeric version."""
-    words = F.split(F.col(message), " ", -1)
-    d = F.split(F.get(words, 0), "-", -1)
-    t = F.split(F.get(words, 1), ":", -1)
+    """Log line prefix ``yyyy-MM-dd HH:mm...`` -> minute timestamp, host, numeric version.
+
+    The first two words are split off once behind a one-element ``explode``, so a
+    filter on the timestamp is not rewritten into the whole line expression again.
+    """
+    head = F.slice(F.split(F.col(message), " ", 3), 1, 2)
+    x = df.select(F.col(host).cast("string").alias("key"), F.col(version).try_cast("double").alias("value"),
+                  F.explode(F.array(head)).alias("_w"))
+    d = F.split(F.get(F.col("_w"), 0), "-", -1)
+    t = F.split(F.get(F.col("_w"), 1), ":", -1)
     ts = F.try_make_timestamp_ntz(*(F.get(d, i).try_cast("int") for i in range(3)),
                                   F.get(t, 0).try_cast("int"), F.get(t, 1).try_cast("int"), F.lit(0))
-    return df.select(ts.alias("ts"), F.col(host).cast("string").alias("key"),
-                     F.col(version).try_cast("double").alias("value"))
+    return x.select(ts.alias("ts"), "key", "value")
 
 
 # --------------------------------------------------------------------------- P8
