@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.columns import non_negative, regex_match, split_get, to_double_array
 from ..functions.patterns import CLAIM_PHRASE, LogFormat, get_format
+from ..session import spread
 
 
 # --------------------------------------------------------------------------- P9
@@ -38,6 +39,7 @@ def parse_log(df: DataFrame, col: str, fmt: str | LogFormat,
     f = get_format(fmt)
     groups = tuple(f.default_groups if groups is None else groups)
     names = ["match" if i == 0 else f.groups[i - 1] for i in groups]
+    df = spread(df)  # regex work: use every task slot even on an unsplittable input
     keep_cols = [F.col(c) for c in (keep if keep is not None else df.columns)]
     m = F.struct(regex_match(col, f.pattern, f.n_groups).alias("g"), F.col(col).isNull().alias("n"))
     x = df.select(*keep_cols, F.explode(F.array(m)).alias("_m"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import wallclock as W
 from ..operators import features as V
 from ..operators import parsing as P
-from ..session import read_table
+from ..session import read_table, spread
 from .registry import query
 
 
@@ -103,7 +103,7 @@ def q_parse_observations(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- P14/P15
 def basket_lines(spark: SparkSession, sf: str) -> DataFrame:
     """CSV lines with 18 leading fields and three ``name_value`` items (fields 18-20)."""
-    li = read_table(spark, sf, "lineitem")
+    li = spread(read_table(spark, sf, "lineitem"))
     tax = F.when(F.col("l_tax") > 0.05, F.lit("hi")).otherwise(F.round(F.col("l_tax") * 100).cast("bigint").cast("string"))
     items = [F.concat(F.lit("ln_"), F.col("l_linenumber").cast("string")),
              F.concat(F.lit("sk_"), (F.col("l_suppkey") % 10).cast("string")),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import wallclock as W
+from ..session import spread
 
 
 def _level() -> Column:
@@ -34,6 +35,7 @@ def compute_lines(events: DataFrame, keep: tuple[str, ...] | list = ("event_id",
         F.col("event_id").cast("string"), _level(), F.lit("compute.claims"),
         F.format_string("[req-%d u%d t%d - - -]", "event_id", "user_id", F.col("user_id") % 7),
         F.format_string("[instance: %d]", "event_id"), _claim_or_other())
+    events = spread(events)  # rendering is CPU work: spread an unsplittable input
     return events.select(*keep, line.alias("line"))
 
 
@@ -47,6 +49,7 @@ def agent_lines(events: DataFrame) -> DataFrame:
         W.wall_date("ts"), W.wall_time("ts", millis=True),
         F.col("event_id").cast("string"), F.upper("event_type"),
         F.concat(F.lit("agent."), F.col("event_type")), msg, tail)
+    events = spread(events)  # rendering is CPU work: spread an unsplittable input
     return events.select("event_id", line.alias("line"))
 
 
@@ -59,6 +62,7 @@ def dashboard_lines(events: DataFrame) -> DataFrame:
         F.format_string("%04d]", F.year("ts")), F.lit("[x:error]"),
         F.format_string("[pid %d:tid %d]", "user_id", "event_id"),
         F.format_string("%s boom %d", F.col("event_type"), F.floor(F.col("value"))))
+    events = spread(events)  # rendering is CPU work: spread an unsplittable input
     return events.select("event_id", line.alias("line"))
 
 
@@ -72,6 +76,7 @@ def api_lines(events: DataFrame) -> DataFrame:
         F.format_string("[req-%d u%d t%d - - -]", "event_id", "user_id", F.col("user_id") % 7),
         F.format_string("10.0.%d.%d", F.col("user_id") % 250, F.col("event_id") % 250),
         F.concat(F.lit('"'), method), F.format_string("/v2/%s/%d", F.col("event_type"), "user_id"))
+    events = spread(events)  # rendering is CPU work: spread an unsplittable input
     return events.select("event_id", line.alias("line"))
 
 
@@ -87,6 +92,7 @@ def dashboard_access_lines(events: DataFrame) -> DataFrame:
         F.lit('HTTP/1.1"'), status, F.floor(F.col("value") * 10).cast("string"),
         F.format_string('"http://host/%d"', "user_id"),
         F.lit('"Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/49.0 Safari/537.36"'))
+    events = spread(events)  # rendering is CPU work: spread an unsplittable input
     return events.select("event_id", line.alias("line"))
 
 
