@@ -441,3 +441,34 @@ def test_parse_log_on_mismatch_and_known_users(spark):
     users = spark.createDataFrame([("0001",)], "user_id string")
     got = [(r.user_id, r.message[:10]) for r in P.filter_known_users(p, users).collect()]
     assert got == [("u0001", "Attempting")]
+
+
+def test_spread_only_when_needed(spark):
+    from logweave.session import default_parallelism, spread
+    n = default_parallelism(spark)
+    one = spark.range(0, 100, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == n
+    many = spark.range(0, 100, numPartitions=n + 3)
+    assert spread(many).rdd.getNumPartitions() == n + 3
+
+
+def test_wallclock_is_zone_free(spark):
+    from logweave.functions import wallclock as Wc
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([("1995-10-15 00:00:00",), ("1995-10-14 23:30:15.25",)], "s string") \
+            .select(F.col("s").cast("timestamp_ntz").alias("ts"))
+        r = df.select(Wc.wall_datetime("ts").alias("dt"), Wc.trunc("ts", "day").cast("string").alias("d"),
+                      Wc.epoch_seconds("ts").alias("e"), Wc.wall_time("ts", millis=True).alias("ms")).collect()
+        assert [x.dt for x in r] == ["1995-10-15 00:00:00", "1995-10-14 23:30:15"]
+        assert [x.d for x in r] == ["1995-10-15 00:00:00", "1995-10-14 00:00:00"]
+        assert r[0].e - r[1].e == 1800 - 15.25 and r[1].ms == "23:30:15.250"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_contains_filter_without_ids(spark):
+    keys = spark.createDataFrame([("u1",)], "k string")
+    ids = spark.createDataFrame([], "id string")
+    assert P.filter_contains_any(keys, "k", ids, "id").count() == 0
