@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, urls
+from . import credentials, mixing, packing, tokens, urls
 
 QUERIES = {
+    "op4_secrets": credentials.op4_secrets,
     "op6_mix": mixing.op6_mix,
+    "op8_pack": packing.op8_pack,
+    "op9_token_counts": tokens.op9_token_counts,
     "op10_url_filter": urls.op10_url_filter,
 }
 ORACLE_SQL = {"op6_mix": mixing.OP6_SQL}
