@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import credentials, mixing, packing, tokens, urls
+from . import credentials, minhash, mixing, packing, quality, simhash, tokens, urls
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
+    "op3_simhash": simhash.op3_simhash,
     "op4_secrets": credentials.op4_secrets,
+    "op5_fingerprints": minhash.op5_fingerprints,
     "op6_mix": mixing.op6_mix,
     "op8_pack": packing.op8_pack,
     "op9_token_counts": tokens.op9_token_counts,
