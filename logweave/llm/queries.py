@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import credentials, minhash, mixing, packing, quality, simhash, tokens, urls
+from . import credentials, minhash, mixing, packing, quality, simhash, tokens, topk, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -10,8 +10,9 @@ QUERIES = {
     "op4_secrets": credentials.op4_secrets,
     "op5_fingerprints": minhash.op5_fingerprints,
     "op6_mix": mixing.op6_mix,
+    "op7_top_k": topk.op7_top_k,
     "op8_pack": packing.op8_pack,
     "op9_token_counts": tokens.op9_token_counts,
     "op10_url_filter": urls.op10_url_filter,
 }
-ORACLE_SQL = {"op6_mix": mixing.OP6_SQL}
+ORACLE_SQL = {"op6_mix": mixing.OP6_SQL, "op7_top_k": topk.OP7_SQL}
