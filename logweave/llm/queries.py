@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import credentials, minhash, mixing, packing, quality, simhash, tokens, topk, urls
+from . import credentials, lm, minhash, mixing, packing, quality, simhash, tokens, topk, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op2_lm_score": lm.op2_lm_score,
     "op3_simhash": simhash.op3_simhash,
     "op4_secrets": credentials.op4_secrets,
     "op5_fingerprints": minhash.op5_fingerprints,
