@@ -1,8 +1,8 @@
 """LM scoring (operator 2): hashed maximum-entropy model with a class-factored softmax.
 
 P(token | history) = P(class | history) * P(token | class). The class factor is a softmax over
-a few hundred classes whose features are the last token, the last two, and the tokens two
-and three back (skip features), hashed into a fixed number of weight rows. The most
+some eighty classes whose features are the last token, the last two, and the token two
+back alone (skip feature), hashed into a fixed number of weight rows. The most
 frequent tokens are classes of their own; the other head tokens and all tail tokens fall into
 classes by their ending. Inside a class the model's features are the tokens themselves,
 whose maximum-entropy weights are the logarithms of their (for tail tokens: discounted)
@@ -47,14 +47,15 @@ from .tokens import utf8
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"              # no word holds a line break
 HEAD = 1 << 16           # tokens in the broadcast table
-SINGLE = 96              # of these, tokens that are classes of their own
-ENDINGS = 48             # classes by ending, for head and for tail tokens each
+SINGLE = 40              # of these, tokens that are classes of their own
+ENDINGS = 20             # classes by ending, for head and for tail tokens each
 ROWS = 1 << 14           # hashed weight rows
 BLOCK = 256              # weight rows summed together
-CHUNK = 8192             # tokens of one numpy batch
+CHUNK = 1 << 14          # tokens of one numpy batch when scoring
+STEP = 1 << 15           # tokens of one gradient update
 FLUSH = 400_000          # distinct tokens a task counts before it hands them on
-HISTORY = 3
-_MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
+HISTORY = 2
+_MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -186,7 +187,7 @@ class Reader:
         return out
 
 
-def chunks(documents: Iterator[np.ndarray], gap: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def chunks(documents: Iterator[np.ndarray], gap: int, size: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(symbols with history, places of the targets, document of each target), of bounded length."""
     parts, owners, held = [], [], 0
     pad = np.full(HISTORY, gap, np.int64)
@@ -198,12 +199,12 @@ def chunks(documents: Iterator[np.ndarray], gap: int) -> Iterator[tuple[np.ndarr
         return symbols, place, owner[place]
 
     for d, symbols in enumerate(documents):
-        for at in range(0, len(symbols), CHUNK):
-            part = symbols[at:at + CHUNK]
+        for at in range(0, len(symbols), size):
+            part = symbols[at:at + size]
             parts += [pad if at == 0 else symbols[at - HISTORY:at], part]
             owners += [np.full(HISTORY, -1), np.full(len(part), d)]
             held += len(part)
-            if held >= CHUNK:
+            if held >= size:
                 yield out()
                 parts, owners, held = [], [], 0
     if held:
@@ -211,10 +212,10 @@ def chunks(documents: Iterator[np.ndarray], gap: int) -> Iterator[tuple[np.ndarr
 
 
 def features(symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """(features, targets) weight rows: last, last two, two back, three back."""
-    one, two, three = (symbols[place - i].astype(np.uint64) + np.uint64(1) for i in (1, 2, 3))
-    keys = (one, one * np.uint64(1_000_003) + two, two, three)
-    rows = [((k * np.uint64(m) + np.uint64(i + 1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 14)
+    """(features, targets) weight rows: last token, last two, the one two back."""
+    one, two = (symbols[place - i].astype(np.uint64) + np.uint64(1) for i in (1, 2))
+    keys = (one, one * np.uint64(1_000_003) + two, two)
+    rows = [((k * np.uint64(m) + np.uint64(i + 1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - ROWS.bit_length())
             for i, (k, m) in enumerate(zip(keys, _MULTIPLIERS))]
     return np.stack(rows).astype(np.int64)
 
@@ -234,21 +235,20 @@ def _train(batches: Iterator[pa.RecordBatch], shared, rate: float) -> Iterator[p
     """Gradient updates on this task's documents; the changed rows and how often they were met, by block."""
     model = shared.value
     reader = Reader(model)
-    weights, squares = model.weights.copy(), np.ones_like(model.weights)
-    bias, met = model.bias, np.zeros(ROWS, np.int64)
+    weights, squares = model.weights.copy(), np.ones(model.weights.T.shape, np.float32)
+    bias, met, gradient = model.bias, np.zeros(ROWS, np.int64), np.empty(weights.T.shape, np.float32)
     for batch in batches:
         documents = (reader.symbols(t.lower().split()) for t in utf8(batch.column(0)))
-        for symbols, place, _ in chunks(documents, reader.gap):
+        for symbols, place, _ in chunks(documents, reader.gap, STEP):
             rows = features(symbols, place)
             error = class_probabilities(bias, weights, rows)
             error[np.arange(len(place)), reader.classes(symbols[place])] -= 1.0
-            for r in rows:
-                order = np.argsort(r, kind="stable")
-                touched, first, n = np.unique(r[order], return_index=True, return_counts=True)
-                gradient = np.add.reduceat(error[order], first, axis=0)
-                squares[touched] += gradient * gradient
-                weights[touched] -= rate * gradient / np.sqrt(squares[touched])
-                met[touched] += n
+            # one histogram of all features per class
+            for k, e in enumerate(np.ascontiguousarray(error.T, np.float64)):
+                gradient[k] = sum(np.bincount(r, e, ROWS) for r in rows)
+            squares += gradient * gradient
+            weights -= (rate * gradient / np.sqrt(squares)).T
+            met += np.bincount(rows.ravel(), minlength=ROWS)
     change = weights - model.weights
     for at in range(0, ROWS, BLOCK):
         n = met[at:at + BLOCK]
