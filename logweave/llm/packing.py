@@ -3,10 +3,10 @@
 Documents are tokenized where they are read; only piece rows (id, place, length,
 checksum) go on. The pieces are dealt at random into groups of a bounded number of
 rows and each group is packed by best-fit decreasing. Lower bounds from dual feasible
-functions certify a group's bin count. Each group closes its full bins and those its
-certificate vouches for and gives the documents of its emptiest bins to the exchange: one bin if the
-count is certified, more the wider the gap. The exchanged documents are dealt into
-fewer groups and packed again, until one group is left.
+functions certify a group's bin count. Each group closes its fullest bins, as long as they waste no
+more than an eighth of a bin in all, and gives the documents of the others to the exchange;
+a group whose count is above its bound gives up more, the wider the gap. Exchanged documents are
+dealt into at most half as many groups and packed again, until one group is left.
 
 Every round's rows are checkpointed, so a lost executor repeats one round's work at
 most. A group never holds more than ``group_rows`` pieces on average, whatever the input.
@@ -128,8 +128,12 @@ def _pack_group(number: int, group: pa.Table, capacity: int, level: int, last: b
     gap = n_bins - lower_bound(lengths, capacity)
     released = np.zeros(n_bins, bool)
     if not last:
-        emptiest = np.argsort(fill, kind="stable")[:1 + 8 * gap]
-        released[emptiest[fill[emptiest] < capacity]] = True
+        fullest = np.argsort(-fill, kind="stable")
+        waste = np.cumsum(capacity - fill[fullest])
+        # closed bins waste an eighth of a bin at most; a gap gives up some more to repack with
+        given = max(int((waste > capacity // 8).sum()), 8 * gap)
+        given = fullest[n_bins - min(given, n_bins):]
+        released[given[fill[given] < capacity]] = True
     # offsets: running sum inside each bin
     order = np.argsort(bins, kind="stable")
     before = np.cumsum(lengths[order]) - lengths[order]
