@@ -37,9 +37,9 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 # The linking patterns. A maximal run needs no second look, so its least length is in the pattern.
 ACCESS_LONG = r"AKIA[A-Z0-9]{14,}"
 HEX_LONG = r"[0-9a-f]{16,}"
-_VALUE = r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=!#%&*-]{4,}"""
-ACCOUNT = r"(?i:\b(?:user_?name|user_?id|user|login|client_?id|account_?id|access_?key_?id))" + _VALUE
-SHORT_SECRET = r"(?i:\b(?:password|passwd|passphrase|pass|pwd|secret|token|api_?key|private_?key|client_?secret))" + _VALUE
+_VALUE = r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=!#%&*-]"""
+ACCOUNT = r"(?i:\b(?:user_?name|user_?id|user|login|client_?id|account_?id|access_?key_?id))" + _VALUE + "{2,}"
+SHORT_SECRET = r"(?i:\b(?:password|passwd|passphrase|pass|pwd|secret|token|api_?key|private_?key|client_?secret))" + _VALUE + "{4,}"
 ENDPOINT = r"(?i:\b(?:https?|ftp|sftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp))://[^\x20\x09-\x0D\"'<>]+"
 BLANK_LINE = r"\n[\x20\t\r]*\n"
 

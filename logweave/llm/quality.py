@@ -185,7 +185,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, **ho
     n = usable.count()
     if n > max_rows:
         usable = usable.where(F.col("_order") < int((1 << 30) * 1.1 * max_rows / n)).orderBy("_order", "_id", "label").limit(max_rows)
-    rows = docs.join(F.broadcast(usable), docs["doc_id"] == usable["_id"]).select("label", docs["text"]).mapInArrow(
+    texts = docs.select(F.col("doc_id").alias("_id"), "text")
+    rows = texts.join(F.broadcast(usable), "_id").select("label", "text").mapInArrow(
         _sample_rows, "label double, x binary").toArrow()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, N_STATISTICS)
     y = rows["label"].to_numpy()
