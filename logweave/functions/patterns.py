@@ -23,8 +23,9 @@ class LogFormat:
 
 
 # ---------------------------------------------------------------------------
-# These log formats must equal the original jobs' expressions
-# character for character, so that the same lines match with the same groups.
+# These log formats must match the same lines with the same groups as the
+# original jobs' expressions (two of them write a quote with a backslash before it, which
+# means the same).
 # ---------------------------------------------------------------------------
 COMPUTE_LOG = (
     r"([\d*-]*) ([\d*:]*.\d*) (\d*) (\w*) ([\w*\.]*) \[([\w*-]*) ([a-zA-Z0-9]*) "

@@ -67,11 +67,13 @@ def epoch_seconds(ts: str | Column) -> Column:
 
 
 def trunc(ts: str | Column, unit: str) -> Column:
-    """Truncate to ``day``, ``hour``, ``minute`` or ``second`` as a timestamp_ntz."""
+    """Truncate to ``month``, ``day``, ``hour``, ``minute`` or ``second`` as a timestamp_ntz."""
     t = _c(ts)
     unit = unit.lower()
     zero = F.lit(0)
+    day = F.lit(1) if unit == "month" else F.dayofmonth(t)
     parts = {
+        "month": (zero, zero, zero),
         "day": (zero, zero, zero),
         "hour": (F.hour(t), zero, zero),
         "minute": (F.hour(t), F.minute(t), zero),
@@ -80,4 +82,4 @@ def trunc(ts: str | Column, unit: str) -> Column:
     if unit not in parts:
         raise ValueError(f"unsupported unit {unit!r}")
     h, m, s = parts[unit]
-    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), h, m, s)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), day, h, m, s)

@@ -7,16 +7,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, OneHotEncoder, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF, OneHotEncoder, Tokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import HASH_RANGE
 from .indexing import with_row_id
+from .parsing import tokens
 
-# Dictionaries up to this many (position, value) entries are broadcast to the
-# encoder; larger ones are joined with ordinary (shuffle) joins.
-BROADCAST_DICTIONARY_MAX = 200_000
+#: Width of hashed term vectors, the class default of the original's estimator.
+HASH_WIDTH = 1 << 20
 
 
 # --------------------------------------------------------------------------- A8
@@ -33,21 +34,18 @@ def encode_ordinal(df: DataFrame, dictionary: DataFrame, col: str = "cats", out:
                    vector: bool = False) -> DataFrame:
     """Replace each category by its dictionary index; unseen -> ``default``.
 
-    One left join per position. Each position's slice of the dictionary is sized
-    first (one grouped count, a row per position): a slice of at most
-    ``BROADCAST_DICTIONARY_MAX`` entries is broadcast, so ``df`` is not shuffled
-    for it; only a larger slice (a high-cardinality position) is joined by
-    shuffle, where AQE splits a hot value's partition.
+    One left join per position, without a hint: at run time AQE broadcasts a position's
+    slice of the dictionary if its measured bytes allow it, and otherwise joins by shuffle
+    and splits a hot value's partition.
     """
-    sizes = {r[0]: r[1] for r in dictionary.groupBy("position").count().collect()}
     if n_positions is None:
-        n_positions = max(sizes) + 1 if sizes else 0
+        last = dictionary.agg(F.max("position")).first()[0]
+        n_positions = 0 if last is None else last + 1
     cur = df
     idx_cols = []
     for i in range(n_positions):
         d = dictionary.where(F.col("position") == i).select(
             F.col("value").alias(f"_v{i}"), F.col("idx").cast("double").alias(f"_i{i}"))
-        d = F.broadcast(d) if sizes.get(i, 0) <= BROADCAST_DICTIONARY_MAX else d
         cur = cur.join(d, F.get(F.col(col), i) == F.col(f"_v{i}"), "left").drop(f"_v{i}")
         idx_cols.append(F.coalesce(F.col(f"_i{i}"), F.lit(float(default))))
     cur = cur.withColumn(out, F.array(*idx_cols)).drop(*[f"_i{i}" for i in range(n_positions)])
@@ -92,25 +90,20 @@ def combine_features(df: DataFrame, cats: str = "cats_idx", nums: str = "nums",
 
 # --------------------------------------------------------------------------- tokens
 def words(text: str = "text") -> F.Column:
-    """Lower-case words split on runs of white space (no empty tokens)."""
-    return F.filter(F.split(F.lower(F.col(text)), "\\s+", -1), lambda w: w != "")
+    """The words of ``parsing.tokens`` without the empty ones: what term weights count."""
+    return F.filter(tokens(text), lambda w: w != "")
 
 
-def tokenizer(input_col: str = "text", output_col: str = "words") -> RegexTokenizer:
-    return RegexTokenizer(inputCol=input_col, outputCol=output_col, pattern="\\s+", minTokenLength=1)
+def tokenizer(input_col: str = "text", output_col: str = "words") -> Tokenizer:
+    """The estimator whose rule ``parsing.tokens`` states as an expression."""
+    return Tokenizer(inputCol=input_col, outputCol=output_col)
 
 
 # --------------------------------------------------------------------------- V2/V3/V4
 def term_freq(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Exact (doc, term, tf) long form.
-
-    Documents are hash-partitioned by id *before* tokenising: the (doc, term)
-    aggregation is then already clustered (a partitioning on ``doc`` satisfies a
-    grouping on ``(doc, term)``), so the only shuffle moves raw text — not one
-    row per token — and tokenising runs on all cores.
-    """
-    return (df.select(doc, text).repartition(F.col(doc))
-            .select(doc, F.explode(words(text)).alias("term"))
+    """Exact (doc, term, tf) long form. Counts are combined before the shuffle, so an id
+    with very many rows (or a null id) is no single task, and no text is shuffled."""
+    return (df.select(doc, F.explode(words(text)).alias("term"))
             .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -141,28 +134,28 @@ def term_scores(tfidf: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- V1/V5/V9
 def hashing_tf(df: DataFrame, words_col: str = "words", out: str = "tf",
-               num_features: int = 1 << 18) -> DataFrame:
+               num_features: int = HASH_WIDTH) -> DataFrame:
     return HashingTF(inputCol=words_col, outputCol=out, numFeatures=num_features).transform(df)
 
 
-def term_index(term: str, num_features: int = 1 << 18) -> int:
+def term_index(term: str, num_features: int = HASH_WIDTH) -> int:
     return HashingTF(numFeatures=num_features).indexOf(term)
 
 
-def hash_slot(term: F.Column, num_features: int = 1 << 18) -> F.Column:
-    """Hashing-trick slot of a term as a native expression: Spark SQL's murmur3
-    ``hash`` (seed 42), non-negative modulo the width. It is not the slot
-    ``ml.feature.HashingTF`` picks (that one uses a corrected murmur3 variant);
+def hash_slot(term: F.Column, num_features: int = HASH_WIDTH) -> F.Column:
+    """Hashing-trick slot of a term as a native expression: 60 bits of its md5 modulo the
+    width, the same in any SQL engine. It is not the slot ``ml.feature.HashingTF`` picks;
     use ``hashing_tf`` when the slots must line up with an ML pipeline."""
-    return F.pmod(F.hash(term), F.lit(num_features))
+    if num_features > HASH_RANGE:
+        raise ValueError("more slots than hash values")
+    return F.pmod(F.conv(F.substring(F.md5(term), 1, 15), 16, 10).cast("bigint"), F.lit(num_features))
 
 
 def hashed_term_freq(df: DataFrame, doc: str = "doc_id", text: str = "text",
-                     num_features: int = 1 << 18) -> DataFrame:
+                     num_features: int = HASH_WIDTH) -> DataFrame:
     """Hashed TF in long form (doc, slot, tf), slots from ``hash_slot``: a sparse
     term-count vector per document, kept as rows so it can be joined and grouped."""
-    return (df.select(doc, text).repartition(F.col(doc))
-            .select(doc, F.explode(words(text)).alias("_t"))
+    return (df.select(doc, F.explode(words(text)).alias("_t"))
             .select(doc, hash_slot(F.col("_t"), num_features).alias("slot"))
             .groupBy(doc, "slot").agg(F.count(F.lit(1)).alias("tf")))
 

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..session import cut_lineage, default_parallelism
 
@@ -31,7 +32,10 @@ def with_row_id(df: DataFrame, order: Sequence[str | Column] | None = None, out:
         spark = df.sparkSession
         n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                   default_parallelism(spark))
-        base = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        # rows that tie are dealt out by a hash of the row, so that a frequent value is no single task
+        hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+        keys = [*order, F.xxhash64(*hashed)]
+        base = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     ided = cut_lineage(base.withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), _LOW_BITS)
     # one count per partition (a table bounded by the partition count): its prefix

@@ -80,6 +80,11 @@ def svm_margins(model, df: DataFrame, out: str = "margin") -> DataFrame:
 # --------------------------------------------------------------------------- L3
 def logistic(df: DataFrame, features: str = "features", label: str = "label",
              num_classes: int | None = None, max_iter: int = 100):
+    """Multinomial logistic regression without intercept. ``num_classes`` fixes the classes as
+    0..n-1 even where the training rows miss some; otherwise the largest label decides."""
+    if num_classes:
+        attribute = {"ml_attr": {"type": "nominal", "name": label, "vals": [str(float(i)) for i in range(num_classes)]}}
+        df = df.withColumn(label, F.col(label).cast("double").alias(label, metadata=attribute))
     return LogisticRegression(featuresCol=features, labelCol=label, family="multinomial",
                               fitIntercept=False, maxIter=max_iter).fit(df)
 
@@ -99,14 +104,15 @@ def nb_fit_terms(tf: DataFrame, labels: DataFrame, doc: str = "doc_id", label: s
     ``theta (label, term, log_theta)`` with the vocabulary = training terms:
     log_prior = ln(n_c + a) - ln(N + C a),
     log_theta = ln(tf_sum(c, t) + a) - ln(tf_sum(c) + V a).
-    All are grouped aggregates; nothing leaves the executors.
+    All are grouped aggregates; three counts reach the driver. The (class, term) counts feed
+    the vocabulary, the priors and theta, and are written once.
     """
     a = float(smoothing)
     lt = tf.join(labels.select(doc, label), doc)
     docs = labels.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
     n_docs, n_cls = labels.agg(F.count(F.lit(1)), F.countDistinct(label)).first()
-    v = tf.agg(F.countDistinct("term")).first()[0]
-    ct = lt.groupBy(label, "term").agg(F.sum("tf").alias("tf_ct"))
+    ct = cut_lineage(lt.groupBy(label, "term").agg(F.sum("tf").alias("tf_ct")))
+    v = ct.agg(F.countDistinct("term")).first()[0]
     cls = ct.groupBy(label).agg(F.sum("tf_ct").alias("tf_c"))
     priors = (docs.join(cls, label, "left").fillna({"tf_c": 0})
               .select(label,
@@ -195,7 +201,7 @@ def newton_boost(train: DataFrame, test: DataFrame | None = None, *, features: s
 
     Each round's margins are persisted (the previous round's are released) and the
     lineage is cut with a reliable checkpoint every ``checkpoint_interval`` rounds
-    and after the last one.
+    and after the last one. A round's metrics are computed while its margins are held.
 
     Returns (train_with_margin, test_with_margin or None, metrics DataFrame with
     rows (round, dataset, logloss, error)).
@@ -234,9 +240,7 @@ def newton_boost(train: DataFrame, test: DataFrame | None = None, *, features: s
         metrics.append(_round_metrics(tr, label, r, "train"))
         if te is not None:
             metrics.append(_round_metrics(te, label, r, "test"))
-    met = metrics[0]
-    for m in metrics[1:]:
-        met = met.unionByName(m)
+    met = train.sparkSession.createDataFrame(metrics, "round int, dataset string, logloss double, error double")
     return tr, te, met
 
 
@@ -244,9 +248,9 @@ def train_cols(df: DataFrame) -> DataFrame:
     return df.drop("_g", "_h", "_target", "_leaf", "_w", "prediction")
 
 
-def _round_metrics(df: DataFrame, label: str, r: int, name: str) -> DataFrame:
-    return margin_metrics(df, "margin", label).select(
-        F.lit(r).alias("round"), F.lit(name).alias("dataset"), "logloss", "error")
+def _round_metrics(df: DataFrame, label: str, r: int, name: str) -> tuple:
+    m = margin_metrics(df, "margin", label).first()
+    return r, name, m["logloss"], m["error"]
 
 
 def margin_metrics(df: DataFrame, margin: str = "margin", label: str = "label") -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .indexing import with_row_id
+
 
 def _fpgrowth(min_support: float, min_confidence: float, items: str, num_partitions: int | None):
     fp = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence)
@@ -58,10 +60,13 @@ def rules_from_itemsets(itemsets: DataFrame, min_confidence: float, items: str =
 
 
 # --------------------------------------------------------------------------- O1
-def rank_rules(rules: DataFrame) -> DataFrame:
-    """Rules by confidence, highest first; ties in a stated order."""
-    return rules.orderBy(F.desc("confidence"), F.array_join(F.array_sort("antecedent"), "\u0001"),
-                         F.array_join(F.array_sort("consequent"), "\u0001"))
+def rank_rules(rules: DataFrame, out: str = "rank") -> DataFrame:
+    """Every rule with its rank from 1: by confidence, highest first, then by the items of
+    the antecedent and the consequent. Ranks come from range partitions, not from one task."""
+    named = rules.withColumn("_a", F.array_join(F.array_sort("antecedent"), "\u0001")).withColumn(
+        "_c", F.array_join(F.array_sort("consequent"), "\u0001"))
+    ranked = with_row_id(named, [F.desc("confidence"), "_a", "_c"], out=out)
+    return ranked.withColumn(out, F.col(out) + 1).drop("_a", "_c")
 
 
 # --------------------------------------------------------------------------- B4

@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.columns import non_negative, regex_match, split_get, to_double_array
+from ..functions.columns import non_negative, quoted, regex_match, split_get, to_double_array
 from ..functions.patterns import CLAIM_PHRASE, LogFormat, get_format
-from ..session import spread
 
 
 # --------------------------------------------------------------------------- P9
@@ -39,7 +38,6 @@ def parse_log(df: DataFrame, col: str, fmt: str | LogFormat,
     f = get_format(fmt)
     groups = tuple(f.default_groups if groups is None else groups)
     names = ["match" if i == 0 else f.groups[i - 1] for i in groups]
-    df = spread(df)  # regex work: use every task slot even on an unsplittable input
     keep_cols = [F.col(c) for c in (keep if keep is not None else df.columns)]
     m = F.struct(regex_match(col, f.pattern, f.n_groups).alias("g"), F.col(col).isNull().alias("n"))
     x = df.select(*keep_cols, F.explode(F.array(m)).alias("_m"))
@@ -49,7 +47,8 @@ def parse_log(df: DataFrame, col: str, fmt: str | LogFormat,
         x = x.where(F.col("_m.g").isNotNull())
     out = []
     for i, n in zip(groups, names):
-        v = F.col("_m.g")[i] if on_mismatch == "null" else F.coalesce(F.col("_m.g")[i], F.lit(""))
+        v = F.get(F.col("_m.g"), i)
+        v = v if on_mismatch == "null" else F.coalesce(v, F.lit(""))
         v = F.trim(v) if trim else v
         out.append(F.when(F.col("_m.n"), F.lit(None).cast("string")).otherwise(v).alias(n))
     sel = [F.col(name) for name in (keep if keep is not None else df.columns)] + out
@@ -69,15 +68,15 @@ def drop_unparsed(df: DataFrame, key: str, *, require_last: str | None = None) -
 
 # --------------------------------------------------------------------------- P10
 def key_by_group(df: DataFrame, key: str, values: Sequence[str], out: str = "value",
-                 sep: str = ",") -> DataFrame:
+                 sep: str = ",", keep: Sequence[str] = ()) -> DataFrame:
     """One comma-joined value per row next to its key (tenant -> fields)."""
-    return df.select(F.col(key).alias("key"), F.concat_ws(sep, *values).alias(out))
+    return df.select(*keep, F.col(key).alias("key"), F.concat_ws(sep, *values).alias(out))
 
 
 # --------------------------------------------------------------------------- P17
 def split_tokens(df: DataFrame, col: str, sep: str = ",", out: str = "items",
                  distinct: bool = True) -> DataFrame:
-    arr = F.split(F.col(col), sep, -1)
+    arr = F.split(F.col(col), quoted(sep), -1)
     return df.withColumn(out, F.array_distinct(arr) if distinct else arr)
 
 
@@ -104,18 +103,42 @@ def is_claim(message: str | Column, phrase: str = CLAIM_PHRASE) -> Column:
 # --------------------------------------------------------------------------- P1/P2
 def parse_labeled(df: DataFrame, col: str = "line", sep: str = ",", feature_sep: str = " ",
                   vector: bool = False) -> DataFrame:
-    """``label,f1 f2 ...`` -> (label double, features). All features are kept."""
+    """``label,f1 f2 ...`` -> (label double, features). All features are kept.
+
+    Without ``vector`` a bad token is a null in its place. A vector holds no nulls: with
+    ``vector`` a row with a bad label or token is dropped (``count_bad`` counts them).
+    """
     label = split_get(col, sep, 0).try_cast("double")
     rest = F.trim(split_get(col, sep, 1))
     feats = to_double_array(rest, feature_sep)
     out = df.select(label.alias("label"), feats.alias("features"))
-    return out.withColumn("features", array_to_vector("features")) if vector else out
+    return to_vectors(out.where(F.col("label").isNotNull())) if vector else out
 
 
 def parse_dense(df: DataFrame, col: str = "line", sep: str = " ", vector: bool = False) -> DataFrame:
+    """Numbers of a line; bad tokens as in ``parse_labeled``."""
     feats = to_double_array(F.trim(F.col(col)), sep)
     out = df.select(feats.alias("features"))
-    return out.withColumn("features", array_to_vector("features")) if vector else out
+    return to_vectors(out) if vector else out
+
+
+def all_numbers(features: str | Column = "features") -> Column:
+    """Whether an array is there and holds no null."""
+    c = F.col(features) if isinstance(features, str) else features
+    return F.coalesce(F.forall(c, lambda x: x.isNotNull()), F.lit(False))
+
+
+def to_vectors(df: DataFrame, col: str = "features") -> DataFrame:
+    """Arrays to vectors; rows with a null in the array (or no array) are dropped before."""
+    return df.where(all_numbers(col)).withColumn(col, array_to_vector(col))
+
+
+def count_bad(df: DataFrame, features: str = "features", label: str | None = None) -> DataFrame:
+    """(n_rows, n_bad): rows that vector building drops."""
+    good = all_numbers(features)
+    if label:
+        good = good & F.col(label).isNotNull()
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~good).alias("n_bad"))
 
 
 # --------------------------------------------------------------------------- P3
@@ -137,7 +160,7 @@ def parse_category_text(df: DataFrame, col: str = "line", sep: str = ",",
 def split_fields(df: DataFrame, col: str = "line", sep: str = ",", id_idx: int = 0,
                  label_idx: int = 1, cats: tuple[int, int] = (5, 14), nums_from: int = 15) -> DataFrame:
     """Positional field groups: id, label, categorical slice, numeric tail."""
-    arr = F.split(F.col(col), sep, -1)
+    arr = F.split(F.col(col), quoted(sep), -1)
     n_cats = cats[1] - cats[0] + 1
     tail = F.slice(arr, nums_from + 1, F.greatest(F.size(arr) - nums_from, F.lit(0)))
     return df.select(F.get(arr, id_idx).alias("id"),
@@ -149,7 +172,7 @@ def split_fields(df: DataFrame, col: str = "line", sep: str = ",", id_idx: int =
 # --------------------------------------------------------------------------- P6
 def parse_observations_tsv(df: DataFrame, col: str = "line", sep: str = "\t") -> DataFrame:
     """year, month, day, symbol, (unused), price -> (ts, key, value)."""
-    arr = F.split(F.col(col), sep, -1)
+    arr = F.split(F.col(col), quoted(sep), -1)
     ts = F.try_make_timestamp_ntz(F.get(arr, 0).try_cast("int"), F.get(arr, 1).try_cast("int"),
                                   F.get(arr, 2).try_cast("int"), F.lit(0), F.lit(0), F.lit(0))
     return df.select(ts.alias("ts"), F.get(arr, 3).alias("key"),
@@ -216,7 +239,7 @@ def clamp_non_negative(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # --------------------------------------------------------------------------- P14/P15
 def basket_from_fields(df: DataFrame, col: str = "line", sep: str = ",",
                        idx: Sequence[int] = (18, 19, 20)) -> DataFrame:
-    arr = F.split(F.col(col), sep, -1)
+    arr = F.split(F.col(col), quoted(sep), -1)
     return df.select(F.array(*[F.get(arr, i) for i in idx]).alias("items"))
 
 
@@ -236,9 +259,18 @@ def validate_basket(df: DataFrame, items: str = "items") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- P18
+def tokens(text: str | Column = "text") -> Column:
+    """The one word rule of the library, that of ``ml.feature.Tokenizer``: lower case, split at
+    every white-space character, empty words kept except at the end."""
+    c = F.col(text) if isinstance(text, str) else text
+    body = F.regexp_replace(F.lower(c), "\\s+$", "")
+    blank = c.rlike("^\\s+$")
+    return F.when(blank, F.array().cast("array<string>")).otherwise(F.split(body, "\\s", -1))
+
+
 def tokenize(df: DataFrame, col: str = "text", out: str = "words") -> DataFrame:
-    """Lower-case whitespace tokens, same rule as ``ml.feature.Tokenizer``."""
-    return df.withColumn(out, F.split(F.lower(F.col(col)), "\\s", -1))
+    """Words of a text column, see ``tokens``."""
+    return df.withColumn(out, tokens(col))
 
 
 # --------------------------------------------------------------------------- P19

@@ -91,10 +91,6 @@ def top_k(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- D1/D2
-def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    return df.dropDuplicates(list(cols)) if cols else df.distinct()
-
-
 def distinct_points(df: DataFrame, col: str = "features") -> DataFrame:
     """Distinct feature arrays (vectors are compared through their array form)."""
     t = dict(df.dtypes)[col]

@@ -1,6 +1,6 @@
 """Reproducible splits, samples and folds.
 
-Rows are assigned by an md5 bucket of ``seed|key``: the assignment depends only
+Rows are assigned by the md5 of ``seed|key``, a number in [0, 2**60): the assignment depends only
 on the row's key, never on partition layout or task retries, so a lost executor
 recomputes exactly the same split. ``randomSplit``/``sample`` remain available
 for callers that want Spark's own Bernoulli sampling.
@@ -13,9 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import hash_bucket
-
-BUCKETS = 10_000
+from ..functions.columns import HASH_RANGE, hash_value
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -25,11 +23,11 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 def split_index(key: str | Sequence[str], weights: Sequence[float], seed: int) -> Column:
     """Index of the part (0..len(weights)-1) each row falls in."""
     total = float(sum(weights))
-    b = hash_bucket(_keys(key), seed, BUCKETS)
+    b = hash_value(_keys(key), seed)
     edges, acc = [], 0.0
     for w in weights[:-1]:
         acc += w / total
-        edges.append(int(round(acc * BUCKETS)))
+        edges.append(int(round(acc * HASH_RANGE)))
     expr = F.lit(len(weights) - 1)
     for i in reversed(range(len(edges))):
         expr = F.when(b < edges[i], F.lit(i)).otherwise(expr)
@@ -50,12 +48,12 @@ def sample(df: DataFrame, fraction: float, key: str | Sequence[str], seed: int =
            method: str = "hash") -> DataFrame:
     if method == "random":
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    return df.where(hash_bucket(_keys(key), seed, BUCKETS) < int(round(fraction * BUCKETS)))
+    return df.where(hash_value(_keys(key), seed) < int(round(fraction * HASH_RANGE)))
 
 
 # --------------------------------------------------------------------------- X3
 def fold_column(key: str | Sequence[str], k: int, seed: int = 0) -> Column:
-    return F.pmod(hash_bucket(_keys(key), seed, BUCKETS * k), F.lit(k)).cast("int")
+    return F.pmod(hash_value(_keys(key), seed), F.lit(k)).cast("int")
 
 
 def kfold(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 0, out: str = "fold") -> DataFrame:
@@ -63,11 +61,6 @@ def kfold(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 0, out: s
     return df.withColumn(out, fold_column(key, k, seed))
 
 
-def kfold_pairs(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 0) -> list[tuple[DataFrame, DataFrame]]:
-    f = fold_column(key, k, seed)
-    return [(df.where(f != i), df.where(f == i)) for i in range(k)]
-
-
 # --------------------------------------------------------------------------- A4
 def kfold_aggregate(df: DataFrame, k: int, key: str | Sequence[str], value: str,
                     seed: int = 0) -> DataFrame:

@@ -1,50 +1,113 @@
 """Time-series operators on long-form series ``(key, ts, value)``.
 
-A series set is kept long, one row per (key, instant): aligning to a uniform
-index makes every key exactly ``len(index)`` rows long, so the per-key windows
-below are bounded by the index, not by how skewed the raw observations are.
+A series set is kept long, one row per (key, instant). An index is a number of steps, not
+a list of instants: instants are computed from their position on the executors.
+
+Filling, rates and the Durbin-Watson statistic look at neighbouring rows of a series. A
+series is cut into stretches of ``STRETCH`` seconds that are worked on by separate tasks;
+what crosses a border (the last and next known value) comes from a table with one row
+per key and stretch. So one long series is as well spread as many short ones.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+import calendar
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import wallclock as W
 from ..functions.wallclock import epoch_seconds
 
-_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
-
-
-def step_seconds(step: str) -> int:
-    """'1 hour' / '15 minutes' / 'day' -> seconds (fixed-length steps only)."""
-    parts = step.strip().lower().split()
-    n, unit = (1, parts[0]) if len(parts) == 1 else (int(parts[0]), parts[1])
-    unit = unit.rstrip("s")
-    if unit not in _UNITS:
-        raise ValueError(f"unsupported step {step!r}")
-    return n * _UNITS[unit]
-
-
-def _interval(step: str) -> F.Column:
-    return F.expr(f"INTERVAL {step_seconds(step)} SECONDS")
-
-
-def _ts_lit(t: datetime | str) -> F.Column:
-    return F.lit(str(t)).cast("timestamp_ntz")
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
+_MONTHS = {"month": 1, "quarter": 3, "year": 12}
+#: Seconds of a series that one task works on: a month of second-by-second data.
+STRETCH = 30 * 86400
+#: Instants that one row of the grid stands for before it is expanded.
+_CHUNK = 4096
+
+
+def parse_step(step: str) -> tuple[str, int]:
+    """'15 minutes' -> ("seconds", 900), 'quarter' -> ("months", 3), '2 business days' -> ("business", 2)."""
+    words = step.strip().lower().split()
+    n = int(words.pop(0)) if words[0].lstrip("-").isdigit() else 1
+    unit = " ".join(words).rstrip("s")
+    if n <= 0:
+        raise ValueError(f"a step must be positive, not {step!r}")
+    if unit in _SECONDS:
+        return "seconds", n * _SECONDS[unit]
+    if unit in _MONTHS:
+        return "months", n * _MONTHS[unit]
+    if unit == "business day":
+        return "business", n
+    raise ValueError(f"unsupported step {step!r}")
+
+
+def _instant(t: datetime | str) -> datetime:
+    return t if isinstance(t, datetime) else datetime.fromisoformat(str(t))
+
+
+def _add_months(t: datetime, n: int) -> datetime:
+    year, month = divmod(t.year * 12 + t.month - 1 + n, 12)
+    return t.replace(year=year, month=month + 1, day=min(t.day, calendar.monthrange(year, month + 1)[1]))
+
+
+def _first_weekday(t: datetime) -> datetime:
+    return t + timedelta(days=(7 - t.weekday()) % 7) if t.weekday() > 4 else t
+
+
+def index_length(start: datetime | str | None, end: datetime | str | None, step: str) -> int:
+    """Number of instants from ``start`` to ``end``, both ends included; 0 without bounds."""
+    if start is None or end is None:
+        return 0
+    lo, hi = _instant(start), _instant(end)
+    kind, n = parse_step(step)
+    if kind == "seconds":
+        return max(0, int((hi - lo).total_seconds() // n) + 1)
+    if kind == "months":
+        steps = ((hi.year - lo.year) * 12 + hi.month - lo.month) // n
+        return max(0, steps + (1 if _add_months(lo, steps * n) <= hi else 0))
+    lo = _first_weekday(lo)
+    if hi < lo:
+        return 0
+    days = (hi - lo).days
+    weeks, rest = divmod(days, 7)
+    weekdays = weeks * 5 + sum((lo.weekday() + d) % 7 < 5 for d in range(rest + 1))
+    return (weekdays - 1) // n + 1
+
+
+def instant_at(start: datetime | str, step: str, position: Column) -> Column:
+    """The index's instant at a 0-based position, as a timestamp_ntz."""
+    kind, n = parse_step(step)
+    lo = _instant(start)
+    if kind == "business":
+        lo = _first_weekday(lo)
+    t = F.lit(str(lo)).cast("timestamp_ntz")
+    if kind == "months":
+        return t + F.make_ym_interval(F.lit(0), (position * n).cast("int"))
+    if kind == "seconds":
+        total = position * n
+        zero = F.lit(0)
+        return t + F.make_dt_interval(F.floor(total / 86400).cast("int"), zero, zero, F.pmod(total, F.lit(86400)).cast("decimal(18,6)"))
+    days = position * n + 2 * F.floor((position * n + lo.weekday()) / 5)
+    return t + F.make_dt_interval(days.cast("int"))
 
 
 # --------------------------------------------------------------------------- T1
-def datetime_index(spark: SparkSession, start: datetime | str, end: datetime | str,
+def datetime_index(spark: SparkSession, start: datetime | str | None, end: datetime | str | None,
                    step: str = "1 hour") -> DataFrame:
-    """Uniform instants from ``start`` to ``end``, both ends included."""
-    return spark.range(1).select(
-        F.explode(F.sequence(_ts_lit(start), _ts_lit(end), _interval(step))).alias("ts"))
+    """Uniform instants from ``start`` to ``end``, both ends included.
 
+    Steps are seconds to weeks, months, quarters, years (end of month kept within the
+    month) or business days (Monday to Friday).
+    """
+    n = index_length(start, end, step)
+    at = instant_at(start, step, F.col("id")) if n else F.lit(None).cast("timestamp_ntz")
+    return spark.range(n).select(at.alias("ts"))
 
-def _trunc(df: DataFrame, ts: str, unit: str) -> F.Column:
+
+def _trunc(df: DataFrame, ts: str, unit: str) -> Column:
     """Wall-clock truncation for timestamp_ntz (zone-free), session-zone for timestamp."""
     if dict(df.dtypes)[ts] == "timestamp_ntz":
         return W.trunc(ts, unit)
@@ -64,67 +127,98 @@ def snap(df: DataFrame, unit: str, ts: str = "ts") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- T2
-def align(obs: DataFrame, start: datetime | str, end: datetime | str, step: str = "1 hour", *,
+def align(obs: DataFrame, start: datetime | str | None, end: datetime | str | None, step: str = "1 hour", *,
           ts: str = "ts", key: str = "key", value: str = "value",
           duplicates: str = "max") -> DataFrame:
     """Observations on a uniform index, one row per (key, instant).
 
     Missing instants get a null value; observations off the index are dropped;
     several observations on one instant are reduced by ``duplicates`` (``max``
-    by default, a stated order instead of "whichever came last").
-    The grid is generated per key with ``explode(sequence(...))`` — no cross join —
-    and joined to the (key, ts)-aggregated observations.
+    by default, a stated order instead of "whichever came last"). Without bounds (an
+    empty input) the result is empty. The grid grows from one row per key and 4,096
+    instants, dealt out before they are expanded, and is joined to the (key, ts) sums.
     """
-    s, e, sec = _ts_lit(start), _ts_lit(end), step_seconds(step)
-    t = F.col(ts)
-    off = epoch_seconds(t) - epoch_seconds(s)
-    on_index = (t >= s) & (t <= e) & (F.pmod(off, F.lit(sec)) == 0)
     red = {"max": F.max, "min": F.min, "sum": F.sum, "avg": F.avg}[duplicates]
-    o = (obs.where(on_index & F.col(key).isNotNull())
-         .groupBy(F.col(key).alias("key"), t.alias("ts"))
-         .agg(red(value).cast("double").alias("value")))
-    keys = obs.where(F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct()
-    grid = keys.select("key", F.explode(F.sequence(s, e, _interval(step))).alias("ts"))
+    n = index_length(start, end, step)
+    t = F.col(ts)
+    known = obs.where(F.col(key).isNotNull())
+    keys = known.select(F.col(key).alias("key")).distinct()
+    last = max(0, n - 1)
+    chunks = keys.where(F.lit(n > 0)).select("key", F.explode(F.sequence(F.lit(0), F.lit(last // _CHUNK))).alias("_chunk"))
+    first = F.col("_chunk").cast("bigint") * _CHUNK
+    places = chunks.repartition("key", "_chunk").select(
+        "key", F.explode(F.sequence(first, F.least(first + (_CHUNK - 1), F.lit(last).cast("bigint")))).alias("_at"))
+    if n == 0:
+        return places.select("key", F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("double").alias("value"))
+    grid = places.select("key", instant_at(start, step, F.col("_at")).alias("ts"))
+    inside = (t >= F.lit(str(_instant(start))).cast("timestamp_ntz")) & (t <= F.lit(str(_instant(end))).cast("timestamp_ntz"))
+    o = known.where(inside).groupBy(F.col(key).alias("key"), t.cast("timestamp_ntz").alias("ts")).agg(
+        red(value).cast("double").alias("value"))
     return grid.join(o, ["key", "ts"], "left")
 
 
+# --------------------------------------------------------------------------- stretches
+def _stretches(df: DataFrame, ts: str, stretch: int) -> DataFrame:
+    return df.withColumn("_t", epoch_seconds(F.col(ts)).cast("double")).withColumn("_b", F.floor(F.col("_t") / stretch))
+
+
+def _carry(x: DataFrame, key: str, table: DataFrame) -> DataFrame:
+    """``x`` with the columns that ``table`` has for its key and stretch; a null key is a key."""
+    other = table.withColumnRenamed(key, "_ck").withColumnRenamed("_b", "_cb")
+    return x.join(other, F.col(key).eqNullSafe(F.col("_ck")) & (F.col("_b") == F.col("_cb")), "left").drop("_ck", "_cb")
+
+
 # --------------------------------------------------------------------------- T3
 def fill(df: DataFrame, method: str = "linear", *, key: str = "key", ts: str = "ts",
-         value: str = "value") -> DataFrame:
+         value: str = "value", stretch: int = STRETCH) -> DataFrame:
     """Fill gaps inside each series; leading and trailing gaps stay null."""
     if method != "linear":
         raise ValueError("only linear filling is defined")
-    w = Window.partitionBy(key).orderBy(ts)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
     v = F.col(value)
-    t = epoch_seconds(F.col(ts)).cast("double")
-    t_known = F.when(v.isNotNull(), t)
-    vp, tp = F.last(v, True).over(before), F.last(t_known, True).over(before)
-    vn, tn = F.first(v, True).over(after), F.first(t_known, True).over(after)
-    interp = vp + (vn - vp) * (t - tp) / (tn - tp)
-    return df.withColumn(value, F.when(v.isNotNull(), v).otherwise(interp))
+    x = _stretches(df, ts, stretch).withColumn(
+        "_k", F.when(v.isNotNull(), F.struct(F.col("_t").alias("t"), v.cast("double").alias("v"))))
+    ends = x.groupBy(key, "_b").agg(F.min("_k").alias("_first"), F.max("_k").alias("_last"))
+    up_to_here = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    over_key = Window.partitionBy(key)
+    borders = ends.select(
+        key, "_b", F.last("_last", True).over(up_to_here(over_key.orderBy("_b"))).alias("_before"),
+        F.last("_first", True).over(up_to_here(over_key.orderBy(F.col("_b").desc()))).alias("_after"))
+    x = _carry(x, key, borders)
+    inside = Window.partitionBy(key, "_b")
+    # the next known value is the last one of the rows in descending order
+    p = F.coalesce(F.last("_k", True).over(up_to_here(inside.orderBy("_t"))), F.col("_before"))
+    n = F.coalesce(F.last("_k", True).over(up_to_here(inside.orderBy(F.col("_t").desc()))), F.col("_after"))
+    x = x.withColumn("_p", p).withColumn("_n", n)
+    line = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * (F.col("_t") - F.col("_p.t")) / (F.col("_n.t") - F.col("_p.t"))
+    filled = F.when(v.isNotNull(), v).otherwise(line)
+    return x.select(*[filled.alias(c) if c == value else F.col(c) for c in df.columns])
+
+
+def _with_previous(df: DataFrame, key: str, ts: str, value: str, stretch: int) -> DataFrame:
+    """Add ``_prev``: struct (t, v) of the row before in the series, null for its first row."""
+    x = _stretches(df, ts, stretch)
+    row = F.struct(F.col("_t").alias("t"), F.col(value).alias("v"))
+    ends = x.groupBy(key, "_b").agg(F.max(row).alias("_last"))
+    borders = ends.select(key, "_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_before"))
+    x = _carry(x, key, borders)
+    inside = Window.partitionBy(key, "_b").orderBy("_t")
+    return x.withColumn("_prev", F.coalesce(F.lag(row).over(inside), F.col("_before")))
 
 
 # --------------------------------------------------------------------------- T4
 def return_rates(df: DataFrame, *, key: str = "key", ts: str = "ts", value: str = "value",
-                 out: str = "rate") -> DataFrame:
+                 out: str = "rate", stretch: int = STRETCH) -> DataFrame:
     """``v_t / v_(t-1) - 1`` per series; the first instant is dropped."""
-    w = Window.partitionBy(key).orderBy(ts)
-    prev = F.lag(value).over(w)
-    rn = F.row_number().over(w)
-    r = df.select(key, ts, (F.try_divide(F.col(value), prev) - 1).alias(out), rn.alias("_rn"))
-    return r.where(F.col("_rn") > 1).drop("_rn")
+    x = _with_previous(df, key, ts, value, stretch).where(F.col("_prev").isNotNull())
+    return x.select(key, ts, (F.try_divide(F.col(value), F.col("_prev.v")) - 1).alias(out))
 
 
 # --------------------------------------------------------------------------- T5
 def durbin_watson(df: DataFrame, *, key: str = "key", ts: str = "ts", value: str = "rate",
-                  out: str = "dw") -> DataFrame:
+                  out: str = "dw", stretch: int = STRETCH) -> DataFrame:
     """``sum((e_t - e_(t-1))^2) / sum(e_t^2)`` per series; nulls skipped, 0/0 -> null."""
-    w = Window.partitionBy(key).orderBy(ts)
-    e = F.col(value)
-    d = e - F.lag(e).over(w)
-    step = df.select(key, e.alias("_e"), d.alias("_d"))
+    x = _with_previous(df, key, ts, value, stretch)
+    step = x.select(key, F.col(value).alias("_e"), (F.col(value) - F.col("_prev.v")).alias("_d"))
     agg = step.groupBy(key).agg(F.sum(F.col("_d") * F.col("_d")).alias("_num"),
                                 F.sum(F.col("_e") * F.col("_e")).alias("_den"))
     return agg.select(key, F.when(F.col("_den") != 0, F.col("_num") / F.col("_den")).alias(out))

@@ -26,6 +26,14 @@ from ..session import cut_lineage
 from ..sources.io import write_partitioned
 
 
+AGENT_PATTERN = P.get_format("agent_error").pattern
+
+
+def sql_text(s: str) -> str:
+    """A SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
 # --------------------------------------------------------------------------- B5
 def mine_tenant_logs(lines: DataFrame, tenant: str, min_support: float = 0.1, line: str = "line",
                      num_partitions: int | None = None) -> DataFrame:
@@ -40,10 +48,11 @@ def mine_tenant_logs(lines: DataFrame, tenant: str, min_support: float = 0.1, li
 
 # --------------------------------------------------------------------------- C7
 def cluster_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, runs: int = 3, seed: int = 1,
-                 line: str = "line", keep: Sequence[str] = (), out_path: str | None = None) -> DataFrame:
+                 line: str = "line", keep: Sequence[str] = (), out_path: str | None = None, with_model: bool = False):
     """Agent error lines -> 6 trimmed fields -> position dictionary -> ordinal vectors
     -> k-means on the distinct vectors -> cluster of every parsed line. With
-    ``out_path`` the lines are also written, one directory per cluster (every cluster)."""
+    ``out_path`` the lines are also written, one directory per cluster (every cluster).
+    ``with_model`` returns (lines, k-means model)."""
     p = P.parse_log(lines, line, "agent_error", keep=list(keep), trim=True, matched_col=None)
     p = P.drop_unparsed(p, "message")
     fields = list(P.get_format("agent_error").groups[:6])
@@ -56,7 +65,7 @@ def cluster_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, runs: int = 3
     out = C.assign(model, enc).withColumnRenamed("prediction", "cluster")
     if out_path:
         write_partitioned(out.select(*keep, *fields, "cluster"), out_path, "cluster")
-    return out
+    return (out, model) if with_model else out
 
 
 # --------------------------------------------------------------------------- C8 / B6
@@ -79,7 +88,7 @@ def cluster_and_mine(lines: DataFrame, k: int = 3, max_iter: int = 10, runs: int
 
 # --------------------------------------------------------------------------- C9
 def cluster_text_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, seed: int = 1,
-                      num_features: int = 1 << 18, weighting: str = "tf", line: str = "line",
+                      num_features: int = V.HASH_WIDTH, weighting: str = "tf", line: str = "line",
                       keep: Sequence[str] = (), out_path: str | None = None) -> DataFrame:
     """Dashboard error lines -> fields 0..6 as words -> hashed TF (or TF-IDF) -> k-means.
     A line that does not match gives empty fields: a zero vector, still clustered."""
@@ -119,9 +128,10 @@ def classify_metrics(docs: DataFrame, feature_cols: Sequence[str], target: str,
 def classify_clicks(lines: DataFrame, iters: int = 10, depth: int = 10, seed: int = 1,
                     mode: str = "concat", line: str = "line"):
     """Click-log CSV -> id/label/categories/numbers -> dictionary on training ->
-    ordinal codes (+ clamped numbers) -> boosted trees -> test error."""
+    ordinal codes (+ clamped numbers) -> boosted trees -> test error. Lines with a bad
+    label or number are dropped before any vector is built."""
     f = P.split_fields(lines, line)
-    f = P.clamp_non_negative(f, ["nums"])
+    f = P.clamp_non_negative(f, ["nums"]).where(F.col("label").isNotNull() & P.all_numbers("nums"))
     train, test = split(f, [0.8, 0.2], "id", seed)
     n_pos = 10
     d = V.category_dictionary(train, "cats")

@@ -14,6 +14,7 @@ from ..operators import features as V
 from ..operators import learn as L
 from ..operators.split import split
 from ..session import cut_lineage, read_table
+from .q_split import edge_sql, hash_sql
 from .registry import query
 
 NB_SEED = 12345
@@ -44,7 +45,7 @@ tok AS (SELECT doc_id, unnest(string_split_regex(lower(text), '\\s+')) AS term
         FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM tok WHERE term <> '' GROUP BY 1, 2),
 lab AS (SELECT doc_id, CAST(quality AS DOUBLE) AS label,
-               ('0x' || substr(md5('{NB_SEED}|' || doc_id), 1, 8))::BIGINT % 10000 < 6000 AS is_train
+               {hash_sql(NB_SEED, 'doc_id')} < {edge_sql(0.6)} AS is_train
         FROM labels),
 train AS (SELECT doc_id, label FROM lab WHERE is_train),
 test AS (SELECT doc_id, label FROM lab WHERE NOT is_train),
@@ -174,7 +175,7 @@ def _label_centers(train: DataFrame) -> tuple[list[int], list[list[float]]]:
 
 _SQL_EMB = f"""
 pts AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS j,
-               ('0x' || substr(md5('{EMB_SEED}|' || vec_id), 1, 8))::BIGINT % 10000 < 6000 AS is_train
+               {hash_sql(EMB_SEED, 'vec_id')} < {edge_sql(0.6)} AS is_train
         FROM embeddings),
 cen AS (SELECT label AS c, j, avg(CAST(x AS DOUBLE)) AS m FROM pts WHERE is_train GROUP BY 1, 2),
 dist AS (SELECT p.vec_id, p.label, p.is_train, c.c, sum((CAST(p.x AS DOUBLE) - c.m) * (CAST(p.x AS DOUBLE) - c.m)) AS d
@@ -212,14 +213,13 @@ def q_kmeans_cost(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("multiclass_precision", ops=("E4",), sql="WITH " + _SQL_EMB + """
-SELECT round(avg(CASE WHEN cluster = label THEN 1.0 ELSE 0.0 END), 9) AS precision, count(*) AS n
+SELECT round(avg(CASE WHEN cluster = label THEN 1.0 ELSE 0.0 END), 9) AS precision
 FROM near WHERE NOT is_train
 """)
 def q_multiclass_precision(spark: SparkSession, sf: str) -> DataFrame:
     n = _nearest(spark, sf).where(~F.col("is_train"))
     p = n.select(F.col("cluster").cast("double").alias("prediction"), F.col("label").cast("double").alias("label"))
-    return p.agg(F.round(F.avg((F.col("prediction") == F.col("label")).cast("double")), 9).alias("precision"),
-                 F.count(F.lit(1)).alias("n"))
+    return E.multiclass_precision(p).select(F.round("precision", 9).alias("precision"))
 
 
 @query("confusion", ops=("E4",), sql="WITH " + _SQL_EMB + """

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import mining as M
+from ..operators.relational import top_k
 from ..session import read_table
 from .registry import query
 
@@ -62,7 +63,7 @@ def _sql_itemsets(attr: str, support: float, max_size: int) -> str:
     return _sql_baskets(attr) + "," + sql_sets_from_baskets(support, max_size)
 
 
-@query("frequent_itemsets", ops=("B1", "P14"), sql="WITH " + _sql_itemsets("p_brand", BRAND_SUPPORT, 3) + """
+@query("frequent_itemsets", ops=("B1",), sql="WITH " + _sql_itemsets("p_brand", BRAND_SUPPORT, 3) + """
 SELECT items, freq FROM sets
 """)
 def q_frequent_itemsets(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,18 +100,33 @@ def q_rules_from_itemsets(spark: SparkSession, sf: str) -> DataFrame:
                     F.round("confidence", 9).alias("confidence"))
 
 
-@query("rank_rules", ops=("O1", "O3"), sql="WITH " + _sql_rules(
-    _sql_itemsets("p_brand", BRAND_SUPPORT, 3), RULE_CONFIDENCE, 3).replace(
-    "SELECT r.antecedent, r.consequent,", "SELECT * FROM (SELECT r.antecedent, r.consequent,", 1) + """
-) ORDER BY confidence DESC, antecedent, consequent LIMIT 20
+_SQL_RANKED = "WITH " + _sql_rules(_sql_itemsets("p_brand", BRAND_SUPPORT, 3), RULE_CONFIDENCE, 3).replace(
+    "SELECT r.antecedent, r.consequent, round(r.f / s.freq, 9) AS confidence",
+    ", ranked AS (SELECT r.antecedent, r.consequent, round(r.f / s.freq, 9) AS confidence, row_number() OVER (ORDER BY r.f / s.freq "
+    "DESC, replace(r.antecedent, '|', chr(1)), replace(r.consequent, '|', chr(1))) AS rank") + ")"
+
+
+def _ranked(spark: SparkSession, sf: str) -> DataFrame:
+    r = M.association_rules(baskets(spark, sf), BRAND_SUPPORT, RULE_CONFIDENCE, num_partitions=MINING_PARTITIONS)
+    r = M.rank_rules(r)
+    return r.select(_items_txt("antecedent").alias("antecedent"), _items_txt("consequent").alias("consequent"),
+                    F.round("confidence", 9).alias("confidence"), "rank")
+
+
+@query("rank_rules", ops=("O1",), sql=_SQL_RANKED + """
+SELECT * FROM ranked
 """)
 def q_rank_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """Top-20 rules by confidence (the limit is the report's size)."""
-    r = M.association_rules(baskets(spark, sf), BRAND_SUPPORT, RULE_CONFIDENCE,
-                            num_partitions=MINING_PARTITIONS)
-    r = r.select(_items_txt("antecedent").alias("antecedent"), _items_txt("consequent").alias("consequent"),
-                 F.round("confidence", 9).alias("confidence"))
-    return r.orderBy(F.desc("confidence"), "antecedent", "consequent").limit(20)
+    """Every rule with its rank by confidence."""
+    return _ranked(spark, sf)
+
+
+@query("top_rules", ops=("O1", "O3"), sql=_SQL_RANKED + """
+SELECT * FROM ranked WHERE rank <= 20
+""")
+def q_top_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 20 rules (the size of the report)."""
+    return top_k(_ranked(spark, sf), 20, ["rank"])
 
 
 def event_sequences(spark: SparkSession, sf: str) -> DataFrame:

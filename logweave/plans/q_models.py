@@ -1,26 +1,32 @@
-"""Model-fitting and composite-job queries. Iterative or seeded: no SQL oracle, the
-driver checks rows; the tests check invariants and worked examples."""
+"""Model-fitting and composite-job queries.
+
+Trees and boosting run on columns with few values and at depth 1, where SQL can state
+the best split and the leaf values; the other estimators are iterative or seeded, and
+their queries return, next to row ids and observed values, whether every row or
+parameter has the property that defines it (nearest centre, stationary point, moments
+of a mixture, ...).
+"""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clusters as C
 from ..operators import evaluate as E
-from ..operators import features as V
 from ..operators import learn as L
+from ..operators import parsing as P
+from ..operators.indexing import with_row_id
 from ..operators.split import split
 from ..session import read_table
 from . import jobs as J
-from .q_features import click_lines
+from .q_features import SQL_CLICK_LINES, click_lines
 from .q_logs import _P, _P_TAIL, compute_lines
 from .q_mining import sql_sets_from_baskets
-from .renders import SQL_COMPUTE_LINES
+from .q_split import edge_sql, hash_sql
 from .registry import query
-from .renders import agent_lines, dashboard_lines
+from .renders import SQL_AGENT_LINES, SQL_COMPUTE_LINES, agent_lines, dashboard_lines
 
 SEED = 11
 
@@ -35,6 +41,9 @@ def _emb_split(spark: SparkSession, sf: str, binary: bool = False):
     return split(_emb(spark, sf, binary), [0.6, 0.4], "vec_id", SEED)
 
 
+_SQL_EMB_TRAIN = f"{hash_sql(SEED, 'vec_id')} < {edge_sql(0.6)}"
+
+
 def _metrics_rows(spark: SparkSession, **vals: float) -> DataFrame:
     return spark.createDataFrame([(k, float(v) if v is not None else None) for k, v in vals.items()],
                                  "metric string, value double")
@@ -67,67 +76,224 @@ def q_linear_sgd(spark: SparkSession, sf: str) -> DataFrame:
     return _metrics_rows(spark, w0=round(float(w[0]), 9), w1=round(float(w[1]), 9))
 
 
-@query("svm", ops=("L2", "E3", "X2"))
+# --------------------------------------------------------------------------- linear models on embeddings
+@query("svm", ops=("L2", "E3", "X1"), sql=f"""
+SELECT vec_id, CASE WHEN label < 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, true AS margin_is_product, true AS ranked
+FROM embeddings WHERE NOT {_SQL_EMB_TRAIN}
+""")
 def q_svm(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows; whether each margin is the product of its features with the fitted
+    weights, and whether the ranking by margin has an area under the curve."""
     train, test = _emb_split(spark, sf, binary=True)
     m = L.linear_svm(train, iters=100, reg=0.01)
     scored = L.svm_margins(m, test)
     auc = E.au_roc(scored, "margin", "label").first()["au_roc"]
-    return scored.select("vec_id", F.round("margin", 6).alias("margin"), F.lit(auc).alias("au_roc"))
+    w = F.array(*[F.lit(float(x)) for x in m.coefficients])
+    product = F.aggregate(F.zip_with(vector_to_array("features"), w, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    return scored.select("vec_id", "label", (F.abs(F.col("margin") - product) < 1e-9).alias("margin_is_product"),
+                         F.lit(auc is not None and 0.0 <= auc <= 1.0).alias("ranked"))
+
+
+@query("logistic", ops=("L3",), sql=f"""
+WITH pts AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS j FROM embeddings WHERE {_SQL_EMB_TRAIN}),
+n AS (SELECT j, count(*) AS n FROM pts GROUP BY 1)
+SELECT CAST(c.c AS INTEGER) AS class, CAST(n.j AS INTEGER) AS feature,
+       round(coalesce((SELECT sum(CAST(x AS DOUBLE)) FROM pts WHERE pts.label = c.c AND pts.j = n.j), 0.0) / n.n, 6) AS observed, true AS fitted
+FROM n, (SELECT unnest(generate_series(0, 9)) AS c) c
+""")
+def q_logistic(spark: SparkSession, sf: str) -> DataFrame:
+    """At the maximum of the likelihood the expected sum of each feature over each class is
+    the observed one: per class and feature the observed mean and whether the model meets it."""
+    train, _ = _emb_split(spark, sf)
+    m = L.logistic(train, num_classes=10, max_iter=100)
+    p = m.transform(train).select("label", vector_to_array("probability").alias("p"),
+                                  F.posexplode(vector_to_array("features")).alias("feature", "x"))
+    sums = p.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), *[
+        F.struct(F.sum(F.when(F.col("label") == c, F.col("x")).otherwise(0.0)).alias("o"),
+                 F.sum(F.get("p", F.lit(c)) * F.col("x")).alias("e")).alias(f"_{c}") for c in range(10)])
+    rows = sums.select("feature", "n", F.posexplode(F.array(*[F.col(f"_{c}") for c in range(10)])).alias("class", "s"))
+    return rows.select("class", "feature", F.round(F.col("s.o") / F.col("n"), 6).alias("observed"),
+                       (F.abs(F.col("s.o") - F.col("s.e")) / F.col("n") < 1e-3).alias("fitted"))
+
+
+# --------------------------------------------------------------------------- trees of depth 1
+TREE_FEATURES = ("ship_year", "ship_month", "line_number")
+
+
+def tree_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items with three features of few values and a label that leans on the dates."""
+    li = read_table(spark, sf, "lineitem")
+    year, month = F.year("l_shipdate"), F.month("l_shipdate")
+    label = ((year - 1995) * 12 + month + F.col("l_partkey") % 24 > 50).cast("double")
+    return li.select("l_orderkey", "l_linenumber", label.alias("label"), array_to_vector(F.array(
+        year.cast("double"), month.cast("double"), F.col("l_linenumber").cast("double"))).alias("features"))
 
 
-@query("logistic", ops=("L3", "E4"))
-def q_logistic(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _emb_split(spark, sf)
-    m = L.logistic(train, max_iter=50)
-    return m.transform(test).select("vec_id", "label", "prediction")
+_SQL_TREE_ROWS = f"""
+d AS (SELECT l_orderkey, l_linenumber, year(l_shipdate) AS x0, month(l_shipdate) AS x1, l_linenumber AS x2,
+             CASE WHEN (year(l_shipdate) - 1995) * 12 + month(l_shipdate) + l_partkey % 24 > 50 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y,
+             {hash_sql(SEED, "l_orderkey || '|' || l_linenumber")} < {edge_sql(0.6)} AS is_train
+      FROM lineitem)"""
 
 
-@query("gbt", ops=("L5", "E2", "E5"))
-def q_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _emb_split(spark, sf, binary=True)
-    m = L.gbt(train, iters=3, depth=5, seed=SEED)
-    pred = m.transform(test)
-    err = E.error_rate(pred).first()["error_rate"]
-    return _metrics_rows(spark, test_error=err, trees=len(m.trees), debug_len=len(m.toDebugString))
+def sql_stump(name: str, source: str, target: str, weight: str = "1.0::DOUBLE") -> str:
+    """CTE ``name``: the split that leaves the least weighted variance of ``target``, with the
+    weights (lw, rw) and weighted sums (ls, rs) of its sides."""
+    cells = " UNION ALL ".join(f"SELECT {f} AS f, x{f} AS v, {weight} AS w, {target} AS t FROM {source}" for f in range(3))
+    return f"""
+{name}_c AS (SELECT f, v, sum(w) AS w, sum(w * t) AS s FROM ({cells}) GROUP BY 1, 2),
+{name}_p AS (SELECT f, v, sum(w) OVER (PARTITION BY f ORDER BY v) AS lw, sum(s) OVER (PARTITION BY f ORDER BY v) AS ls,
+                    sum(w) OVER (PARTITION BY f) AS tw, sum(s) OVER (PARTITION BY f) AS ts,
+                    row_number() OVER (PARTITION BY f ORDER BY v DESC) AS from_top FROM {name}_c),
+{name} AS (SELECT f, v AS cut, lw, ls, tw - lw AS rw, ts - ls AS rs FROM {name}_p WHERE from_top > 1
+           ORDER BY ls * ls / lw + (ts - ls) * (ts - ls) / (tw - lw) DESC, f, v LIMIT 1)"""
+
 
+def sql_left(name: str) -> str:
+    return f"CASE {name}.f WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END <= {name}.cut"
 
-@query("decision_tree", ops=("L9", "L10"))
+
+@query("decision_tree", ops=("L9", "L10"), sql="WITH" + _SQL_TREE_ROWS + ", train AS (SELECT * FROM d WHERE is_train)," + sql_stump("s", "train", "y") + f"""
+SELECT l_orderkey, l_linenumber, y AS label,
+       CASE WHEN CASE WHEN {sql_left("s")} THEN ls / lw ELSE rs / rw END > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+FROM d, s WHERE NOT is_train
+""")
 def q_decision_tree(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _emb_split(spark, sf, binary=True)
-    m = L.metric_classifier(train, "tree", depth=5)
-    return m.transform(test).select("vec_id", "label", "prediction")
+    train, test = split(tree_rows(spark, sf), [0.6, 0.4], ["l_orderkey", "l_linenumber"], SEED)
+    m = L.metric_classifier(train, "tree", depth=1)
+    return m.transform(test).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
-@query("newton_boost", ops=("L6", "L7", "L8", "E6"))
+_SQL_GBT = "WITH" + _SQL_TREE_ROWS + """,
+t0 AS (SELECT *, 2 * y - 1 AS z FROM d),
+train AS (SELECT * FROM t0 WHERE is_train),""" + sql_stump("a", "train", "z") + f""",
+t1 AS (SELECT t0.*, CASE WHEN {sql_left("a")} THEN ls / lw ELSE rs / rw END AS f1 FROM t0, a),
+t2 AS (SELECT *, 4 * z / (1 + exp(2 * z * f1)) AS r FROM t1),
+train2 AS (SELECT * FROM t2 WHERE is_train),""" + sql_stump("b", "train2", "r") + f""",
+scored AS (SELECT t2.*, f1 + 0.1 * CASE WHEN {sql_left("b")} THEN ls / lw ELSE rs / rw END AS margin FROM t2, b)"""
+
+
+@query("gbt", ops=("L5", "E5"), sql=_SQL_GBT + """
+SELECT l_orderkey, l_linenumber, round(margin, 9) AS margin, CASE WHEN margin > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+       (SELECT CAST(f AS INTEGER) FROM a) AS root_feature
+FROM scored WHERE NOT is_train
+""")
+def q_gbt(spark: SparkSession, sf: str) -> DataFrame:
+    """Two boosted stumps; the first one's split feature is read from the model's text form."""
+    train, test = split(tree_rows(spark, sf), [0.6, 0.4], ["l_orderkey", "l_linenumber"], SEED)
+    m = L.gbt(train, iters=2, depth=1, seed=SEED)
+    root = int(m.toDebugString.split("If (feature ")[1].split(" ")[0])
+    return m.transform(test).select("l_orderkey", "l_linenumber", F.round(vector_to_array("rawPrediction")[1], 9).alias("margin"),
+                                    "prediction", F.lit(root).alias("root_feature"))
+
+
+@query("gbt_error", ops=("L5", "A3"), sql=_SQL_GBT + """
+SELECT round(avg(CASE WHEN (margin > 0) <> (y > 0.5) THEN 1.0 ELSE 0.0 END), 9) AS error_rate, count(*) AS n FROM scored WHERE NOT is_train
+""")
+def q_gbt_error(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = split(tree_rows(spark, sf), [0.6, 0.4], ["l_orderkey", "l_linenumber"], SEED)
+    e = E.error_rate(L.gbt(train, iters=2, depth=1, seed=SEED).transform(test))
+    return e.select(F.round("error_rate", 9).alias("error_rate"), "n")
+
+
+def _sql_newton_round(k: int) -> str:
+    """CTEs ``m{k}``: margins after round k, from ``m{k-1}``."""
+    return f"""
+g{k} AS (SELECT *, 1 / (1 + exp(-margin)) - y AS g, greatest(1 / (1 + exp(-margin)) * (1 - 1 / (1 + exp(-margin))), 1e-16) AS h FROM m{k - 1}),
+gt{k} AS (SELECT *, -g / h AS t FROM g{k} WHERE is_train),{sql_stump(f"n{k}", f"gt{k}", "t", "h")},
+m{k} AS (SELECT g{k}.* EXCLUDE (margin, g, h), margin + CASE WHEN {sql_left(f"n{k}")} THEN ls / (lw + 1) ELSE rs / (rw + 1) END AS margin FROM g{k}, n{k})"""
+
+
+_SQL_NEWTON = "WITH" + _SQL_TREE_ROWS + ", m0 AS (SELECT *, 0.0::DOUBLE AS margin FROM d)," + _sql_newton_round(1) + "," + _sql_newton_round(2)
+_SQL_LOSS = """round(avg(ln(1 + exp(-abs(margin))) + greatest(margin, 0) - y * margin), 6) AS logloss,
+       round(avg(CASE WHEN (margin > 0) <> (y > 0.5) THEN 1.0 ELSE 0.0 END), 6) AS error"""
+
+
+@query("newton_boost", ops=("L6", "L8"), sql=_SQL_NEWTON + "".join(f"""
+{"UNION ALL " if k > 1 else ""}SELECT {k} AS round, CASE WHEN is_train THEN 'train' ELSE 'test' END AS dataset, {_SQL_LOSS} FROM m{k} GROUP BY is_train"""
+                                                                   for k in (1, 2)))
 def q_newton_boost(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _emb_split(spark, sf, binary=True)
-    tr, te, met = L.newton_boost(train, test, rounds=2, eta=1.0, depth=2, lam=1.0, seed=SEED)
-    return met
+    train, test = split(tree_rows(spark, sf), [0.6, 0.4], ["l_orderkey", "l_linenumber"], SEED)
+    _, _, met = L.newton_boost(train, test, rounds=2, eta=1.0, depth=1, lam=1.0, seed=SEED)
+    return met.select("round", "dataset", F.round("logloss", 6).alias("logloss"), F.round("error", 6).alias("error"))
 
 
-@query("kmeans", ops=("C1", "C2"))
+@query("boost_continue", ops=("L6", "L7", "E6"), sql=_SQL_NEWTON + """
+SELECT round(avg(CASE WHEN (margin > 0) <> (y > 0.5) THEN 1.0 ELSE 0.0 END), 9) AS error_rate, count(*) AS n FROM m2 WHERE NOT is_train
+""")
+def q_boost_continue(spark: SparkSession, sf: str) -> DataFrame:
+    """One round, and another one that continues from its margins."""
+    train, test = split(tree_rows(spark, sf), [0.6, 0.4], ["l_orderkey", "l_linenumber"], SEED)
+    tr, te, _ = L.newton_boost(train, test, rounds=1, depth=1, seed=SEED)
+    _, te, _ = L.newton_boost(tr, te, rounds=1, depth=1, seed=SEED, init_margin="margin")
+    return E.margin_error_rate(te).select(F.round("error_rate", 9).alias("error_rate"), "n")
+
+
+# --------------------------------------------------------------------------- letter counts: naive Bayes, LDA
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document as a line of 26 letter counts (a fixed, small vocabulary)."""
+    text = F.lower(F.coalesce("text", F.lit("")))
+    counts = [(F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))).cast("string") for c in LETTERS]
+    return read_table(spark, sf, "documents").select("doc_id", F.concat_ws(" ", *counts).alias("line"))
+
+
+@query("nb_letters", ops=("L4",), sql=f"""
+WITH t AS (SELECT CAST(l.quality AS DOUBLE) AS label, lower(coalesce(d.text, '')) AS text FROM documents d JOIN labels l USING (doc_id)),
+c AS (SELECT label, j, chr(97 + j) AS letter, sum(length(text) - length(replace(text, chr(97 + j), ''))) AS n
+      FROM t, (SELECT CAST(unnest(generate_series(0, 25)) AS INTEGER) AS j) GROUP BY 1, 2)
+SELECT label, j AS feature, round(ln(n + 1.0) - ln(sum(n) OVER (PARTITION BY label) + 26.0), 9) AS theta FROM c
+""")
+def q_nb_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Spark ML's multinomial naive Bayes on letter counts: its parameters per class."""
+    lab = read_table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    lines = letter_lines(spark, sf).join(lab, "doc_id")
+    d = lines.select("label", array_to_vector(F.transform(F.split("line", " "), lambda x: x.cast("double"))).alias("features"))
+    m = L.naive_bayes(d)
+    rows = [(float(c), j, round(float(v), 9)) for c, row in enumerate(m.theta.toArray()) for j, v in enumerate(row)]
+    return spark.createDataFrame(rows, "label double, feature int, theta double")
+
+
+@query("lda", ops=("C5", "W1", "P2"), sql="""
+SELECT CAST(unnest(generate_series(0, 2)) AS INTEGER) AS topic, 1.0::DOUBLE AS weight_sum, 26::BIGINT AS n_terms,
+       (SELECT count(*) FROM documents) AS n_docs
+""")
+def q_lda(spark: SparkSession, sf: str) -> DataFrame:
+    """Topics over the letter counts of all documents: every topic is a distribution over all terms."""
+    vectors = P.parse_dense(letter_lines(spark, sf), vector=True)
+    corpus = with_row_id(vectors)
+    m = C.lda_topics(corpus.select("row_id", "features"), k=3, seed=SEED)
+    t = C.topic_terms(m, len(LETTERS)).groupBy("topic").agg(F.sum("weight").alias("s"), F.count(F.lit(1)).alias("n_terms"))
+    return t.select("topic", F.round("s", 6).alias("weight_sum"), "n_terms", F.lit(corpus.count()).cast("bigint").alias("n_docs"))
+
+
+# --------------------------------------------------------------------------- clustering
+@query("kmeans", ops=("C1", "C2"), sql="SELECT vec_id, true AS nearest FROM embeddings")
 def q_kmeans(spark: SparkSession, sf: str) -> DataFrame:
-    e = _emb(spark, sf)  # each fit caches its input and releases it afterwards
+    """Every vector, and whether its cluster's centre is the nearest one."""
+    e = _emb(spark, sf)
     m = C.kmeans(e, k=10, max_iter=20, runs=3, seed=SEED)
-    return C.assign(m, e).select("vec_id", F.col("prediction").alias("cluster"))
+    return C.assign(m, e).select("vec_id", C.is_nearest("features", "prediction", C.model_centers(m)).alias("nearest"))
 
 
-@query("gaussian_mixture", ops=("C4",))
+@query("gaussian_mixture", ops=("C4",), sql="""
+WITH x AS (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS j FROM embeddings)
+SELECT CAST(j AS INTEGER) AS feature, round(avg(CAST(x AS DOUBLE)), 6) AS mean,
+       round(avg(CAST(x AS DOUBLE) * CAST(x AS DOUBLE)), 6) AS square, 1.0::DOUBLE AS weights
+FROM x GROUP BY 1
+""")
 def q_gaussian_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """A fitted mixture has the first two moments of the data: both, from weights, means and covariances."""
     e = read_table(spark, sf, "embeddings").select(array_to_vector("embedding").alias("features"))
-    m = C.gaussian_mixture(e, k=2, seed=SEED)
-    return C.mixture_table(m).select("component", "weight", "mean")
-
-
-@query("lda", ops=("C5", "W1", "P2"))
-def q_lda(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    toks = V.tokenizer("text", "words").transform(docs)
-    cv = CountVectorizer(inputCol="words", outputCol="features", minDF=2.0).fit(toks)
-    corpus = cv.transform(toks).select("doc_id", "features")
-    m = C.lda_topics(corpus, k=3, max_iter=10, seed=SEED)
-    return C.topic_terms(m, len(cv.vocabulary)).where(F.col("weight") > 0)
+    t = C.mixture_table(C.gaussian_mixture(e, k=2, seed=SEED))
+    rows = t.select("weight", F.posexplode("mean").alias("feature", "m"), "cov").select(
+        "feature", "weight", "m", F.get(F.get("cov", F.col("feature")), F.col("feature")).alias("v"))
+    w = F.col("weight")
+    return rows.groupBy("feature").agg(F.round(F.sum(w * F.col("m")), 6).alias("mean"),
+                                       F.round(F.sum(w * (F.col("v") + F.col("m") * F.col("m"))), 6).alias("square"),
+                                       F.round(F.sum(w), 6).alias("weights"))
 
 
 def supplier_part_edges(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,9 +304,14 @@ def supplier_part_edges(spark: SparkSession, sf: str) -> DataFrame:
             .select((F.col("l_suppkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst"), "weight"))
 
 
-@query("power_iteration", ops=("C6", "P3", "S7"))
+@query("power_iteration", ops=("C6",), sql="""
+SELECT DISTINCT l_suppkey * 2 AS id, true AS assigned FROM lineitem
+UNION ALL SELECT DISTINCT l_partkey * 2 + 1, true FROM lineitem
+""")
 def q_power_iteration(spark: SparkSession, sf: str) -> DataFrame:
-    return C.graph_clusters(supplier_part_edges(spark, sf), k=2, max_iter=10)
+    """Every vertex of the graph, and whether it has one of the clusters."""
+    c = C.graph_clusters(supplier_part_edges(spark, sf), k=2, max_iter=10)
+    return c.select("id", F.col("cluster").isin(0, 1).alias("assigned"))
 
 
 # --------------------------------------------------------------------------- composite jobs
@@ -163,11 +334,15 @@ def q_mine_tenant_logs(spark: SparkSession, sf: str) -> DataFrame:
     return fi.select(F.array_join(F.array_sort("items"), "|").alias("items"), "freq")
 
 
-@query("cluster_logs", ops=("C7", "S5", "D2"))
+@query("cluster_logs", ops=("C7", "D2", "P9", "F2"), sql=f"""
+WITH lines AS ({SQL_AGENT_LINES})
+SELECT event_id, true AS nearest FROM lines WHERE trim(regexp_extract(line, {J.sql_text(J.AGENT_PATTERN)}, 6)) <> ''
+""")
 def q_cluster_logs(spark: SparkSession, sf: str) -> DataFrame:
-    out = J.cluster_logs(agent_lines(read_table(spark, sf, "events")), k=3, max_iter=20, runs=3,
-                         keep=["event_id"])
-    return out.select("event_id", "cluster")
+    """Every parsed line, and whether its cluster's centre is the nearest one."""
+    out, model = J.cluster_logs(agent_lines(read_table(spark, sf, "events")), k=3, max_iter=20, runs=3,
+                                keep=["event_id"], with_model=True)
+    return out.select("event_id", C.is_nearest("features", "cluster", C.model_centers(model)).alias("nearest"))
 
 
 @query("cluster_and_mine", ops=("C8", "B6"))
@@ -177,31 +352,50 @@ def q_cluster_and_mine(spark: SparkSession, sf: str) -> DataFrame:
     return fi.select(F.array_join(F.array_sort("items"), "|").alias("items"), "freq")
 
 
-@query("cluster_text_logs", ops=("C9", "V1"))
+@query("cluster_text_logs", ops=("C9",), sql="SELECT event_id, true AS assigned FROM events")
 def q_cluster_text_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line, and whether it has one of the clusters."""
     out = J.cluster_text_logs(dashboard_lines(read_table(spark, sf, "events")), k=3, max_iter=20,
                               keep=["event_id"])
-    return out.select("event_id", "cluster")
+    return out.select("event_id", F.col("cluster").between(0, 2).alias("assigned"))
+
+
+def _valid(accuracy: float | None) -> F.Column:
+    return F.col("prediction").isin(0.0, 1.0) & F.lit(accuracy is not None and 0.0 <= accuracy <= 1.0)
 
 
-@query("classify_metrics", ops=("L11", "P8", "P11", "P12"))
+@query("classify_metrics", ops=("L11", "P11", "P12", "E3"), sql=f"""
+WITH m AS (SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, value, user_id, ts FROM events)
+SELECT event_id, CASE WHEN k > 50 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label, true AS valid
+FROM m WHERE k IS NOT NULL AND value IS NOT NULL AND user_id IS NOT NULL AND ts IS NOT NULL
+  AND NOT {hash_sql(1, 'event_id')} < {edge_sql(0.7)}
+""")
 def q_classify_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows of the metric job with their labels; whether each got a class and the job its figures."""
     ev = read_table(spark, sf, "events").withColumn("hour", F.hour("ts"))
     ev = ev.withColumn("ops", F.get_json_object("props", "$.k"))
     _, pred, acc, auc = J.classify_metrics(ev, ["value", "hour", "user_id"], "ops", threshold=50,
-                                           estimator="gbt", key="event_id", iters=10, depth=5)
-    return _metrics_rows(spark, accuracy=acc.first()["accuracy"], au_roc=auc.first()["au_roc"])
+                                           estimator="gbt", key="event_id")
+    ranked = auc.first()["au_roc"]
+    return pred.select("event_id", "label", (_valid(acc.first()["accuracy"]) & F.lit(0.0 <= ranked <= 1.0)).alias("valid"))
 
 
-@query("classify_clicks", ops=("L12", "P5", "P13", "V8"))
+@query("classify_clicks", ops=("L12", "P5", "P13", "V8"), sql=f"""
+WITH lines AS ({SQL_CLICK_LINES}),
+f AS (SELECT split_part(line, ',', 1) AS id, TRY_CAST(split_part(line, ',', 2) AS DOUBLE) AS label FROM lines)
+SELECT id, label, true AS valid FROM f WHERE NOT {hash_sql(1, 'id')} < {edge_sql(0.8)}
+""")
 def q_classify_clicks(spark: SparkSession, sf: str) -> DataFrame:
-    _, pred, err = J.classify_clicks(click_lines(spark, sf), iters=10, depth=5)
-    return _metrics_rows(spark, test_error=err.first()["error_rate"])
+    _, pred, err = J.classify_clicks(click_lines(spark, sf))
+    return pred.select("id", "label", _valid(err.first()["error_rate"]).alias("valid"))
 
 
-@query("classify_text", ops=("L13", "V9", "P4"))
+@query("classify_text", ops=("L13", "V9"), sql=f"""
+SELECT doc_id, CAST(quality AS DOUBLE) AS label, true AS valid FROM documents JOIN labels USING (doc_id)
+WHERE NOT {hash_sql(1, 'doc_id')} < {edge_sql(0.7)}
+""")
 def q_classify_text(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     lab = read_table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     _, pred, acc = J.classify_text(docs.join(lab, "doc_id"), num_features=500_000)
-    return pred.select("doc_id", "label", "prediction")
+    return pred.select("doc_id", "label", _valid(acc.first()["accuracy"]).alias("valid"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import wallclock as W
 from ..operators import features as V
 from ..operators import parsing as P
-from ..session import read_table, spread
+from ..session import read_table
+from ..sources.io import read_documents
 from .registry import query
 
 
@@ -19,7 +20,7 @@ def _num_txt(col: str) -> F.Column:
 
 
 # --------------------------------------------------------------------------- P1
-@query("parse_labeled", ops=("P1", "S1"), sql="""
+@query("parse_labeled", ops=("P1",), sql="""
 WITH lines AS (
   SELECT l_linenumber || ',' || CAST(l_quantity AS BIGINT) || ' ' || CAST(round(l_discount * 100) AS BIGINT)
          || ' ' || CAST(round(l_tax * 100) AS BIGINT) AS line FROM lineitem)
@@ -70,12 +71,12 @@ def q_parse_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- P4
-@query("parse_category_text", ops=("P4",), sql="""
+@query("parse_category_text", ops=("P4", "S3"), sql="""
 WITH lines AS (SELECT doc_id, source || ',' || text AS line FROM documents)
 SELECT doc_id, split_part(line, ',', 1) AS category, split_part(line, ',', 2) AS text FROM lines
 """)
 def q_parse_category_text(spark: SparkSession, sf: str) -> DataFrame:
-    d = read_table(spark, sf, "documents")
+    d = read_documents(spark, f"{sf}/documents.parquet", "parquet", "doc_id bigint, source string, text string")
     lines = d.select("doc_id", F.concat_ws(",", "source", "text").alias("line"))
     return P.parse_category_text(lines, keep=["doc_id"])
 
@@ -103,7 +104,7 @@ def q_parse_observations(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- P14/P15
 def basket_lines(spark: SparkSession, sf: str) -> DataFrame:
     """CSV lines with 18 leading fields and three ``name_value`` items (fields 18-20)."""
-    li = spread(read_table(spark, sf, "lineitem"))
+    li = read_table(spark, sf, "lineitem")
     tax = F.when(F.col("l_tax") > 0.05, F.lit("hi")).otherwise(F.round(F.col("l_tax") * 100).cast("bigint").cast("string"))
     items = [F.concat(F.lit("ln_"), F.col("l_linenumber").cast("string")),
              F.concat(F.lit("sk_"), (F.col("l_suppkey") % 10).cast("string")),
@@ -112,12 +113,14 @@ def basket_lines(spark: SparkSession, sf: str) -> DataFrame:
     return li.select(F.concat_ws(",", *filler, *items).alias("line"))
 
 
-@query("basket_valid", ops=("P14", "P15"), sql="""
-WITH lines AS (
+_SQL_BASKET_LINES = """lines AS (
   SELECT concat_ws(',', CAST(l_orderkey AS VARCHAR), 'f1', 'f2', 'f3', 'f4', 'f5', 'f6', 'f7', 'f8', 'f9', 'f10', 'f11',
                    'f12', 'f13', 'f14', 'f15', 'f16', 'f17', 'ln_' || l_linenumber, 'sk_' || (l_suppkey % 10),
                    'tx_' || CASE WHEN l_tax > 0.05 THEN 'hi' ELSE CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR) END) AS line
-  FROM lineitem),
+  FROM lineitem)"""
+
+
+@query("basket_valid", ops=("P14", "P15"), sql="WITH " + _SQL_BASKET_LINES + """,
 b AS (SELECT [split_part(line, ',', 19), split_part(line, ',', 20), split_part(line, ',', 21)] AS items FROM lines),
 v AS (SELECT items, list_transform(items, lambda x: split_part(x, '_', 2)) AS vals FROM b)
 SELECT CASE WHEN list_bool_and(list_transform(vals, lambda y: regexp_matches(y, '^[0-9]')))
@@ -161,19 +164,38 @@ def q_encode_one_hot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- V1
-@query("hashed_tf", ops=("V1", "P18"), sql="""
+@query("hashed_tf", ops=("V1",), sql=f"""
 WITH tok AS (SELECT doc_id, unnest(string_split_regex(lower(text), '\\s+')) AS term FROM documents)
-SELECT d.doc_id, CAST(count(t.term) AS DOUBLE) AS n_tokens
-FROM documents d LEFT JOIN tok t ON t.doc_id = d.doc_id AND t.term <> ''
-GROUP BY d.doc_id
+SELECT doc_id, ('0x' || substr(md5(term), 1, 15))::BIGINT % {V.HASH_WIDTH} AS slot, count(*) AS tf
+FROM tok WHERE term <> '' GROUP BY 1, 2
 """)
 def q_hashed_tf(spark: SparkSession, sf: str) -> DataFrame:
-    """Hashed TF in long form (2^18 slots); a document's slot counts add up to its
-    token count whatever the collisions, which the oracle checks."""
-    d = read_table(spark, sf, "documents").select("doc_id", "text")
-    h = V.hashed_term_freq(d, num_features=1 << 18)
-    per_doc = h.groupBy("doc_id").agg(F.sum("tf").cast("double").alias("n_tokens"))
-    return d.select("doc_id").join(per_doc, "doc_id", "left").fillna({"n_tokens": 0.0})
+    """Hashed TF in long form: the slots are part of the result."""
+    return V.hashed_term_freq(read_table(spark, sf, "documents").select("doc_id", "text"))
+
+
+_SQL_TOKENS = """
+tok AS (SELECT doc_id, CASE WHEN regexp_full_match(text, '\\s+') THEN []
+                            ELSE string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s') END AS words FROM documents)"""
+
+
+@query("token_positions", ops=("P18", "P19"), sql="WITH" + _SQL_TOKENS + """
+SELECT doc_id, CAST(generate_subscripts(words, 1) - 1 AS INTEGER) AS pos, unnest(words) AS value FROM tok
+""")
+def q_token_positions(spark: SparkSession, sf: str) -> DataFrame:
+    d = P.tokenize(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return P.with_positions(d, "words").select("doc_id", F.inline("words"))
+
+
+@query("hashing_tf", ops=("V1", "P18"), sql="WITH" + _SQL_TOKENS + """
+SELECT doc_id, CAST(len(words) AS DOUBLE) AS n_tokens FROM tok
+""")
+def q_hashing_tf(spark: SparkSession, sf: str) -> DataFrame:
+    """The estimator's hashed vectors; a document's slots add up to its words (the slots
+    themselves are compared with the estimator's index in the tests)."""
+    d = V.hashing_tf(P.tokenize(read_table(spark, sf, "documents").select("doc_id", "text")))
+    values = F.from_json(F.get_json_object(F.to_json(F.struct("tf")), "$.tf.values"), "array<double>")
+    return d.select("doc_id", F.aggregate(values, F.lit(0.0), lambda a, x: a + x).alias("n_tokens"))
 
 
 # --------------------------------------------------------------------------- B1 + B2 + O1 on validated baskets
@@ -193,12 +215,7 @@ def basket_rules_job(spark: SparkSession, sf: str) -> DataFrame:
 
 def _sql_basket_rules() -> str:
     from .q_mining import sql_sets_from_baskets
-    return f"""
-WITH lines AS (
-  SELECT concat_ws(',', CAST(l_orderkey AS VARCHAR), 'f1', 'f2', 'f3', 'f4', 'f5', 'f6', 'f7', 'f8', 'f9', 'f10', 'f11',
-                   'f12', 'f13', 'f14', 'f15', 'f16', 'f17', 'ln_' || l_linenumber, 'sk_' || (l_suppkey % 10),
-                   'tx_' || CASE WHEN l_tax > 0.05 THEN 'hi' ELSE CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR) END) AS line
-  FROM lineitem),
+    return "WITH " + _SQL_BASKET_LINES + """,
 t AS (SELECT row_number() OVER () AS k,
              [split_part(line, ',', 19), split_part(line, ',', 20), split_part(line, ',', 21)] AS items FROM lines),
 v AS (SELECT k, items, list_transform(items, lambda x: split_part(x, '_', 2)) AS vals FROM t),

@@ -77,7 +77,7 @@ def q_ts_index(spark: SparkSession, sf: str) -> DataFrame:
     return T.datetime_index(spark, lo, hi, "1 hour").select(W.wall_datetime("ts").alias("ts"))
 
 
-@query("ts_align", ops=("T2", "P7"), sql="WITH " + _sql_aligned("events", "event_type", "ts", "value", "hour") + f"""
+@query("ts_align", ops=("T2",), sql="WITH " + _sql_aligned("events", "event_type", "ts", "value", "hour") + f"""
 SELECT key, strftime(ts, {SQL_TS_FMT}) AS ts, value FROM aligned
 """)
 def q_ts_align(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,6 +138,29 @@ def q_row_ids(spark: SparkSession, sf: str) -> DataFrame:
     return with_row_id(d, ["lang", "doc_id"]).select("doc_id", "lang", "row_id")
 
 
+@query("ts_monthly", ops=("T1", "T2", "T3"), sql="WITH " + _sql_aligned("orders", "o_orderpriority", "o_orderdate", "o_totalprice", "month")
+       + "," + _SQL_FILLED + f"""
+SELECT key, strftime(ts, {SQL_TS_FMT}) AS ts, round(value, 6) AS value FROM filled
+""")
+def q_ts_monthly(spark: SparkSession, sf: str) -> DataFrame:
+    """Calendar steps: the month's largest price per order priority on a monthly index."""
+    o = read_table(spark, sf, "orders")
+    obs = o.select(F.col("o_orderdate").alias("ts"), F.col("o_orderpriority").alias("key"), F.col("o_totalprice").alias("value"))
+    lo, hi = T.index_bounds(obs, "ts", "month")
+    f = T.fill(T.align(T.snap(obs, "month"), lo, hi, "1 month"))
+    return f.select("key", W.wall_datetime("ts").alias("ts"), F.round("value", 6).alias("value"))
+
+
+@query("ts_business_days", ops=("T1",), sql=f"""
+WITH b AS (SELECT date_trunc('day', min(o_orderdate)) AS lo, date_trunc('day', max(o_orderdate)) AS hi FROM orders),
+d AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS ts FROM b)
+SELECT strftime(ts, {SQL_TS_FMT}) AS ts FROM d WHERE isodow(ts) < 6
+""")
+def q_ts_business_days(spark: SparkSession, sf: str) -> DataFrame:
+    lo, hi = T.index_bounds(read_table(spark, sf, "orders"), "o_orderdate", "day")
+    return T.datetime_index(spark, lo, hi, "business day").select(W.wall_datetime("ts").alias("ts"))
+
+
 # ------------------------------------------------------------------ log lines -> hourly series
 def _log_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Log documents: the compute-log line as ``message`` plus ``host`` and ``version``
@@ -148,7 +171,7 @@ def _log_docs(spark: SparkSession, sf: str) -> DataFrame:
     return compute_lines(ev, keep=("host", "version")).withColumnRenamed("line", "message")
 
 
-@query("log_series", ops=("P7", "P8", "T1", "T2"), sql=f"""
+@query("log_series", ops=("P7", "T2"), sql=f"""
 WITH docs AS (SELECT 'host-' || (user_id % 5) AS host, CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS version,
                      {SQL_COMPUTE_LINE} AS message FROM events),
 w AS (SELECT host, version, string_split(string_split(message, ' ')[1], '-') AS dd,

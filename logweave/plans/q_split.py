@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import HASH_RANGE
 from ..operators.split import fold_column, kfold_aggregate, sample, split_index
 from ..session import read_table
 from .registry import query
 
 
-def _bucket_sql(seed: int, key: str, buckets: int = 10000) -> str:
-    return f"(('0x' || substr(md5('{seed}|' || {key}), 1, 8))::BIGINT % {buckets})"
+def hash_sql(seed: int, key: str) -> str:
+    """SQL twin of ``hash_value``."""
+    return f"('0x' || substr(md5('{seed}|' || {key}), 1, 15))::BIGINT"
+
+
+def edge_sql(fraction: float) -> str:
+    return str(int(round(fraction * HASH_RANGE)))
 
 
 @query("hash_split", ops=("X1",), sql=f"""
-SELECT o_orderkey, CASE WHEN {_bucket_sql(12345, 'o_orderkey')} < 7000 THEN 0 ELSE 1 END AS part
+SELECT o_orderkey, CASE WHEN {hash_sql(12345, 'o_orderkey')} < {edge_sql(0.7)} THEN 0 ELSE 1 END AS part
 FROM orders
 """)
 def q_hash_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -24,7 +30,7 @@ def q_hash_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("sample", ops=("X2",), sql=f"""
-SELECT o_orderkey, o_totalprice FROM orders WHERE {_bucket_sql(11, 'o_orderkey')} < 6000
+SELECT o_orderkey, o_totalprice FROM orders WHERE {hash_sql(11, 'o_orderkey')} < {edge_sql(0.6)}
 """)
 def q_sample(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
@@ -32,7 +38,7 @@ def q_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("kfold", ops=("X3",), sql=f"""
-SELECT o_orderkey, CAST({_bucket_sql(10, 'o_orderkey', 30000)} % 3 AS INTEGER) AS fold FROM orders
+SELECT o_orderkey, CAST({hash_sql(10, 'o_orderkey')} % 3 AS INTEGER) AS fold FROM orders
 """)
 def q_kfold(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
@@ -49,3 +55,13 @@ def q_kfold_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     # prices have cents: summing them as decimals makes the totals exact
     o = o.withColumn("price", F.col("o_totalprice").cast("decimal(18,2)"))
     return kfold_aggregate(o, 3, "o_orderkey", "price", seed=10)
+
+
+@query("sample_small", ops=("X2",), sql=f"""
+SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE {hash_sql(13, "l_orderkey || '|' || l_linenumber")} < {edge_sql(0.002)}
+""")
+def q_sample_small(spark: SparkSession, sf: str) -> DataFrame:
+    """A small fraction: two in a thousand of the lines."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return sample(li, 0.002, ["l_orderkey", "l_linenumber"], 13)

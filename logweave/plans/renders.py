@@ -11,7 +11,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import wallclock as W
-from ..session import spread
+
+
+def _damaged(line: Column) -> Column:
+    """A share of the lines is missing, cut off, followed by a second line, or holds control
+    characters, as files from many machines have them."""
+    e = F.col("event_id")
+    return (F.when(e % 97 == 0, F.lit(None).cast("string"))
+            .when(e % 89 == 0, F.concat(F.lit("cut off "), e.cast("string")))
+            .when(e % 83 == 0, F.concat(line, F.lit("\n  at frame 1")))
+            .when(e % 79 == 0, F.concat(line, F.lit("\u0001x\u0002")))
+            .otherwise(line))
+
+
+def sql_damaged(line: str) -> str:
+    return f"""CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN 'cut off ' || event_id
+       WHEN event_id % 83 = 0 THEN {line} || chr(10) || '  at frame 1'
+       WHEN event_id % 79 = 0 THEN {line} || chr(1) || 'x' || chr(2) ELSE {line} END"""
 
 
 def _level() -> Column:
@@ -35,8 +51,7 @@ def compute_lines(events: DataFrame, keep: tuple[str, ...] | list = ("event_id",
         F.col("event_id").cast("string"), _level(), F.lit("compute.claims"),
         F.format_string("[req-%d u%d t%d - - -]", "event_id", "user_id", F.col("user_id") % 7),
         F.format_string("[instance: %d]", "event_id"), _claim_or_other())
-    events = spread(events)  # rendering is CPU work: spread an unsplittable input
-    return events.select(*keep, line.alias("line"))
+    return events.select(*keep, _damaged(line).alias("line"))
 
 
 def agent_lines(events: DataFrame) -> DataFrame:
@@ -49,8 +64,7 @@ def agent_lines(events: DataFrame) -> DataFrame:
         W.wall_date("ts"), W.wall_time("ts", millis=True),
         F.col("event_id").cast("string"), F.upper("event_type"),
         F.concat(F.lit("agent."), F.col("event_type")), msg, tail)
-    events = spread(events)  # rendering is CPU work: spread an unsplittable input
-    return events.select("event_id", line.alias("line"))
+    return events.select("event_id", _damaged(line).alias("line"))
 
 
 def dashboard_lines(events: DataFrame) -> DataFrame:
@@ -62,8 +76,7 @@ def dashboard_lines(events: DataFrame) -> DataFrame:
         F.format_string("%04d]", F.year("ts")), F.lit("[x:error]"),
         F.format_string("[pid %d:tid %d]", "user_id", "event_id"),
         F.format_string("%s boom %d", F.col("event_type"), F.floor(F.col("value"))))
-    events = spread(events)  # rendering is CPU work: spread an unsplittable input
-    return events.select("event_id", line.alias("line"))
+    return events.select("event_id", _damaged(line).alias("line"))
 
 
 def api_lines(events: DataFrame) -> DataFrame:
@@ -76,8 +89,7 @@ def api_lines(events: DataFrame) -> DataFrame:
         F.format_string("[req-%d u%d t%d - - -]", "event_id", "user_id", F.col("user_id") % 7),
         F.format_string("10.0.%d.%d", F.col("user_id") % 250, F.col("event_id") % 250),
         F.concat(F.lit('"'), method), F.format_string("/v2/%s/%d", F.col("event_type"), "user_id"))
-    events = spread(events)  # rendering is CPU work: spread an unsplittable input
-    return events.select("event_id", line.alias("line"))
+    return events.select("event_id", _damaged(line).alias("line"))
 
 
 def dashboard_access_lines(events: DataFrame) -> DataFrame:
@@ -92,8 +104,7 @@ def dashboard_access_lines(events: DataFrame) -> DataFrame:
         F.lit('HTTP/1.1"'), status, F.floor(F.col("value") * 10).cast("string"),
         F.format_string('"http://host/%d"', "user_id"),
         F.lit('"Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/49.0 Safari/537.36"'))
-    events = spread(events)  # rendering is CPU work: spread an unsplittable input
-    return events.select("event_id", line.alias("line"))
+    return events.select("event_id", _damaged(line).alias("line"))
 
 
 # ---------------------------------------------------------------- SQL twins
@@ -105,43 +116,47 @@ SQL_MESSAGE = (
     "' GB, VCPUs 1' ELSE 'Handled ' || event_type || ' request, value ' || "
     "CAST(floor(value * 100) AS BIGINT) END")
 
-SQL_COMPUTE_LINE = f"""strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' '
+SQL_COMPUTE_LINE = sql_damaged(f"""strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' '
        || {SQL_LEVEL} || ' compute.claims [req-' || event_id || ' u' || user_id || ' t'
-       || (user_id % 7) || ' - - -] [instance: ' || event_id || '] ' || {SQL_MESSAGE}"""
+       || (user_id % 7) || ' - - -] [instance: ' || event_id || '] ' || {SQL_MESSAGE}""")
 
 SQL_COMPUTE_LINES = f"""
 SELECT event_id, {SQL_COMPUTE_LINE} AS line
 FROM events"""
 
-SQL_AGENT_LINES = """
-SELECT event_id,
-       strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' '
+SQL_AGENT_LINE = sql_damaged("""strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' '
        || upper(event_type) || ' agent.' || event_type || ' polling ' || event_type
        || ' failed after ' || CAST(floor(value * 10) AS BIGINT) || ' ms '
-       || CASE WHEN event_id % 5 = 0 THEN '' ELSE '-' END AS line
+       || CASE WHEN event_id % 5 = 0 THEN '' ELSE '-' END""")
+
+SQL_AGENT_LINES = f"""
+SELECT event_id, {SQL_AGENT_LINE} AS line
 FROM events"""
 
-SQL_DASHBOARD_LINES = """
-SELECT event_id,
-       strftime(ts, '%a %b %d') || ' ' || strftime(ts, '%H:%M:%S') || '.000000 '
+SQL_DASHBOARD_LINE = sql_damaged("""strftime(ts, '%a %b %d') || ' ' || strftime(ts, '%H:%M:%S') || '.000000 '
        || strftime(ts, '%Y') || '] [x:error] [pid ' || user_id || ':tid ' || event_id || '] '
-       || event_type || ' boom ' || CAST(floor(value) AS BIGINT) AS line
+       || event_type || ' boom ' || CAST(floor(value) AS BIGINT)""")
+
+SQL_DASHBOARD_LINES = f"""
+SELECT event_id, {SQL_DASHBOARD_LINE} AS line
 FROM events"""
 
-SQL_API_LINES = f"""
-SELECT event_id,
-       strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' ' || {SQL_LEVEL}
+SQL_API_LINE = sql_damaged(f"""strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M:%S.%g') || ' ' || event_id || ' ' || {SQL_LEVEL}
        || ' api.wsgi [req-' || event_id || ' u' || user_id || ' t' || (user_id % 7) || ' - - -] 10.0.'
        || (user_id % 250) || '.' || (event_id % 250) || ' "'
        || CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END
-       || ' /v2/' || event_type || '/' || user_id AS line
+       || ' /v2/' || event_type || '/' || user_id""")
+
+SQL_API_LINES = f"""
+SELECT event_id, {SQL_API_LINE} AS line
 FROM events"""
 
-SQL_DASHBOARD_ACCESS_LINES = """
-SELECT event_id,
-       '10.0.' || (user_id % 250) || '.' || (event_id % 250) || ' - - ' || strftime(ts, '[%d/%b/%Y:%H:%M:%S')
+SQL_DASHBOARD_ACCESS_LINE = sql_damaged("""'10.0.' || (user_id % 250) || '.' || (event_id % 250) || ' - - ' || strftime(ts, '[%d/%b/%Y:%H:%M:%S')
        || ' +0000] "' || CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END
        || ' /dashboard/' || event_type || ' HTTP/1.1" ' || CASE WHEN event_type = 'error' THEN '500' ELSE '200' END
        || ' ' || CAST(floor(value * 10) AS BIGINT) || ' "http://host/' || user_id || '" '
-       || '"Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/49.0 Safari/537.36"' AS line
+       || '"Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/49.0 Safari/537.36"'""")
+
+SQL_DASHBOARD_ACCESS_LINES = f"""
+SELECT event_id, {SQL_DASHBOARD_ACCESS_LINE} AS line
 FROM events"""

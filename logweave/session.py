@@ -9,6 +9,7 @@ checkpoint directory exists for the iterative jobs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local runs, tests) a fresh scratch folder is made.
+    Only when it is unset and everything runs in this one process (a local master, as in
+    tests) a fresh scratch folder is made; on any other master that is an error, as
+    executors could not read each other's files.
     """
     try:
         sc = spark.sparkContext
@@ -57,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder shared by all executors of {sc.master}")
         configured = tempfile.mkdtemp(prefix="logweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -77,23 +82,5 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows when the input has fewer partitions than task slots.
-
-    A large input already has many partitions and is returned unchanged; a small
-    or unsplittable file (one row group = one scan task) is spread so that the
-    CPU-heavy narrow work after it (regexes, tokenising) uses every core. Called by
-    the CPU-heavy operators, not by readers: for cheap work the extra shuffle costs
-    more than it saves (measured). Only the partition count is inspected; no job runs.
-    """
-    target = min_partitions or default_parallelism(df.sparkSession)
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of this session: leave the input as it is
-        return df
-    return df.repartition(target) if n < target else df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if parallel else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -22,11 +22,6 @@ def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return r.load(path).withColumnRenamed("value", "line")
 
 
-def parsed_stream(lines: DataFrame, fmt: str = "compute", line: str = "line") -> DataFrame:
-    """Streaming lines -> named fields (same operator as in batch)."""
-    return parse_log(lines, line, fmt, keep=[c for c in lines.columns])
-
-
 def usage_stream(lines: DataFrame, line: str = "line", phrase: str = CLAIM_PHRASE) -> DataFrame:
     """Running totals per user (use output mode ``update`` or ``complete``)."""
     p = parse_log(lines, line, "compute", groups=(7, 10), keep=[], matched_col=None)

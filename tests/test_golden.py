@@ -346,12 +346,21 @@ def test_hashed_long_form_matches_vector_counts(spark):
     for r in h.collect():
         assert 0 <= r.slot < 16
         got[r.doc_id] = got.get(r.doc_id, 0) + r.tf
-    toks = V.tokenizer("text", "w").transform(docs)
-    vec = HashingTF(inputCol="w", outputCol="v", numFeatures=16).transform(toks)
-    assert got == {r.doc_id: int(sum(r.v.values)) for r in vec.collect() if r.v.numNonzeros() > 0}
+    # the same words as the estimator's tokenizer, without the empty ones
+    toks = V.tokenizer("text", "w").transform(docs).collect()
+    assert got == {r.doc_id: n for r in toks if (n := sum(w != "" for w in r.w))}
     assert V.term_index("is", 1 << 18) == HashingTF(numFeatures=1 << 18).indexOf("is")
 
 
+def test_hashing_tf_uses_the_estimators_slots(spark):
+    df = P.tokenize(spark.createDataFrame([("the cat saw the dog",)], "text string"))
+    v = V.hashing_tf(df).first().tf
+    want = {}
+    for w in ["the", "cat", "saw", "the", "dog"]:
+        want[V.term_index(w)] = want.get(V.term_index(w), 0) + 1.0
+    assert v.size == 1 << 20 and dict(zip(v.indices.tolist(), v.values.tolist())) == want
+
+
 def test_sources_read_back(spark, tmp_dir):
     import os
     from logweave.sources import read_delimited, read_documents, read_libsvm, read_lines
@@ -443,15 +452,6 @@ def test_parse_log_on_mismatch_and_known_users(spark):
     assert got == [("u0001", "Attempting")]
 
 
-def test_spread_only_when_needed(spark):
-    from logweave.session import default_parallelism, spread
-    n = default_parallelism(spark)
-    one = spark.range(0, 100, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == n
-    many = spark.range(0, 100, numPartitions=n + 3)
-    assert spread(many).rdd.getNumPartitions() == n + 3
-
-
 def test_wallclock_is_zone_free(spark):
     from logweave.functions import wallclock as Wc
     old = spark.conf.get("spark.sql.session.timeZone")
