@@ -126,41 +126,44 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, _text, _id, _h): the last two are never null and name a distinct (id, text)."""
+    """(_text, _id, _h): the last two are never null and name a distinct (id, text)."""
     return docs.select("doc_id", text_or_empty().alias("_text")).select(
-        "doc_id", "_text", F.coalesce("doc_id", F.lit(0)).alias("_id"),
-        F.xxhash64("_text", F.col("doc_id").isNull()).alias("_h"))
+        "_text", F.coalesce("doc_id", F.lit(0)).alias("_id"), F.xxhash64("_text", F.col("doc_id").isNull()).alias("_h"))
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """One row per distinct (id, text): its key (_id, _h), length _n, and its successor's key (_next_id, _next_h)."""
-    keys = _keyed(docs).select("_id", "_h", F.col("doc_id").isNotNull().alias("_known"),
-                               F.length("_text").cast("bigint").alias("_n")).distinct()
+    """One row per distinct (id, text): its key (_id, _h), whether the id is known, its length _n,
+    and its successor's key (_next_id, _next_h)."""
+    text = text_or_empty()
+    keys = docs.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.xxhash64(text, F.col("doc_id").isNull()).alias("_h"),
+                       F.col("doc_id").isNotNull().alias("_known"), F.length(text).cast("bigint").alias("_n")).distinct()
     ranked = cut_lineage(with_row_id(keys, ["_known", "_id", "_h"], out="_rank"))
     n = ranked.count()
     after = ranked.select(F.col("_id").alias("_next_id"), F.col("_h").alias("_next_h"),
                           F.pmod(F.col("_rank") - 1, F.lit(max(n, 1))).alias("_rank"))
-    return ranked.select("_id", "_h", "_n", "_rank").join(after, "_rank").drop("_rank")
+    return ranked.join(after, "_rank").drop("_rank")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row."""
+    # texts are dealt out by key once, and read twice: as successors and as documents
     keyed = _keyed(docs)
     pairs = cut_lineage(successors(docs))
     # the successor sends as much of its beginning as the edit replaces
-    wanted = pairs.select(F.col("_id").alias("_to_id"), F.col("_h").alias("_to_h"), F.col("_next_id").alias("_id"),
+    wanted = pairs.select(F.col("_id").alias("_to_id"), F.col("_h").alias("_to_h"), "_known", F.col("_next_id").alias("_id"),
                           F.col("_next_h").alias("_h"), F.floor(F.col("_n") / 4).cast("int").alias("_k"))
     heads = keyed.join(wanted, ["_id", "_h"]).select(
-        F.col("_to_id").alias("_id"), F.col("_to_h").alias("_h"),
-        F.col("_text").substr(F.lit(1), F.col("_k")).alias("_head")).groupBy("_id", "_h").agg(F.first("_head").alias("_head"))
+        F.col("_to_id").alias("_id"), F.col("_to_h").alias("_h"), "_known",
+        F.col("_text").substr(F.lit(1), F.col("_k")).alias("_head")).groupBy("_id", "_h").agg(
+        F.first("_head").alias("_head"), F.first("_known").alias("_known"))
     n = F.length("_text")
     edited = F.concat(F.col("_text").substr(F.lit(1), n - F.floor(n / 4).cast("int")), F.col("_head"))
     rows = keyed.join(heads, ["_id", "_h"]).select(
-        "doc_id", "_id", "_h", n.cast("bigint").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
+        F.when(F.col("_known"), F.col("_id")).alias("doc_id"), "_id", "_h", n.cast("bigint").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
         fingerprint_words(F.col("_text")).alias("_words"), fingerprint_words(edited).alias("_edited"))
     rows = cut_lineage(rows)
     by_key = rows.groupBy(F.col("_id").alias("_next_id"), F.col("_h").alias("_next_h")).agg(F.first("_words", ignorenulls=False).alias("_next"))
-    joined = rows.join(pairs.drop("_n"), ["_id", "_h"]).join(by_key, ["_next_id", "_next_h"])
+    joined = rows.join(pairs.drop("_n", "_known"), ["_id", "_h"]).join(by_key, ["_next_id", "_next_h"])
     return joined.select("doc_id", "n_chars", "edited_sha256", as_hex(F.col("_words")).alias("fingerprint"),
                          as_hex(F.col("_edited")).alias("edited_fingerprint"),
                          likeness(F.col("_words"), F.col("_edited")).alias("near_edited"),
