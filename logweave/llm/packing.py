@@ -4,9 +4,11 @@ Documents are tokenized where they are read; only piece rows (id, place, length,
 checksum) go on. The pieces are dealt at random into groups of a bounded number of
 rows and each group is packed by best-fit decreasing. Lower bounds from dual feasible
 functions certify a group's bin count. Each group closes its fullest bins, as long as they waste no
-more than an eighth of a bin in all, and gives the documents of the others to the exchange;
-a group whose count is above its bound gives up more, the wider the gap. Exchanged documents are
-dealt into at most half as many groups and packed again, until one group is left.
+more than an eighth of a bin in all, and gives the documents of its emptiest bins to the exchange,
+but no more bins than ``LOOSE`` times the root of their number: what randomly dealt groups differ by.
+A group whose count is above its bound gives up more, the wider the gap, up to half of its bins. Exchanged documents are
+dealt into groups of the same size and packed again, until one group is left or a round
+saves no bins; then all are closed.
 
 Every round's rows are checkpointed, so a lost executor repeats one round's work at
 most. A group never holds more than ``group_rows`` pieces on average, whatever the input.
@@ -35,6 +37,7 @@ from .tokens import BATCH_BYTES, byte_batches, encoder, utf8
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, _deal bigint"
 PACKED_SCHEMA = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
                  "sequence_id bigint, offset bigint, _closed boolean, _deal bigint")
+LOOSE = 4  # bins that a certified group may give up, times the root of its bins
 
 
 # ------------------------------------------------------------------ pieces
@@ -130,8 +133,9 @@ def _pack_group(number: int, group: pa.Table, capacity: int, level: int, last: b
     if not last:
         fullest = np.argsort(-fill, kind="stable")
         waste = np.cumsum(capacity - fill[fullest])
-        # closed bins waste an eighth of a bin at most; a gap gives up some more to repack with
-        given = max(int((waste > capacity // 8).sum()), 8 * gap)
+        # bins past an eighth of a bin of waste, a bounded number; a gap gives up some more to repack with
+        given = max(min(int((waste > capacity // 8).sum()), int(np.ceil(LOOSE * np.sqrt(n_bins)))),
+                    min(8 * gap, n_bins // 2))
         given = fullest[n_bins - min(given, n_bins):]
         released[given[fill[given] < capacity]] = True
     # offsets: running sum inside each bin
@@ -150,18 +154,24 @@ def _pack_group(number: int, group: pa.Table, capacity: int, level: int, last: b
 # ------------------------------------------------------------------ rounds
 def pack_pieces(pieces: DataFrame, capacity: int = 4096, group_rows: int = 50_000) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), gapless in each sequence."""
-    pool, done, level, groups = cut_lineage(pieces), [], 0, 0
+    pool, done, level, loose = cut_lineage(pieces), [], 0, None
+    n = pool.count()
     while True:
-        n = pool.count()
-        fewer = max(1, -(-n // group_rows))
-        groups = fewer if not groups else max(1, min(fewer, groups // 2))
+        groups = max(1, -(-n // group_rows))
         last = groups == 1
         dealt = pool.withColumn("_group", F.pmod(F.xxhash64("_deal", F.lit(level)), F.lit(groups)))
         packed = cut_lineage(dealt.groupBy("_group").applyInArrow(_packer(capacity, level, last), PACKED_SCHEMA))
-        done.append(packed.where("_closed"))
         if last:
+            done.append(packed)
+            break
+        opens = F.col("offset") == 0  # one row of each bin
+        r = packed.agg(F.count_if(opens).alias("bins"), F.count_if(opens & ~F.col("_closed")).alias("loose"),
+                       F.count_if(~F.col("_closed")).alias("n")).first()
+        if loose is not None and r.bins >= loose:
+            done.append(pool)  # nothing saved: as the round before had them
             break
-        pool, level = packed.where(~F.col("_closed")), level + 1
+        done.append(packed.where("_closed"))
+        pool, level, loose, n = packed.where(~F.col("_closed")), level + 1, r.loose, r.n
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

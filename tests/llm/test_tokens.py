@@ -119,3 +119,20 @@ def test_exchange_across_groups(spark):
     lengths = np.array([r[3] for r in rows])
     apart = sum(P.best_fit_decreasing(lengths[i::20], 4096).max() + 1 for i in range(20))
     assert one <= few <= 1.02 * one and few < apart
+
+
+def test_groups_stay_bounded_where_nothing_pairs_up(spark, monkeypatch):
+    largest, cut = [], P.cut_lineage
+
+    def spy(df):
+        out = cut(df)
+        if "sequence_id" in out.columns:
+            group = out.groupBy((out.sequence_id.bitwiseAND((1 << 56) - 1) / (1 << 28)).cast("long").alias("g")).count()
+            largest.append(group.agg({"count": "max"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(P, "cut_lineage", spy)
+    df = spark.range(200_000).selectExpr("id doc_id", "0 piece", "0L start", "2100L length", "0L ids_crc32", "id _deal")
+    rows = P.pack_pieces(df, group_rows=2000).select("doc_id", "sequence_id").distinct()
+    assert rows.count() == rows.select("doc_id").distinct().count() == rows.select("sequence_id").distinct().count() == 200_000
+    assert max(largest) <= 1.2 * 2000
