@@ -2,10 +2,11 @@
 
 Patterns find parts in whole texts: strong secrets (assignments with a long value,
 access key ids, long hex runs) are always reported. Weak candidates - short assigned
-secrets and account names - and endpoints are parts too. A weak candidate is reported
+secrets, bare runs of 40 base64 characters, account names, and access keys that may be either -
+and endpoints are parts too. A weak candidate is reported
 only when a complementary part lies within reach in the same scope (a block between
-blank lines): for a secret an account name, an access key id or an endpoint, for an
-account name a secret. The linking is an interval join evaluated as a range frame over the parts of a
+blank lines): for a secret an account name, an access key (id) or an endpoint, for an
+account name a secret or an access key, for an access key any of the three. The linking is an interval join evaluated as a range frame over the parts of a
 scope ordered by position, so no pairs are made and the work is linear in the parts.
 
 Positions come from two built-in functions on the same pattern: the matches
@@ -38,14 +39,21 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 ACCESS_LONG = r"AKIA[A-Z0-9]{14,}"
 HEX_LONG = r"[0-9a-f]{16,}"
 _VALUE = r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@=!#%&*-]"""
-ACCOUNT = r"(?i:\b(?:user_?name|user_?id|user|login|client_?id|account_?id|access_?key_?id))" + _VALUE + "{2,}"
-SHORT_SECRET = r"(?i:\b(?:password|passwd|passphrase|pass|pwd|secret|token|api_?key|private_?key|client_?secret))" + _VALUE + "{4,}"
+# Names may have a prefix that ends in anything but a letter or a digit.
+_START = "(?<![A-Za-z0-9])"
+ACCOUNT = f"(?i:{_START}(?:user_?name|user_?id|user|login|client_?id|account_?id|access_?key_?id))" + _VALUE + "{2,}"
+#: Names either half of a pair has: the id beside a secret key, or the secret beside an account name.
+ACCESS_KEY = f"(?i:{_START}(?<!secret_?)access_?key)" + _VALUE + "{4,}"
+SHORT_SECRET = (f"(?i:{_START}(?:password|passwd|passphrase|pass|pwd|secret|token|auth|api_?key|private_?key|client_?key|client_?secret|"
+                "secret_?key|secret_?access_?key))" + _VALUE + "{4,}")
+KEY_RUN = "(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{38}(?:[A-Za-z0-9+/]{2}|[A-Za-z0-9+/]=|==)(?![A-Za-z0-9+/=])"
 ENDPOINT = r"(?i:\b(?:https?|ftp|sftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp))://[^\x20\x09-\x0D\"'<>]+"
 BLANK_LINE = r"\n[\x20\t\r]*\n"
 
 #: In the order in which kinds with the same start are listed.
-KINDS = ("assign", "access", "hex", "account", "short_secret", "endpoint", "break")
+KINDS = ("assign", "access", "hex", "account", "access_key", "short_secret", "key_run", "endpoint", "break")
 BASE = KINDS[:3]
+WEAK = ((ACCOUNT, "account"), (ACCESS_KEY, "access_key"), (SHORT_SECRET, "short_secret"), (KEY_RUN, "key_run"))
 REACH = 200  # code points between the starts of linked parts
 HIDDEN = "[SECRET]"
 
@@ -71,7 +79,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """Every row's (doc_id, _hash, _parts): the matches of all patterns, before linking."""
     text = text_or_empty()
     row = docs.select("doc_id", text.alias("_text"))
-    weak = _parts(F.col("_text"), ACCOUNT, "account", _always), _parts(F.col("_text"), SHORT_SECRET, "short_secret", _always)
+    weak = [_parts(F.col("_text"), p, k, _always) for p, k in WEAK]
     base = (_parts(F.col("_text"), ASSIGN, "assign", lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= MIN_ASSIGN),
             _parts(F.col("_text"), ACCESS_LONG, "access", _always), _parts(F.col("_text"), HEX_LONG, "hex", _always))
     row = row.select("doc_id", "_text", F.concat(*base).alias("_base"), F.concat(*weak).alias("_weak"))
@@ -90,18 +98,25 @@ def spans(scanned: DataFrame) -> DataFrame:
     rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.col("len")).where("ok")
     kind = {k: F.col("kind") == i for i, k in enumerate(KINDS)}
     is_base = F.col("kind") < len(BASE)
-    # scope: blank lines passed; a weak candidate inside a base span is that span
+    named = kind["account"] | kind["access_key"] | kind["short_secret"]
+    # scope: blank lines passed; a weak candidate inside a base span is that span, a key run inside a named part is that part
     text_order = Window.partitionBy("doc_id", "_hash").orderBy("start", "kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_scope", F.count_if(kind["break"]).over(text_order)).withColumn(
-        "_covered", F.max(F.when(is_base, F.col("end"))).over(text_order))
-    weak = kind["account"] | kind["short_secret"]
-    rows = rows.where(~kind["break"] & ~(weak & (F.coalesce(F.col("_covered"), F.lit(0)) > F.col("start"))))
+        "_covered", F.max(F.when(is_base, F.col("end"))).over(text_order)).withColumn(
+        "_named", F.max(F.when(named, F.col("end"))).over(text_order)).withColumn(
+        "_in_endpoint", F.coalesce(F.max(F.when(kind["endpoint"], F.col("end"))).over(text_order) > F.col("start"), F.lit(False)))
+    weak = named | kind["key_run"]
+    rows = rows.where(~kind["break"] & ~(weak & (F.coalesce(F.col("_covered"), F.lit(0)) > F.col("start"))) &
+                      ~(kind["key_run"] & (F.coalesce(F.col("_named"), F.lit(0)) > F.col("start"))))
     near = Window.partitionBy("doc_id", "_hash", "_scope").orderBy("start").rangeBetween(-REACH, REACH)
     has_account = F.max(kind["account"] | kind["access"]).over(near)
     has_endpoint = F.max(kind["endpoint"]).over(near)
-    has_secret = F.max(kind["short_secret"] | kind["assign"] | kind["hex"]).over(near)
-    linked = is_base | (kind["short_secret"] & (has_account | has_endpoint)) | (kind["account"] & has_secret)
+    has_secret = F.max(kind["short_secret"] | kind["key_run"] | kind["assign"] | kind["hex"]).over(near)
+    has_key = F.max(kind["access_key"]).over(near)
+    linked = (is_base | (kind["short_secret"] & (has_account | has_key | has_endpoint)) | (kind["account"] & (has_secret | has_key)) |
+              (kind["key_run"] & (has_account | has_key | (has_endpoint & ~F.col("_in_endpoint")))) |
+              (kind["access_key"] & (has_account | has_secret | has_endpoint)))
     return rows.withColumn("_linked", linked).where("_linked").select("doc_id", "_hash", "kind", "start", "end")
 
 
@@ -134,7 +149,7 @@ def hide_secrets(docs: DataFrame, hidden: str = HIDDEN) -> DataFrame:
     so the join moves the few texts that may change.
     """
     row = docs.select(F.struct("*").alias("_row"), text_or_empty().alias("_text"))
-    patterns = (ASSIGN, ACCESS_LONG, HEX_LONG, ACCOUNT, SHORT_SECRET)
+    patterns = (ASSIGN, ACCESS_LONG, HEX_LONG, *(p for p, _ in WEAK))
     suspect = F.lit(False)
     for p in patterns:
         suspect = suspect | F.col("_text").rlike(p)
