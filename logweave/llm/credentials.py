@@ -4,10 +4,10 @@ Patterns find parts in whole texts: strong secrets (assignments with a long valu
 access key ids, long hex runs) are always reported. Weak candidates - short assigned
 secrets, bare runs of 40 base64 characters, account names, and access keys that may be either -
 and endpoints are parts too. A weak candidate is reported
-only when a complementary part lies within reach in the same scope (a block between
-blank lines): for a secret an account name, an access key (id) or an endpoint, for an
-account name a secret or an access key, for an access key any of the three. The linking is an interval join evaluated as a range frame over the parts of a
-scope ordered by position, so no pairs are made and the work is linear in the parts.
+only when a complementary part lies in the same scope (a block between blank lines or
+runs of at least ``GAP`` blanks), however far apart: for a secret an account name, an access key (id) or an endpoint, for an
+account name a secret or an access key, for an access key any of the three. The linking is evaluated as a window over the parts of a
+scope, so no pairs are made and the work is linear in the parts.
 
 Positions come from two built-in functions on the same pattern: the matches
 (``regexp_extract_all``) and the pieces between them (``split``), whose lengths in code
@@ -48,13 +48,13 @@ SHORT_SECRET = (f"(?i:{_START}(?:password|passwd|passphrase|pass|pwd|secret|toke
                 "secret_?key|secret_?access_?key))" + _VALUE + "{4,}")
 KEY_RUN = "(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{38}(?:[A-Za-z0-9+/]{2}|[A-Za-z0-9+/]=|==)(?![A-Za-z0-9+/=])"
 ENDPOINT = r"(?i:\b(?:https?|ftp|sftp|ssh|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp))://[^\x20\x09-\x0D\"'<>]+"
-BLANK_LINE = r"\n[\x20\t\r]*\n"
+GAP = 200  # blanks in a row that end a scope as a blank line does
+BREAK = rf"\n[\x20\t\r]*\n|(?<![\x20\t])[\x20\t]{{{GAP},}}"
 
 #: In the order in which kinds with the same start are listed.
 KINDS = ("assign", "access", "hex", "account", "access_key", "short_secret", "key_run", "endpoint", "break")
 BASE = KINDS[:3]
 WEAK = ((ACCOUNT, "account"), (ACCESS_KEY, "access_key"), (SHORT_SECRET, "short_secret"), (KEY_RUN, "key_run"))
-REACH = 200  # code points between the starts of linked parts
 HIDDEN = "[SECRET]"
 
 
@@ -85,7 +85,7 @@ def scan(docs: DataFrame) -> DataFrame:
     row = row.select("doc_id", "_text", F.concat(*base).alias("_base"), F.concat(*weak).alias("_weak"))
     some = F.size("_weak") > 0
     extra = F.concat(_parts(F.col("_text"), ENDPOINT, "endpoint", _always, some),
-                     _parts(F.col("_text"), BLANK_LINE, "break", _always, some))
+                     _parts(F.col("_text"), BREAK, "break", _always, some))
     return row.select("doc_id", F.xxhash64("_text").alias("_hash"), F.concat("_base", "_weak", extra).alias("_parts"))
 
 
@@ -99,7 +99,7 @@ def spans(scanned: DataFrame) -> DataFrame:
     kind = {k: F.col("kind") == i for i, k in enumerate(KINDS)}
     is_base = F.col("kind") < len(BASE)
     named = kind["account"] | kind["access_key"] | kind["short_secret"]
-    # scope: blank lines passed; a weak candidate inside a base span is that span, a key run inside a named part is that part
+    # scope: breaks passed; a weak candidate inside a base span is that span, a key run inside a named part is that part
     text_order = Window.partitionBy("doc_id", "_hash").orderBy("start", "kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_scope", F.count_if(kind["break"]).over(text_order)).withColumn(
@@ -109,11 +109,11 @@ def spans(scanned: DataFrame) -> DataFrame:
     weak = named | kind["key_run"]
     rows = rows.where(~kind["break"] & ~(weak & (F.coalesce(F.col("_covered"), F.lit(0)) > F.col("start"))) &
                       ~(kind["key_run"] & (F.coalesce(F.col("_named"), F.lit(0)) > F.col("start"))))
-    near = Window.partitionBy("doc_id", "_hash", "_scope").orderBy("start").rangeBetween(-REACH, REACH)
-    has_account = F.max(kind["account"] | kind["access"]).over(near)
-    has_endpoint = F.max(kind["endpoint"]).over(near)
-    has_secret = F.max(kind["short_secret"] | kind["key_run"] | kind["assign"] | kind["hex"]).over(near)
-    has_key = F.max(kind["access_key"]).over(near)
+    scope = Window.partitionBy("doc_id", "_hash", "_scope")
+    has_account = F.max(kind["account"] | kind["access"]).over(scope)
+    has_endpoint = F.max(kind["endpoint"]).over(scope)
+    has_secret = F.max(kind["short_secret"] | kind["key_run"] | kind["assign"] | kind["hex"]).over(scope)
+    has_key = F.max(kind["access_key"]).over(scope)
     linked = (is_base | (kind["short_secret"] & (has_account | has_key | has_endpoint)) | (kind["account"] & (has_secret | has_key)) |
               (kind["key_run"] & (has_account | has_key | (has_endpoint & ~F.col("_in_endpoint")))) |
               (kind["access_key"] & (has_account | has_secret | has_endpoint)))
