@@ -1,8 +1,8 @@
 """LM scoring (operator 2): hashed maximum-entropy model with a class-factored softmax.
 
 P(token | history) = P(class | history) * P(token | class). The class factor is a softmax over
-some eighty classes whose features are the last token, the last two, and the token two
-back alone (skip feature), hashed into a fixed number of weight rows. The most
+some two hundred classes whose features are the last token, the last two, and the tokens two
+and three back alone (skip features), hashed into a fixed number of weight rows. The most
 frequent tokens are classes of their own; the other head tokens and all tail tokens fall into
 classes by their ending. Inside a class the model's features are the tokens themselves,
 whose maximum-entropy weights are the logarithms of their (for tail tokens: discounted)
@@ -47,15 +47,15 @@ from .tokens import utf8
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"              # no word holds a line break
 HEAD = 1 << 16           # tokens in the broadcast table
-SINGLE = 40              # of these, tokens that are classes of their own
-ENDINGS = 20             # classes by ending, for head and for tail tokens each
+SINGLE = 96              # of these, tokens that are classes of their own
+ENDINGS = 48             # classes by ending, for head and for tail tokens each
 ROWS = 1 << 14           # hashed weight rows
 BLOCK = 256              # weight rows summed together
 CHUNK = 1 << 14          # tokens of one numpy batch when scoring
 STEP = 1 << 15           # tokens of one gradient update
 FLUSH = 400_000          # distinct tokens a task counts before it hands them on
-HISTORY = 2
-_MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
+HISTORY = 3
+_MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -212,9 +212,9 @@ def chunks(documents: Iterator[np.ndarray], gap: int, size: int = CHUNK) -> Iter
 
 
 def features(symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """(features, targets) weight rows: last token, last two, the one two back."""
-    one, two = (symbols[place - i].astype(np.uint64) + np.uint64(1) for i in (1, 2))
-    keys = (one, one * np.uint64(1_000_003) + two, two)
+    """(features, targets) weight rows: last token, last two, the ones two and three back."""
+    one, two, three = (symbols[place - i].astype(np.uint64) + np.uint64(1) for i in (1, 2, 3))
+    keys = (one, one * np.uint64(1_000_003) + two, two, three)
     rows = [((k * np.uint64(m) + np.uint64(i + 1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - ROWS.bit_length())
             for i, (k, m) in enumerate(zip(keys, _MULTIPLIERS))]
     return np.stack(rows).astype(np.int64)

@@ -101,3 +101,10 @@ def test_odd_rows(spark, docs, empty):
     got = L.score_documents(docs, none, blank).collect()
     assert all(r.base_score == 0 and r.n_known == 0 and r.train_tokens == 0 for r in got)
     assert L.score_documents(empty, counts, model).count() == 0
+
+
+def test_a_feature_for_each_of_the_three_tokens_back(fitted):
+    model = fitted[2]
+    assert model.n_classes == 192 and model.weights.shape == (L.ROWS, 192)
+    a, b = (L.features(np.array([x, 3, 2, 0]), np.array([3]))[:, 0] for x in (7, 8))
+    assert a[:-1].tolist() == b[:-1].tolist() and a[-1] != b[-1]
