@@ -6,7 +6,9 @@ text is split there (that is what keeps very long texts bounded), each distinct
 segment is encoded once per worker, and the segments still unknown are handed to the
 library in batches of about equal bytes. Whether the split is safe is tried on the
 tokenizer itself; where it is not, and for sentencepiece models, whole texts are
-encoded, in batches balanced by bytes.
+encoded, in batches balanced by bytes. Only segments of pure ASCII are lowered early, and
+only where a trial shows that case does not count: the library composes characters before
+it lowers them, so other segments go to it as they are.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); rows with equal ids are
 counted one by one; a null id is returned as null; an empty table gives an empty
@@ -18,7 +20,9 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import cached_property, partial
+from itertools import product
+from string import ascii_letters, ascii_lowercase, digits, punctuation
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +35,7 @@ BATCH_BYTES = 1 << 20
 MEMO_ENTRIES = 1_000_000
 LONGEST_KEPT = 64
 
-#: The pre-tokenizer's rule for printable ASCII in lower case; tests hold it against the library.
+#: The pre-tokenizer's rule for printable ASCII in lower case; used only where a trial on the tokenizer holds.
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
@@ -68,6 +72,7 @@ class SegmentEncoder:
         self.tokenizer = load(path)
         self.sentencepiece = path.endswith(".model")
         self.splits = not self.sentencepiece and self._drops_white_space()
+        self.lowers = self.splits and self._ignores_case()
         self.counts: dict[bytes, int] = {}
         self.ids: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -88,9 +93,27 @@ class SegmentEncoder:
         parts = self._encode(["Ab,", "c1"])
         return all(x == parts[0] + parts[1] for x in whole)
 
+    def _ignores_case(self) -> bool:
+        words = [*map("".join, product(ascii_letters, repeat=2)), ascii_letters, "X'S", "I'LL", "A1B", "NaN-Ab.C"]
+        return self._encode(words) == self._encode([w.lower() for w in words])
+
+    @cached_property
+    def ascii_pieces(self) -> bool:
+        """Whether the pieces by ``ASCII_PIECE`` have the library's ids."""
+        words = [*map("".join, product(ascii_lowercase + digits + punctuation, repeat=2)), "it's", "we'll've", "x'sted",
+                 "a1b22c", "''s'", "'re9", "foo-bar_baz!!", "(a.b)'d", "internationalization", "x.y's1"]
+        return all(_packed(ids) == self._by_pieces(w) for w, ids in zip(words, self._encode(words)) if "<|" not in w)
+
+    def _by_pieces(self, word: str) -> bytes:
+        return b"".join([self.pieces.get(p) or self._piece(p) for p in ASCII_PIECE.findall(word)])
+
     def segments(self, text: bytes) -> list[bytes]:
-        """Runs between ASCII white space; letters lowered unless a special string may be there."""
-        return (text if b"<|" in text else text.lower()).split()
+        """Runs between ASCII white space; ASCII ones lowered unless a special string may be there."""
+        if not self.lowers or b"<|" in text:
+            return text.split()
+        if text.isascii():
+            return text.lower().split()
+        return [s.lower() if s.isascii() else s for s in text.split()]
 
     def lengths(self, texts: list[bytes]) -> list[int]:
         if not self.splits:
@@ -120,8 +143,8 @@ class SegmentEncoder:
         for s in new:
             into = known if len(s) <= LONGEST_KEPT else long
             word = s.decode()
-            if word.isascii() and word.isprintable() and word.islower() and "<|" not in word:
-                into[s] = b"".join([self.pieces.get(p) or self._piece(p) for p in ASCII_PIECE.findall(word)])
+            if word.isascii() and word.isprintable() and word.islower() and "<|" not in word and self.ascii_pieces:
+                into[s] = self._by_pieces(word)
             else:
                 rest.append(s)
         for batch in byte_batches(rest):

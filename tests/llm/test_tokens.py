@@ -136,3 +136,32 @@ def test_groups_stay_bounded_where_nothing_pairs_up(spark, monkeypatch):
     rows = P.pack_pieces(df, group_rows=2000).select("doc_id", "sequence_id").distinct()
     assert rows.count() == rows.select("doc_id").distinct().count() == rows.select("sequence_id").distinct().count() == 200_000
     assert max(largest) <= 1.2 * 2000
+
+
+def encodes_like(path, own):
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(own, add_special_tokens=False)]
+    enc, raw = T.SegmentEncoder(path), [t.encode() for t in own]
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc.id_bytes(raw)] == want
+    assert enc.lengths(raw) == list(map(len, want))
+    return enc
+
+
+def test_capitals_without_a_composed_form():
+    pairs = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"]
+    enc = encodes_like(WORD, [*pairs, *(f"An {p}amas, A{p}B Z" for p in pairs), "H\u0331amas"])
+    assert enc.lowers and enc.ascii_pieces
+
+
+def test_tokenizer_that_keeps_case_or_cuts_otherwise(tmp_path):
+    from tokenizers import models, normalizers, pre_tokenizers
+    vocab = {c: i for i, c in enumerate("".join(map(chr, range(33, 127))))} | {"AB": 200, "ab": 201, "12": 202, "b1": 203}
+    merges = [("A", "B"), ("a", "b"), ("1", "2"), ("b", "1")]
+    for name, normalizer in (("cased", None), ("lowered", normalizers.Lowercase())):
+        tokenizer = Tokenizer(models.BPE(vocab=vocab, merges=merges))
+        tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        if normalizer:
+            tokenizer.normalizer = normalizer
+        path = str(tmp_path / f"{name}.json")
+        tokenizer.save(path)
+        enc = encodes_like(path, ["AB ab aB", "x12 ab1 b12", "Ab, c1"])
+        assert enc.splits and enc.lowers == (name == "lowered") and not enc.ascii_pieces
