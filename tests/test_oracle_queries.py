@@ -7,7 +7,7 @@ Runs at sf0.001 by default (set LOGWEAVE_ORACLE_SF to another directory, e.g.
 import os
 
 import pytest
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 import __spark_entry__ as entry
 from oracle import compare

@@ -4,7 +4,7 @@ import sys
 import threading
 
 import pytest
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from logweave.plans import load_all
 
