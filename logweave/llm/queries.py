@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import credentials, lm, minhash, mixing, packing, quality, simhash, tokens, topk, urls
+from . import conversations, credentials, licenses, lm, minhash, mixing, packing, quality, simhash, tokens, topk, urls, whitening
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_pack": packing.op8_pack,
     "op9_token_counts": tokens.op9_token_counts,
     "op10_url_filter": urls.op10_url_filter,
+    "op11_licenses": licenses.op11_licenses,
+    "op12_whiten": whitening.op12_whiten,
+    "op13_repair": conversations.op13_repair,
 }
 ORACLE_SQL = {"op6_mix": mixing.OP6_SQL, "op7_top_k": topk.OP7_SQL}
