@@ -1,27 +1,30 @@
 """LM scoring (operator 2): hashed maximum-entropy model with a class-factored softmax.
 
-P(token | history) = P(class | history) * P(token | class). The class factor is a softmax over
-some two hundred classes whose features are the last token, the last two, and the tokens two
-and three back alone (skip features), hashed into a fixed number of weight rows. The most
-frequent tokens are classes of their own; the other head tokens and all tail tokens fall into
-classes by their ending. Inside a class the model's features are the tokens themselves,
-whose maximum-entropy weights are the logarithms of their (for tail tokens: discounted)
-counts; the discount is the share of a tail class for tokens never seen in training.
+P(token | history) = P(class | history) * P(unit | class, history) * P(token | unit). Both of the first
+factors are softmaxes over 64 outcomes whose features are the last token, the last two, and the tokens
+two and three back alone (skip features), hashed into weight rows; the second factor's features are
+hashed together with the class. So context prefers one word of a class to another. The most
+frequent tokens are units of their own, 48 to a class, words of like endings side by side; the other
+head tokens and all tail tokens share units by their ending. Inside such a unit the model's features are the
+tokens themselves, whose maximum-entropy weights are the logarithms of their (for tail
+tokens: discounted) counts; the discount is the share of a tail unit for tokens never seen in training.
 
 Training: token counts of all training documents are summed by Spark. Then, over all
 training documents in ``rounds`` disjoint parts, every task makes gradient updates on its
 documents from the round's common weights; the rows of weights are averaged by how
 often each task met them, in a shuffle that sums block by block, and are the next
-round's start. Only model parameters of fixed size meet on the driver.
+round's start. Only model parameters of a stated size meet on the driver.
 
 Scoring: head tokens (a bounded broadcast table) are scored in numpy batches; the tokens
 of the open-ended tail leave the task as one row per document and token and meet the
-table of counts in a join. Texts are never shuffled.
+table of counts in a join. Texts are never shuffled. Tasks work on slices of texts of
+bounded bytes.
 
-The probabilities of all known tokens and of "unknown" (split by class) sum to one.
+The probabilities of all known tokens and of "unknown" (split by ending) sum to one; they are kept as logarithms
+throughout, without a floor.
 
 Defined cases: null text is empty (one end token); null ids are never learned from and
-count as held out; without training text every class is equally likely and every token
+count as held out; without training text every class and unit is equally likely and every token
 unknown; rows with equal ids are scored one by one; an empty table gives an empty
 result; other columns are not read.
 """
@@ -36,6 +39,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,12 +51,14 @@ from .tokens import utf8
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"              # no word holds a line break
 HEAD = 1 << 16           # tokens in the broadcast table
-SINGLE = 96              # of these, tokens that are classes of their own
-ENDINGS = 48             # classes by ending, for head and for tail tokens each
-ROWS = 1 << 14           # hashed weight rows
+CLASSES = 64
+WIDTH = 64               # units of a class: single tokens, then other head tokens and tail tokens by ending
+SINGLES, ENDINGS = 48, 8
+ROWS = 1 << 14           # hashed weight rows of each of the two softmaxes
 BLOCK = 256              # weight rows summed together
-CHUNK = 1 << 14          # tokens of one numpy batch when scoring
+CHUNK = 1 << 13          # tokens of one numpy batch when scoring
 STEP = 1 << 15           # tokens of one gradient update
+SLICE = 1 << 20          # bytes of text scored together
 FLUSH = 400_000          # distinct tokens a task counts before it hands them on
 HISTORY = 3
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
@@ -86,50 +92,61 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_counts, "token string, c bigint").where("c > 0").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def ending_class(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % ENDINGS
+#: Endings are told apart into so many buckets, ``ENDINGS`` to a class.
+BUCKETS = CLASSES * ENDINGS
 
 
-def _ending_column(token: Column) -> Column:
-    return (F.crc32(F.substring(token.cast("binary"), -2, 2)) % ENDINGS).cast("int")
+def ending_bucket(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % BUCKETS
+
+
+def _bucket_column(token: Column) -> Column:
+    return (F.crc32(F.substring(token.cast("binary"), -2, 2)) % BUCKETS).cast("int")
+
+
+def shared_unit(bucket: int | np.ndarray, tail: bool) -> int | np.ndarray:
+    """The unit (class * WIDTH + place) of an ending bucket's head or tail tokens."""
+    return bucket // ENDINGS * WIDTH + SINGLES + ENDINGS * tail + bucket % ENDINGS
 
 
 # ------------------------------------------------------------------ model
 @dataclass
 class Model:
-    """Parameters of fixed size: head table, class statistics, hashed weights."""
+    """Parameters of a stated size: head table, statistics of units, hashed weights."""
     total: int                      # N
     distinct: int                   # V
     head: dict[bytes, int]
     head_count: np.ndarray
     discount: float
-    tail_words: np.ndarray          # V_k of each tail class
-    tail_tokens: np.ndarray         # N_k
-    bias: np.ndarray = field(default=None)
-    weights: np.ndarray = field(default=None)
-
-    @property
-    def n_classes(self) -> int:
-        return SINGLE + 2 * ENDINGS
+    tail_words: np.ndarray          # V of each bucket's tail tokens
+    tail_tokens: np.ndarray         # N of them
+    class_bias: np.ndarray = field(default=None)
+    unit_bias: np.ndarray = field(default=None)
+    weights: np.ndarray = field(default=None)     # rows of the classes' softmax, then of the units'
 
     def prepare(self) -> None:
-        """Derive classes, class priors and the tokens' shares of their classes."""
+        """Derive units, priors and the tokens' shares of their units."""
         words = list(self.head)
-        self.head_class = np.array([i if i < SINGLE else SINGLE + ending_class(w) for i, w in enumerate(words)], np.int64)
-        by_class = np.bincount(self.head_class, self.head_count, self.n_classes)
-        by_class[SINGLE + ENDINGS:] = self.tail_tokens
-        self.bias = np.log((by_class + 0.5) / (by_class + 0.5).sum()).astype(np.float32)
-        share = self.head_count / by_class[self.head_class] if words else np.zeros(0)
-        self.log_share = np.log10(share)
-        # a tail class without tokens is all "unknown"
+        units = np.array([shared_unit(ending_bucket(w), False) for w in words], np.int64)
+        single = sorted(range(min(len(words), CLASSES * SINGLES)), key=lambda i: words[i][::-1])
+        for place, i in enumerate(single):
+            units[i] = place // SINGLES * WIDTH + place % SINGLES
+        self.head_unit = units
+        mass = np.bincount(units, self.head_count, CLASSES * WIDTH)
+        mass[shared_unit(np.arange(BUCKETS), True)] = self.tail_tokens
+        grid = mass.reshape(CLASSES, WIDTH) + 0.5
+        self.class_bias = np.log(grid.sum(axis=1) / grid.sum()).astype(np.float32)
+        self.unit_bias = np.log(grid / grid.sum(axis=1, keepdims=True)).astype(np.float32)
+        self.log_share = np.log10(self.head_count / mass[units]) if words else np.zeros(0)
+        # a tail unit without tokens is all "unknown"
         empty = self.tail_tokens == 0
         self.log_tail_total = np.log10(np.where(empty, 1, self.tail_tokens))
         self.log_unknown = np.log10(np.where(empty, 1, self.discount * self.tail_words))
-        self.weights = np.zeros((ROWS, self.n_classes), np.float32)
+        self.weights = np.zeros((2 * ROWS, WIDTH), np.float32)
 
 
 def fit_head(counts: DataFrame) -> Model:
-    """The head table and the statistics of the tail's classes; what is collected is bounded by ``HEAD``."""
+    """The head table and the statistics of the tail's buckets; what is collected is bounded by ``HEAD``."""
     by_size = counts.groupBy(F.floor(F.log2("c")).cast("int").alias("b")).agg(
         F.count("*").alias("n"), F.sum("c").alias("s"), F.count_if(F.col("c") == 1).alias("n1"),
         F.count_if(F.col("c") == 2).alias("n2")).collect()
@@ -142,11 +159,11 @@ def fit_head(counts: DataFrame) -> Model:
     top = counts.where(F.col("c") >= least).orderBy(F.col("c").desc(), "token").limit(HEAD).collect()
     n1, n2 = sum(r.n1 for r in by_size), sum(r.n2 for r in by_size)
     discount = min(0.9, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.5
-    words, tokens = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for r in counts.groupBy(_ending_column(F.col("token")).alias("k")).agg(F.count("*").alias("n"), F.sum("c").alias("s")).collect():
+    words, tokens = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for r in counts.groupBy(_bucket_column(F.col("token")).alias("k")).agg(F.count("*").alias("n"), F.sum("c").alias("s")).collect():
         words[r.k], tokens[r.k] = r.n, r.s
     for r in top:  # what is left of all tokens is the tail
-        k = ending_class(r.token.encode())
+        k = ending_bucket(r.token.encode())
         words[k] -= 1
         tokens[k] -= r.c
     model = Model(total, distinct, {r.token.encode(): i for i, r in enumerate(top)},
@@ -157,34 +174,32 @@ def fit_head(counts: DataFrame) -> Model:
 
 # ------------------------------------------------------------------ numpy batches
 class Reader:
-    """Turns texts into symbols: head tokens by number, tail tokens by class, a gap between documents."""
+    """Turns texts into symbols: head tokens by number, tail tokens by ending bucket, a gap between documents."""
 
     def __init__(self, model: Model):
         self.model = model
         self.end = model.head.get(END)
-        self.gap = len(model.head) + ENDINGS
-        self.endings: dict[bytes, int] = {}
+        self.gap = len(model.head) + BUCKETS
+        self.buckets: dict[bytes, int] = {}
+        self.units = np.concatenate([model.head_unit, shared_unit(np.arange(BUCKETS), True)]).astype(np.int64)
 
     def symbols(self, words: list[bytes]) -> np.ndarray:
         """Of one document, the end token included."""
-        get, first_tail, endings = self.model.head.get, len(self.model.head), self.endings
+        get, first_tail, buckets = self.model.head.get, len(self.model.head), self.buckets
         out = [get(w, -1) for w in words]
-        out.append(self.end if self.end is not None else first_tail + ending_class(END))
+        out.append(self.end if self.end is not None else first_tail + ending_bucket(END))
         symbols = np.array(out, np.int64)
         for i in np.flatnonzero(symbols < 0).tolist():
             tail = words[i][-2:]
-            k = endings.get(tail)
+            k = buckets.get(tail)
             if k is None:
-                k = endings[tail] = ending_class(tail)
+                k = buckets[tail] = ending_bucket(tail)
             symbols[i] = first_tail + k
         return symbols
 
-    def classes(self, symbols: np.ndarray) -> np.ndarray:
-        n = len(self.model.head)
-        tail = symbols >= n
-        out = symbols - n + SINGLE + ENDINGS
-        out[~tail] = self.model.head_class[symbols[~tail]]
-        return out
+    def targets(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class, place in it) of each symbol."""
+        return np.divmod(self.units[symbols], WIDTH)
 
 
 def chunks(documents: Iterator[np.ndarray], gap: int, size: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -211,23 +226,26 @@ def chunks(documents: Iterator[np.ndarray], gap: int, size: int = CHUNK) -> Iter
         yield out()
 
 
-def features(symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """(features, targets) weight rows: last token, last two, the ones two and three back."""
+def features(symbols: np.ndarray, place: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """(features, 2 x targets) weight rows: last token, last two, the ones two and three back; for the class of each target,
+    then, hashed with its class, for its unit."""
     one, two, three = (symbols[place - i].astype(np.uint64) + np.uint64(1) for i in (1, 2, 3))
-    keys = (one, one * np.uint64(1_000_003) + two, two, three)
-    rows = [((k * np.uint64(m) + np.uint64(i + 1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - ROWS.bit_length())
-            for i, (k, m) in enumerate(zip(keys, _MULTIPLIERS))]
+    shift, spread = np.uint64(65 - ROWS.bit_length()), np.uint64(0x9E3779B97F4A7C15)
+    own = (classes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    rows = []
+    for i, (key, m) in enumerate(zip((one, one * np.uint64(1_000_003) + two, two, three), _MULTIPLIERS)):
+        key = key * np.uint64(m) + np.uint64(i + 1)
+        rows.append(np.concatenate([(key * spread) >> shift, (((key ^ own) * spread) >> shift) + np.uint64(ROWS)]))
     return np.stack(rows).astype(np.int64)
 
 
-def class_probabilities(bias: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    logits = weights[rows[0]]
-    for r in rows[1:]:
+def log_probabilities(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """(2 x targets, 64) natural logarithms: of the classes, then of the units of each target's class."""
+    logits = np.concatenate([np.broadcast_to(model.class_bias, (len(classes), WIDTH)), model.unit_bias[classes]])
+    for r in rows:
         logits += weights[r]
-    logits += bias
     logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
     return logits
 
 
@@ -236,35 +254,35 @@ def _train(batches: Iterator[pa.RecordBatch], shared, rate: float) -> Iterator[p
     model = shared.value
     reader = Reader(model)
     weights, squares = model.weights.copy(), np.ones(model.weights.T.shape, np.float32)
-    bias, met, gradient = model.bias, np.zeros(ROWS, np.int64), np.empty(weights.T.shape, np.float32)
-    for batch in batches:
-        documents = (reader.symbols(t.lower().split()) for t in utf8(batch.column(0)))
-        for symbols, place, _ in chunks(documents, reader.gap, STEP):
-            rows = features(symbols, place)
-            error = class_probabilities(bias, weights, rows)
-            error[np.arange(len(place)), reader.classes(symbols[place])] -= 1.0
-            # one histogram of all features per class
-            for k, e in enumerate(np.ascontiguousarray(error.T, np.float64)):
-                gradient[k] = sum(np.bincount(r, e, ROWS) for r in rows)
-            squares += gradient * gradient
-            weights -= (rate * gradient / np.sqrt(squares)).T
-            met += np.bincount(rows.ravel(), minlength=ROWS)
-    change = weights - model.weights
-    for at in range(0, ROWS, BLOCK):
+    met, gradient = np.zeros(2 * ROWS, np.int64), np.empty(weights.T.shape, np.float32)
+    documents = (reader.symbols(t.lower().split()) for batch in batches for t in utf8(batch.column(0)))
+    for symbols, place, _ in chunks(documents, reader.gap, STEP):
+        classes, units = reader.targets(symbols[place])
+        rows = features(symbols, place, classes)
+        error = np.exp(log_probabilities(model, weights, rows, classes))
+        error[np.arange(len(error)), np.concatenate([classes, units])] -= 1.0
+        # one histogram of all features per outcome
+        for k, e in enumerate(np.ascontiguousarray(error.T)):
+            gradient[k] = sum(np.bincount(r, e, 2 * ROWS) for r in rows)
+        squares += gradient * gradient
+        weights -= (rate * gradient / np.sqrt(squares)).T
+        met += np.bincount(rows.ravel(), minlength=2 * ROWS)
+    weights -= model.weights
+    for at in range(0, 2 * ROWS, BLOCK):
         n = met[at:at + BLOCK]
         if n.any():
             yield pa.RecordBatch.from_arrays([
                 pa.array([at], pa.int32()), pa.array([n.tobytes()], pa.binary()),
-                pa.array([change[at:at + BLOCK].astype(np.float16).tobytes()], pa.binary())], ["block", "met", "change"])
+                pa.array([weights[at:at + BLOCK].tobytes()], pa.binary())], ["block", "met", "change"])
 
 
-def _average(batches: Iterator[pa.RecordBatch], n_classes: int) -> Iterator[pa.RecordBatch]:
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of equal blocks come together in one task and are summed as they stream in."""
     sums: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for block, met, change in zip(*(c.to_pylist() for c in batch.columns)):
             n = np.frombuffer(met, np.int64)
-            part = np.frombuffer(change, np.float16).reshape(BLOCK, n_classes).astype(np.float64) * n[:, None]
+            part = np.frombuffer(change, np.float32).reshape(BLOCK, WIDTH) * n[:, None].astype(np.float64)
             if block in sums:
                 sums[block][0] += n
                 sums[block][1] += part
@@ -282,8 +300,7 @@ def fit_weights(training: DataFrame, model: Model, part: Column, rounds: int = 2
         shared = spark.sparkContext.broadcast(model)
         changes = training.where(part == r).select("text").mapInArrow(
             partial(_train, shared=shared, rate=rate), "block int, met binary, change binary")
-        means = changes.repartition(ROWS // BLOCK // 4, "block").mapInArrow(
-            partial(_average, n_classes=model.n_classes), "block int, mean binary")
+        means = changes.repartition(2 * ROWS // BLOCK // 4, "block").mapInArrow(_average, "block int, mean binary")
         for row in means.toLocalIterator():
             model.weights[row.block:row.block + BLOCK] += np.frombuffer(row.mean, np.float32).reshape(BLOCK, -1)
         shared.unpersist()
@@ -295,6 +312,20 @@ _PARTS = ("row bigint, doc_id bigint, token string, tf bigint, unknown double, "
           "n_tokens bigint, n_known bigint, base double, score double")
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, texts) of some rows at a time, up to ``SLICE`` bytes of text (a longer text alone)."""
+    at = 0
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+    while at < batch.num_rows:
+        end, held = at, 0
+        while end < batch.num_rows and (end == at or held + sizes[end] <= SLICE):
+            held += sizes[end]
+            end += 1
+        part = batch.slice(at, end - at)
+        yield part.column(0).cast(pa.int64()).to_pylist(), utf8(part.column(1))
+        at = end
+
+
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """Of each document one row with what the head decides, and one row per distinct tail token."""
     model = shared.value
@@ -302,23 +333,23 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     log_count = np.log10(model.head_count + 1)
     context = TaskContext.get()
     row = (context.partitionId() if context else 0) << 40
-    for batch in batches:
-        ids, texts = batch.column(0).cast(pa.int64()).to_pylist(), utf8(batch.column(1))
+    to_ten = 1 / np.log(10)
+    for ids, texts in (x for batch in batches for x in _slices(batch)):
         split, symbols = [], []
         for t in texts:
             words = t.lower().split()
             s = reader.symbols(words)
             symbols.append(s)
-            tail = np.flatnonzero(s[:-1] >= n_head).tolist()
-            split.append(Counter([words[i] for i in tail]))
+            split.append(Counter([words[i] for i in np.flatnonzero(s[:-1] >= n_head).tolist()]))
             if s[-1] >= n_head:
                 split[-1][END] += 1
         total = np.zeros(len(texts))
         for part, place, owner in chunks(iter(symbols), reader.gap):
             target = part[place]
-            p = class_probabilities(model.bias, model.weights, features(part, place))
-            classes = reader.classes(target)
-            log_p = np.log10(np.maximum(p[np.arange(len(place)), classes].astype(np.float64), 1e-30))
+            classes, units = reader.targets(target)
+            log_p = log_probabilities(model, model.weights, features(part, place, classes), classes)
+            at = np.arange(len(place))
+            log_p = (log_p[at, classes].astype(np.float64) + log_p[at + len(place), units]) * to_ten
             tail = target >= n_head
             log_p[~tail] += model.log_share[target[~tail]]
             log_p[tail] -= model.log_tail_total[target[tail] - n_head]
@@ -328,14 +359,13 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         base = np.array([float(log_count[s[s < n_head]].sum()) for s in symbols])
         rows = np.arange(row, row + len(texts))
         row += len(texts)
-        own = pa.RecordBatch.from_arrays([
+        yield pa.RecordBatch.from_arrays([
             pa.array(rows), pa.array(ids, pa.int64()), pa.array([f"\n{r}" for r in rows.tolist()]),
             *(pa.nulls(len(rows), t) for t in (pa.int64(), pa.float64())), pa.array(n), pa.array(known), pa.array(base), pa.array(total)],
             _PARTS_NAMES)
-        yield own
         many = np.repeat(rows, [len(c) for c in split])
         words = [w for c in split for w in c]
-        unknown = model.log_unknown[[ending_class(w) for w in words]] if words else np.zeros(0)
+        unknown = model.log_unknown[[ending_bucket(w) for w in words]] if words else np.zeros(0)
         nothing = [pa.nulls(len(words), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
         yield pa.RecordBatch.from_arrays([
             pa.array(many, pa.int64()), pa.nulls(len(words), pa.int64()), pa.array(words, pa.binary()).cast(pa.string()),

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from logweave.llm import lm as L
 
@@ -32,36 +33,72 @@ def test_counts_base_and_unknown_tokens(fitted):
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (total + distinct + 1)) for w in words))
 
 
-def test_score_is_the_models_probability_and_sums_to_one(fitted, monkeypatch):
-    docs, counts, model = fitted
-    c = {r.token.encode(): r.c for r in counts.collect()}
-    reader, n_head = L.Reader(model), len(model.head)
+def after(model, reader, history):
+    """history -> (class probabilities, unit probabilities of every class) of the next token."""
+    symbols = np.concatenate([np.full(L.HISTORY, reader.gap), reader.symbols(history)])[:-1]
+    place = np.full(L.CLASSES, len(symbols))
+    classes = np.arange(L.CLASSES)
+    p = np.exp(L.log_probabilities(model, model.weights, L.features(np.append(symbols, 0), place, classes), classes).astype(float))
+    return p[0], p[L.CLASSES:]
 
-    def class_p(history):
-        symbols = np.concatenate([np.full(L.HISTORY, reader.gap), reader.symbols(history)])[:-1]
-        place = np.array([len(symbols)])
-        return L.class_probabilities(model.bias, model.weights, L.features(np.append(symbols, 0), place))[0].astype(float)
 
-    def inside(w):
-        if w in model.head:
-            i = model.head[w]
-            return model.head_class[i], 10 ** model.log_share[i]
-        k = L.ending_class(w)
-        known = c[w] - model.discount if w in c else 10 ** model.log_unknown[k]
-        return L.SINGLE + L.ENDINGS + k, known / 10 ** model.log_tail_total[k]
+def probability(model, c, p_class, p_unit, w):
+    if w in model.head:
+        i = model.head[w]
+        k, unit = divmod(int(model.head_unit[i]), L.WIDTH)
+        return p_class[k] * p_unit[k, unit] * 10 ** model.log_share[i]
+    bucket = L.ending_bucket(w)
+    k, unit = divmod(L.shared_unit(bucket, True), L.WIDTH)
+    known = c[w] - model.discount if w in c else 10 ** model.log_unknown[bucket]
+    return p_class[k] * p_unit[k, unit] * known / 10 ** model.log_tail_total[bucket]
 
+
+def test_score_is_the_models_probability_and_sums_to_one(fitted, monkeypatch):
+    docs, counts, model = fitted
+    c = {r.token.encode(): r.c for r in counts.collect()}
+    reader = L.Reader(model)
     row = min((r for r in docs.collect() if len(tokens(r.text)) > 15), key=lambda r: len(r.text))
-    words, want = tokens(row.text), 0.0
-    for i, w in enumerate(words):
-        k, share = inside(w)
-        want += math.log10(class_p(words[:i])[k] * share)
+    words = tokens(row.text)
+    want = sum(math.log10(probability(model, c, *after(model, reader, words[:i]), w)) for i, w in enumerate(words))
     got = next(r for r in L.score_documents(docs, counts, model).collect() if r.doc_id == row.doc_id)
     assert got.score == pytest.approx(want, rel=1e-4)
-    p = class_p(words[:5])
-    mass = sum(p[k] * share for k, share in map(inside, c))
-    mass += sum(p[L.SINGLE + L.ENDINGS + k] * 10 ** (model.log_unknown[k] - model.log_tail_total[k]) for k in range(L.ENDINGS))
+    p_class, p_unit = after(model, reader, words[:5])
+    mass = sum(probability(model, c, p_class, p_unit, w) for w in c)
+    for bucket in range(L.BUCKETS):
+        k, unit = divmod(L.shared_unit(bucket, True), L.WIDTH)
+        mass += p_class[k] * p_unit[k, unit] * 10 ** (model.log_unknown[bucket] - model.log_tail_total[bucket])
+    # units without any token keep the little mass of their prior
+    used = set(model.head_unit.tolist()) | {L.shared_unit(b, True) for b in range(L.BUCKETS)}
+    mass += sum(p_class[u // L.WIDTH] * p_unit[u // L.WIDTH, u % L.WIDTH] for u in range(L.CLASSES * L.WIDTH) if u not in used)
     assert mass == pytest.approx(1.0, abs=1e-4)
-    assert n_head + sum(model.tail_words) == len(c)
+    assert len(model.head) + sum(model.tail_words) == len(c)
+
+
+def test_a_text_of_many_chunks_scores_like_the_model_token_by_token(spark, fitted, monkeypatch):
+    docs, counts, model = fitted
+    monkeypatch.setattr(L, "CHUNK", 16)
+    c = {r.token.encode(): r.c for r in counts.collect()}
+    reader = L.Reader(model)
+    text = " ".join(w for r in docs.limit(5).collect() for w in (r.text or "").split()[:40])
+    words = tokens(text)
+    assert len(words) > 100
+    want = sum(math.log10(probability(model, c, *after(model, reader, words[:i]), w)) for i, w in enumerate(words))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+    shared = type("Shared", (), {"value": model})
+    parts = [r for b in L._score(iter([batch]), shared) for r in b.to_pylist()]
+    tail = sum(r["tf"] * (math.log10(c[r["token"].encode()] - model.discount) if r["token"].encode() in c else r["unknown"]) for r in parts if r["tf"])
+    assert sum(r["score"] for r in parts if r["score"] is not None) + tail == pytest.approx(want, rel=1e-4)
+
+
+def test_context_changes_the_order_of_two_words_of_one_class(spark):
+    rows = [(i, "red apple . blue apricot . " * 30) for i in range(40)]
+    counts, model = L.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    reader, c = L.Reader(model), {r.token.encode(): r.c for r in counts.collect()}
+    one, two = (int(model.head_unit[model.head[w]]) for w in (b"apple", b"apricot"))
+    assert one // L.WIDTH == two // L.WIDTH and one != two
+    red, blue = (after(model, reader, [w]) for w in (b"red", b"blue"))
+    assert probability(model, c, *red, b"apple") > probability(model, c, *red, b"apricot")
+    assert probability(model, c, *blue, b"apple") < probability(model, c, *blue, b"apricot")
 
 
 def test_tail_goes_through_the_join(fitted, monkeypatch, spark):
@@ -105,6 +142,8 @@ def test_odd_rows(spark, docs, empty):
 
 def test_a_feature_for_each_of_the_three_tokens_back(fitted):
     model = fitted[2]
-    assert model.n_classes == 192 and model.weights.shape == (L.ROWS, 192)
-    a, b = (L.features(np.array([x, 3, 2, 0]), np.array([3]))[:, 0] for x in (7, 8))
-    assert a[:-1].tolist() == b[:-1].tolist() and a[-1] != b[-1]
+    assert model.weights.shape == (2 * L.ROWS, 64) and model.weights.dtype == np.float32
+    a, b = (L.features(np.array([x, 3, 2, 0]), np.array([3]), np.array([5])) for x in (7, 8))
+    assert a[:-1].tolist() == b[:-1].tolist() and (a[-1] != b[-1]).all()
+    other = L.features(np.array([7, 3, 2, 0]), np.array([3]), np.array([6]))
+    assert (a[:, 0] == other[:, 0]).all() and (a[:, 1] != other[:, 1]).all() and (a[:, 1] >= L.ROWS).all()
