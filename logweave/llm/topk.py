@@ -2,19 +2,21 @@
 
 Vectors are cut to integers and dealt into blocks. In a block every component is a
 posting: its dimension's list holds (row, impact), the impact being the component's size
-quantised to a few levels, and a posting segment is what one level holds. A batch of
-queries processes the segments of a block by descending level, adding the middle of the
-level's range to the scores; what is still open is bounded by the query's weights and
+quantised to a few levels, and a posting segment is what one level holds, as arrays of dimensions and signs
+in row order. A batch of queries processes the segments of a block by descending level, adding the middle of
+the level's range to the scores of the rows that are in it; what is still open is bounded by the query's weights and
 the level. Processing stops when the bounds prove that only few rows can still be among the
 k best (or when no segment is left), and those rows are scored exactly from the integers.
 The result is exact in every case; a stop too early only leaves more rows to score.
 
-Query batches meet the blocks in an equi-join on a group number: each group of blocks gets
-every batch once. Batches and blocks are of bounded size and a task holds one pair at a
+Query batches meet the blocks in an equi-join on the cells of a grid: blocks are dealt into as many groups as
+the root of their number, batches into parts likewise, so a vector is sent as often as the root of the
+other side's batches or blocks. Batches and blocks are of bounded size and a task holds one pair at a
 time, whatever the table's size. Only the best k of a pair leave the task.
 
-Defined cases: vectors that are null, empty, or hold null or non-finite components take no part;
-vectors of unequal length count missing components as zero; a query's own row is left
+Defined cases: vectors that are null or hold null or non-finite components take no part;
+vectors of unequal length (empty ones too) count missing components as zero; a finite component that scaled is 2^62 or
+more, and a score beyond a long, are errors; a query's own row is left
 out, other rows with its id are not, and queries with equal ids are searched and ranked one by one; ties
 go to the smaller id, null last. Null ids are no queries. An empty table gives an empty
 result; other columns are not read.
@@ -22,6 +24,7 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -45,10 +48,11 @@ _HITS = "query_row bigint, query_id bigint, vec_id bigint, vec_row bigint, score
 
 def integer_vectors(rows: DataFrame, scale: float = 256.0) -> DataFrame:
     """(vec_id, v): floor(scale * x) of the vectors that take part."""
-    bound = float(1 << 62)
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
-    fit = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < bound))
-    return rows.where((F.size("embedding") > 0) & fit).select(F.col("vec_id").cast("bigint"), whole.alias("v"))
+    size = lambda x: F.abs(x.cast("double"))
+    whole = F.transform("embedding", lambda x: F.when(size(x) * scale < float(1 << 62), F.floor(x.cast("double") * scale)).otherwise(
+        F.raise_error("a component is too large for integer scores").cast("bigint")))
+    fit = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (size(x) < float("inf")))
+    return rows.where(F.col("embedding").isNotNull() & fit).select(F.col("vec_id").cast("bigint"), whole.alias("v"))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], block_rows: int) -> Iterator[pa.RecordBatch]:
@@ -71,18 +75,29 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_rows: int) -> Iterator[pa.R
 
 
 def _batches_of_queries(batches: Iterator[pa.RecordBatch], every: int, size: int) -> Iterator[pa.RecordBatch]:
-    """The query rows of each block, as blocks of their own; ``rows`` names the rows."""
+    """The query rows of some blocks, ``size`` at a time; ``rows`` names the rows."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def out(n: int) -> pa.RecordBatch:
+        width = max(m.shape[1] for _, _, m in held)
+        ids, rows = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        matrix = np.concatenate([_wider(m, width) for _, _, m in held])
+        held[:] = [(ids[n:], rows[n:], matrix[n:])] if len(ids) > n else []
+        return pa.RecordBatch.from_arrays([
+            pa.array([len(ids[:n])], pa.int32()), pa.array([width], pa.int32()), pa.array([ids[:n].tobytes()], pa.binary()),
+            pa.array([rows[:n].tobytes()], pa.binary()), pa.array([matrix[:n].tobytes()], pa.binary())],
+            ["q_n", "q_dim", "q_ids", "q_rows", "q_vectors"])
+
     for batch in batches:
         for block, n, dim, ids, vectors in zip(*(c.to_pylist() for c in batch.columns)):
             ids = np.frombuffer(ids, np.int64)
-            matrix = np.frombuffer(vectors, np.int64).reshape(n, dim)
             chosen = np.flatnonzero((ids % every == 0) & (ids != NO_ID))
-            for at in range(0, len(chosen), size):
-                c = chosen[at:at + size]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([len(c)], pa.int32()), pa.array([dim], pa.int32()), pa.array([ids[c].tobytes()], pa.binary()),
-                    pa.array([((block << 12) + c).tobytes()], pa.binary()), pa.array([matrix[c].tobytes()], pa.binary())],
-                    ["q_n", "q_dim", "q_ids", "q_rows", "q_vectors"])
+            if len(chosen):
+                held.append((ids[chosen], (block << 12) + chosen, np.frombuffer(vectors, np.int64).reshape(n, dim)[chosen]))
+            while sum(len(h[0]) for h in held) >= size:
+                yield out(size)
+    if held:
+        yield out(size)
 
 
 class ImpactIndex:
@@ -93,8 +108,12 @@ class ImpactIndex:
         self.matrix = matrix
         self.step = max(1, -(-int(size.max(initial=0)) // levels))
         level = -(-size // self.step)
-        self.segments = [(int(x), np.where(level == x, np.sign(matrix), 0).astype(np.float64))
-                         for x in np.unique(level)[::-1] if x > 0]
+        self.segments = []
+        for x in np.unique(level)[::-1].tolist():
+            if x > 0:
+                of, dims = np.nonzero(level == x)
+                starts = np.flatnonzero(np.diff(of, prepend=-1))
+                self.segments.append((x, dims, np.sign(matrix[of, dims]).astype(np.float64), starts, of[starts]))
 
     def possible(self, queries: np.ndarray, k: int, enough: float = 0.02) -> np.ndarray:
         """Boolean (queries, rows): what the bounds can't exclude from the k best."""
@@ -105,8 +124,8 @@ class ImpactIndex:
         open_rows = np.ones(scores.shape, bool)
         if len(self.matrix) <= k:
             return open_rows
-        for i, (level, signs) in enumerate(self.segments):
-            scores += weights @ signs.T * ((level - 0.5) * self.step)
+        for i, (level, dims, signs, starts, of) in enumerate(self.segments):
+            scores[:, of] += np.add.reduceat(weights[:, dims] * signs, starts, axis=1) * ((level - 0.5) * self.step)
             following = self.segments[i + 1][0] if i + 1 < len(self.segments) else 0
             # a posting is off by half a step once processed, by its whole size before
             slack = mass * max(0.5, following) * self.step * (1 + 1e-9) + 1
@@ -118,8 +137,11 @@ class ImpactIndex:
 
 
 def _exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Integer inner products, pair by pair."""
-    return (queries * rows).sum(axis=1)
+    """Integer inner products of one query with some rows."""
+    if int(np.abs(queries).max(initial=0)) * int(np.abs(rows).max(initial=0)) * rows.shape[1] < 1 << 62:
+        return (queries * rows).sum(axis=1)
+    exact = [sum(a * b for a, b in zip(queries.tolist(), row)) for row in rows.tolist()]
+    return np.array(exact, np.int64) if exact else np.zeros(0, np.int64)  # beyond a long: an error
 
 
 def best(index: ImpactIndex, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -160,17 +182,18 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                 pa.array(np.concatenate([s for _, _, s in found]))], ["query_row", "query_id", "vec_id", "vec_row", "score"])
 
 
-def top_k(rows: DataFrame, k: int = 5, every: int = 50, blocks_per_group: int = 16, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def top_k(rows: DataFrame, k: int = 5, every: int = 50, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of every row whose id is divisible by ``every``."""
     if block_rows > 4096:
         raise ValueError("a block holds at most 4096 rows")
     index = cut_lineage(integer_vectors(rows).mapInArrow(partial(_blocks, block_rows=block_rows), _BLOCK))
-    groups = max(1, -(-index.count() // blocks_per_group))
-    queries = index.mapInArrow(partial(_batches_of_queries, every=every, size=BATCH_QUERIES),
-                               "q_n int, q_dim int, q_ids binary, q_rows binary, q_vectors binary")
-    dealt = index.withColumn("_group", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    sent = queries.withColumn("_group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
-    pairs = dealt.join(sent, "_group").drop("_group")
+    queries = cut_lineage(index.mapInArrow(partial(_batches_of_queries, every=every, size=BATCH_QUERIES),
+                                           "q_n int, q_dim int, q_ids binary, q_rows binary, q_vectors binary"))
+    groups, parts = (max(1, math.isqrt(n)) for n in (index.count(), queries.count()))
+    every_one = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    dealt = index.withColumn("_group", F.pmod(F.xxhash64("block"), F.lit(groups))).withColumn("_part", every_one(parts))
+    sent = queries.withColumn("_part", F.pmod(F.xxhash64("q_rows"), F.lit(parts))).withColumn("_group", every_one(groups))
+    pairs = dealt.join(sent, ["_group", "_part"]).drop("_group", "_part")
     hits = pairs.mapInArrow(partial(_search, k=k), _HITS)
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "vec_row")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
