@@ -30,7 +30,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -94,8 +94,9 @@ def links(distinct: DataFrame, max_bits: int = 2, width: int = 4, list_limit: in
     minimum = 8 - max_bits
     subsets = list(combinations(range(max_bits + width), width))
     postings = distinct.select("_fp", F.posexplode(F.array(*[_list_key(F.col("_fp"), s) for s in subsets])).alias("_subset", "_bytes"))
-    sized = postings.withColumn("_n", F.count("*").over(Window.partitionBy("_subset", "_bytes"))).where("_n > 1")
-    sized = cut_lineage(sized)
+    # a list's length is a sum that combines before the shuffle; its members meet that one row, and a long list's are split
+    lengths = postings.groupBy("_subset", "_bytes").agg(F.count("*").alias("_n")).where("_n > 1")
+    sized = cut_lineage(postings.join(lengths, ["_subset", "_bytes"]))
     lists = sized.where(F.col("_n") <= list_limit).groupBy("_subset", "_bytes").agg(F.array_sort(F.collect_list("_fp")).alias("_all"))
     pairs = lists.select("_subset", F.posexplode("_all").alias("_i", "u"), "_all").select(
         "_subset", "u", F.explode(F.expr("slice(_all, _i + 2, size(_all))")).alias("v"))
