@@ -173,12 +173,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = statistics_of(batch.column(1))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["label", "x"])
+        x = statistics_of(batch.column(4))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([r.tobytes() for r in x], pa.binary())], ["_order", "_id", "label", "_h", "x"])
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, **how) -> Trees:
-    """Fit on at most ``max_rows`` labelled documents that are not held out."""
+    """Fit on at most ``max_rows`` labelled documents that are not held out; equal texts of one id and label count once."""
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select(
         F.col("doc_id").alias("_id"), (F.col("quality") == 1).cast("double").alias("label"),
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("_order"))
@@ -186,8 +186,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, **ho
     if n > max_rows:
         usable = usable.where(F.col("_order") < int((1 << 30) * 1.1 * max_rows / n)).orderBy("_order", "_id", "label").limit(max_rows)
     texts = docs.select(F.col("doc_id").alias("_id"), "text")
-    rows = texts.join(F.broadcast(usable), "_id").select("label", "text").mapInArrow(
-        _sample_rows, "label double, x binary").toArrow()
+    types = dict(usable.dtypes)
+    met = texts.join(F.broadcast(usable), "_id").select("_order", "_id", "label", F.xxhash64("text").alias("_h"), "text").mapInArrow(
+        _sample_rows, f"_order bigint, _id {types['_id']}, label double, _h bigint, x binary")
+    # an id may stand in many rows: the bound holds for what is collected, not only for the labels
+    rows = met.groupBy("_order", "_id", "label", "_h").agg(F.first("x").alias("x")).orderBy("_order", "_id", "label", "_h").limit(max_rows).select("label", "x").toArrow()
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, N_STATISTICS)
     y = rows["label"].to_numpy()
     order = np.lexsort((*x.T, y))  # the same trees in whatever order the rows arrive
