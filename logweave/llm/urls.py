@@ -15,7 +15,7 @@ page table are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -36,29 +36,15 @@ RULES = (
 )
 MAX_RULES = 500
 
-#: The small labelled URL table (invented URLs): what a curator blocks and allows.
-BLOCKED = (
-    "http://www.casino-bonus.example.com/en/12", "https://online-casino.example.net/win",
-    "http://best-bets.example.com/odds", "https://free-bets.example.org/en/99.html",
-    "http://sport-betting.example.net/free?x=1", "https://cheap-pills.example.com/de/6",
-    "http://m.cheap-meds.example.net/buy/pills", "https://pills-online.example.org/order",
-    "http://win-money-fast.example.com/", "https://free-money.example.net/claim/prize",
-    "http://xxx-videos.example.com/free", "https://adult-cams.example.net/xxx",
-    "http://www.quick-loans.example.com/apply", "https://payday-loan.example.org/cheap",
-    "https://replica-watches.example.com/cheap/buy", "http://jackpot-slots.example.net/casino/win",
-    "http://poker-win.example.com/bonus", "https://lottery-winner.example.org/prize",
-)
-ALLOWED = (
-    "https://www.library.example.org/en/catalogue/12", "http://news.example.com/fr/2020/politics",
-    "https://docs.example.net/en/7817?utm_source=feed", "http://blog.gardening.example.com/es/roses.html",
-    "https://m.weather.example.net/de/berlin", "https://university.example.org/en/physics/lecture",
-    "http://recipes.example.com/fr/soupe#top", "https://museum.example.net/es/4163",
-    "http://the-history-site.example.org/en/482/", "https://maps.example.com/en/street?page=2&ref=x",
-    "http://www.thering.example.org/en/1291/", "https://tionble.example.net/fr/8798",
-    "http://therst.example.com/en/7376", "https://blog.ander.example.net/de/4033.html",
-    "http://m.ingtion.example.com/es/1570", "https://encyclopedia.example.com/en/article/art",
-    "http://school.example.net/de/mathe", "https://www.ununter.example.com/en/3413#top",
-)
+#: The labelled URL table is made by a rule from these words: what a curator blocks by topic, and lures that go with it;
+#: subjects and kinds of sites that are allowed. No host of it is a host of the given pages.
+TOPICS = ("casino", "poker", "slots", "bets", "betting", "lottery", "jackpot", "pills", "meds", "viagra", "loans", "payday", "xxx", "cams", "replica", "prizes")
+LURES = ("bonus", "online", "best", "now", "cheap", "buy", "shop", "money", "fast", "club", "deals")
+SUBJECTS = ("library", "garden", "weather", "history", "museum", "physics", "recipes", "school", "harbour", "letters", "bridge", "forest",
+            "theatre", "painting", "rowing", "astronomy")
+KINDS = ("news", "blog", "docs", "maps", "archive", "wiki", "journal", "forum", "m", "www", "")
+LANGUAGES = ("en", "fr", "de", "es")
+DOMAINS = ("com", "net", "org")
 
 
 def host_column(url: Column) -> Column:
@@ -91,14 +77,18 @@ def ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4, 5)) -> Colu
     """Distinct character n-grams of ``^host$`` and ``path$``, tagged by part and size."""
     parts = []
     for tag, text in (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", F.concat(path, F.lit("$")))):
-        parts += [_windows(text, n, f"{tag}{n}:") for n in sizes]
+        # characters first: taking substrings out of a long text walks over it again for each
+        letters = F.array(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)))
+        parts += [F.flatten(F.transform(letters, _windows(n, f"{tag}{n}:"))) for n in sizes]
     return F.array_distinct(F.concat(*parts))
 
 
-def _windows(text: Column, n: int, tag: str) -> Column:
-    starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
-    grams = F.transform(starts, lambda i: F.concat(F.lit(tag), text.substr(i, F.lit(n))))
-    return F.when(F.length(text) >= n, grams).otherwise(F.array().cast("array<string>"))
+def _windows(n: int, tag: str) -> Callable[[Column], Column]:
+    """Function of an array of characters: the strings of n that follow each other in it."""
+    def grams(letters: Column) -> Column:
+        firsts = F.slice(letters, 1, F.greatest(F.size(letters) - (n - 1), F.lit(0)))
+        return F.transform(firsts, lambda first, i: F.concat(F.lit(tag), first, *[F.get(letters, i + k) for k in range(1, n)]))
+    return grams
 
 
 @dataclass
@@ -123,9 +113,35 @@ def fit_url_model(labelled: DataFrame, features: int = 1 << 14, reg: float = 0.0
     return UrlModel(hasher, lr.fit(hasher.transform(train)))
 
 
+def _url(n: int, host: str) -> str:
+    """The n-th labelled URL: scheme, domain, language, page number and ending vary with n alike for both labels."""
+    ending = ("", "/", ".html", "#top", "?page=2&ref=x", "?utm_source=feed")[n % 6]
+    return f"http{'s' * (n % 2)}://{host}.example.{DOMAINS[n % 3]}/{LANGUAGES[n % 4]}/{(n * 7919) % 9000 + 100}{ending}"
+
+
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    rows = [(u, 1) for u in BLOCKED] + [(u, 0) for u in ALLOWED]
-    return spark.createDataFrame(rows, "url string, label int").coalesce(1)
+    """(url, label, topic): about 350 invented URLs, 1 = block; ``topic`` is the word that the host is about."""
+    rows = [(_url(n, ("www." * (n % 5 == 0) + (f"{t}-{w}" if n % 2 else f"{w}-{t}"))), 1, t)
+            for n, (t, w) in enumerate((t, w) for t in TOPICS for w in LURES)]
+    # invented names of two to four syllables stand among the subjects, as sites are not all called by words
+    syllables = ("an", "tor", "ing", "le", "mar", "ou", "sen", "ri")
+    names = [*SUBJECTS[:8], *("".join(syllables[(i * k + k) % 8] for k in range(1, 3 + i % 3)) for i in range(8))]
+    rows += [(_url(n, f"{k}.{s}" if k else s), 0, s) for n, (s, k) in enumerate((s, k) for s in names for k in KINDS)]
+    return spark.createDataFrame(rows, "url string, label int, topic string").coalesce(1)
+
+
+def cross_validated(labelled: DataFrame, folds: int = 4) -> DataFrame:
+    """(url, label, block_score): every labelled URL scored by a model that saw no URL of its topic."""
+    fold = F.pmod(F.xxhash64("topic"), F.lit(folds))
+    parts = []
+    for f in range(folds):
+        model = fit_url_model(labelled.where(fold != f))
+        own = labelled.where(fold == f).withColumn("_url_grams", ngrams(host_column(F.col("url")), path_column(F.col("url"))))
+        parts.append(model.block_probability(own, "_url_grams", "block_score").select("url", "label", "block_score"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,

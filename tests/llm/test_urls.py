@@ -47,3 +47,23 @@ def test_model_on_urls_it_has_not_seen(spark):
 
 def test_empty(spark):
     assert U.judge(spark.createDataFrame([], "page_id long, url string"), U.labelled_urls(spark)).count() == 0
+
+
+def test_labelled_urls(spark):
+    rows = U.labelled_urls(spark).collect()
+    assert len(rows) > 300 and len({r.url for r in rows}) == len(rows)
+    pages = {parse(r.url)[0] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect()}
+    assert not pages & {parse(r.url)[0] for r in rows}
+    scored = U.cross_validated(U.labelled_urls(spark)).collect()
+    right = sum((r.block_score >= 0.5) == (r.label == 1) for r in scored) / len(scored)
+    caught = sum(r.block_score >= 0.5 for r in scored if r.label) / sum(r.label for r in scored)
+    print("cross-validated accuracy", right, "recall", caught)
+    assert len(scored) == len(rows) and right > 0.75
+
+
+def test_long_repeated_and_null_rows(spark):
+    long = "http://a.example.net/" + "x" * 300_000
+    pages = spark.createDataFrame([(1, long), (1, long), (None, "http://b.org/x"), (None, None)], "page_id long, url string")
+    got = U.judge(pages, U.labelled_urls(spark)).collect()
+    assert len(got) == 4 and sorted(len(r.path) for r in got) == [0, 2, 300_001, 300_001]
+    assert {r.rule for r in got if r.page_id is None} == {"org/", None}
