@@ -23,10 +23,12 @@ kind as listed in ``KINDS``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .common import table, text_or_empty
 
 # The base patterns.
@@ -75,18 +77,23 @@ def _always(_: Column) -> Column:
     return F.lit(True)
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Every row's (doc_id, _hash, _parts): the matches of all patterns, before linking."""
-    text = text_or_empty()
-    row = docs.select("doc_id", text.alias("_text"))
+def _with_parts(rows: DataFrame, when: Column | None = None) -> DataFrame:
+    """``rows`` with ``_parts``, the matches of all patterns in ``_text`` before linking (null where ``when`` is false)."""
     weak = [_parts(F.col("_text"), p, k, _always) for p, k in WEAK]
     base = (_parts(F.col("_text"), ASSIGN, "assign", lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= MIN_ASSIGN),
             _parts(F.col("_text"), ACCESS_LONG, "access", _always), _parts(F.col("_text"), HEX_LONG, "hex", _always))
-    row = row.select("doc_id", "_text", F.concat(*base).alias("_base"), F.concat(*weak).alias("_weak"))
+    only = lambda x: x if when is None else F.when(when, x)
+    rows = rows.withColumns({"_base": only(F.concat(*base)), "_weak": only(F.concat(*weak))})
     some = F.size("_weak") > 0
     extra = F.concat(_parts(F.col("_text"), ENDPOINT, "endpoint", _always, some),
                      _parts(F.col("_text"), BREAK, "break", _always, some))
-    return row.select("doc_id", F.xxhash64("_text").alias("_hash"), F.concat("_base", "_weak", extra).alias("_parts"))
+    return rows.withColumn("_parts", only(F.concat("_base", "_weak", extra))).drop("_base", "_weak")
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """Every row's (doc_id, _hash, _parts)."""
+    rows = _with_parts(docs.select("doc_id", text_or_empty().alias("_text")))
+    return rows.select("doc_id", F.xxhash64("_text").alias("_hash"), "_parts")
 
 
 def spans(scanned: DataFrame) -> DataFrame:
@@ -145,16 +152,19 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 def hide_secrets(docs: DataFrame, hidden: str = HIDDEN) -> DataFrame:
     """``docs`` with every reported span replaced by ``hidden``; ``n_chars`` follows the text.
 
-    Only rows with parts of some pattern meet the table of spans; all others pass as they are,
-    so the join moves the few texts that may change.
+    Texts are searched once: the rows are written with the parts found in them. Only rows with parts meet the table of
+    spans; all others pass as they are, so the join moves the few texts that may change.
     """
+    spark = docs.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/secrets-{uuid.uuid4().hex}"
     row = docs.select(F.struct("*").alias("_row"), text_or_empty().alias("_text"))
     patterns = (ASSIGN, ACCESS_LONG, HEX_LONG, *(p for p, _ in WEAK))
     suspect = F.lit(False)
     for p in patterns:
         suspect = suspect | F.col("_text").rlike(p)
-    marked = row.withColumn("_suspect", suspect)
-    found = spans(scan(marked.where("_suspect").select("_row.doc_id", F.col("_text").alias("text"))))
+    _with_parts(row.withColumn("_suspect", suspect), F.col("_suspect")).select("_row", "_suspect", "_parts").write.parquet(path)
+    marked = spark.read.parquet(path).withColumn("_text", F.coalesce("_row.text", F.lit("")))
+    found = spans(marked.where("_suspect").select("_row.doc_id", F.xxhash64("_text").alias("_hash"), "_parts"))
     # merge overlapping spans
     order = Window.partitionBy("doc_id", "_hash").orderBy("start", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))

@@ -66,6 +66,10 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float =
     return ranked.withColumn("target", target).drop("_weight", "_cap")
 
 
+#: Sources whose cuts are sent to every task (about 10 MB); more meet the rows in a shuffle join.
+BROADCAST_SOURCES = 100_000
+
+
 def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = 3.0, seed: int = 42,
              rows_per_bucket: int = 50_000) -> tuple[DataFrame, DataFrame]:
     """(sized, cuts): (doc_id, _source, size, _key) of every row, and per source
@@ -132,6 +136,8 @@ def mixed_documents(docs: DataFrame, seed: int = 42, **how) -> DataFrame:
     _, cuts = plan_mix(docs, seed=seed, **how)
     row = docs.select(F.struct("*").alias("_row"))
     row = row.select("_row", F.col("_row.source").alias("_doc_source"), random_key(F.col("_row.doc_id"), seed).alias("_key"))
+    if cuts.count() <= BROADCAST_SOURCES:
+        cuts = F.broadcast(cuts)  # texts then stay where they are
     joined = row.join(cuts, F.col("_doc_source").eqNullSafe(F.col("_source")))
     text = F.coalesce(F.col("_row.text"), F.lit(""))
     size = word_count(text)
