@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import HASH_RANGE
 from .indexing import with_row_id
+from .linalg import sparse_vector
 from .parsing import tokens
 
 #: Width of hashed term vectors, the class default of the original's estimator.
@@ -107,6 +108,19 @@ def term_freq(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFra
             .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def term_dictionary(tf: DataFrame) -> DataFrame:
+    """(term, term_index): the distinct terms numbered 0.. in order, whatever their number; no list on the driver."""
+    return with_row_id(tf.select("term").distinct(), ["term"], out="term_index").select("term", "term_index")
+
+
+def count_vectors(tf: DataFrame, terms: DataFrame, doc: str = "doc_id", out: str = "features") -> DataFrame:
+    """(row_id, doc, features): a sparse vector of exact counts per document over an indexed vocabulary, terms outside it left out."""
+    size = terms.count()
+    items = F.collect_list(F.struct(F.col("term_index").cast("int").alias("j"), F.col("tf").cast("double").alias("x")))
+    vectors = tf.join(terms, "term").groupBy(doc).agg(items.alias("_e")).select(doc, sparse_vector(F.col("_e"), size).alias(out))
+    return with_row_id(vectors, [doc])
+
+
 def idf_fit(tf: DataFrame, n_docs: int, min_doc_freq: int = 0) -> DataFrame:
     """(term, df, idf) with ``idf = ln((N+1)/(df+1))``; terms under ``min_doc_freq`` get 0.
 

@@ -14,12 +14,14 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .linalg import gramian
 
 
 # --------------------------------------------------------------------------- L1
@@ -29,32 +31,31 @@ def linear_fit(df: DataFrame, features: str = "features", label: str = "label"):
                             regParam=0.0, solver="normal").fit(df)
 
 
-def gram_summary(df: DataFrame, cols: Sequence[str], label: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """X^T X, X^T y and n in one distributed pass (d(d+1)/2 + d + 1 sums)."""
-    d = len(cols)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i in range(d):
-        aggs.append(F.sum(F.col(cols[i]) * F.col(label)).alias(f"xy{i}"))
-        for j in range(i, d):
-            aggs.append(F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"xx{i}_{j}"))
-    r = df.agg(*aggs).first()
-    xx = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            xx[i, j] = xx[j, i] = r[f"xx{i}_{j}"] or 0.0
-    xy = np.array([r[f"xy{i}"] or 0.0 for i in range(d)])
-    return xx, xy, int(r["n"])
-
-
-def linear_sgd(df: DataFrame, cols: Sequence[str], label: str = "label", iters: int = 10,
+def gram_summary(df: DataFrame, features: str | Sequence[str], label: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """X^T X, X^T y and n of a vector column (or of some number columns): one Gramian of (features, label), summed by the
+    executors' BLAS, so that hundreds of columns are one aggregate. Rows with a null take no part."""
+    if isinstance(features, str):
+        joined = VectorAssembler(inputCols=[features, label], outputCol="_z", handleInvalid="skip").transform(df.select(features, F.col(label).cast("double").alias(label)))
+    else:
+        numbers = [F.col(c).cast("double") for c in [*features, label]]
+        joined = df.select(F.array(*numbers).alias("_a")).where(F.forall("_a", lambda x: x.isNotNull())).select(array_to_vector("_a").alias("_z"))
+    products, _, n = gramian(joined, "_z")
+    if not n:
+        d = 0 if isinstance(features, str) else len(features)
+        return np.zeros((d, d)), np.zeros(d), 0
+    return products[:-1, :-1], products[:-1, -1], n
+
+
+def linear_sgd(df: DataFrame, features: str | Sequence[str], label: str = "label", iters: int = 10,
                step: float = 1.0, tol: float = 0.001) -> np.ndarray:
-    """Full-batch gradient descent, step/sqrt(t), from zero weights, no intercept.
+    """Full-batch gradient descent, step/sqrt(t), from zero weights, no intercept; ``features`` names a
+    vector column or number columns.
 
     With the full batch every gradient is ``(X^T X w - X^T y) / n``, so one pass
     over the data gives the d x d summary and the iterations run on it.
     """
-    xx, xy, n = gram_summary(df, cols, label)
-    w = np.zeros(len(cols))
+    xx, xy, n = gram_summary(df, features, label)
+    w = np.zeros(len(xy))
     for t in range(1, iters + 1):
         grad = (xx @ w - xy) / max(n, 1)
         new = w - (step / math.sqrt(t)) * grad
@@ -77,6 +78,32 @@ def svm_margins(model, df: DataFrame, out: str = "margin") -> DataFrame:
     return model.transform(df).withColumn(out, vector_to_array("rawPrediction")[1])
 
 
+def _dot(x: Column, w: Sequence[float]) -> Column:
+    return F.aggregate(F.zip_with(x, F.from_json(F.lit(str([float(v) for v in w])), "array<double>"), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+
+
+def hinge_bounds(df: DataFrame, weights: Sequence[float], reg: float = 0.01, features: str = "features", label: str = "label",
+                 widths: Sequence[float] = (0.003, 0.01, 0.03, 0.1, 0.3)) -> tuple[float, float]:
+    """(value, bound): the regularised hinge loss of the weights over all rows, and a proven lower bound of its minimum.
+
+    Loss: ``mean(max(0, 1 - y w.x)) + reg / 2 |w|^2`` with y = -1 or 1. Any shares a_i in [0, 1] bound the minimum from below by
+    ``mean(a) - |mean(a y x)|^2 / (2 reg)`` (the dual); the shares tried fall from 1 to 0 as the margin passes 1, over
+    several widths, and the best bound counts. The gap closes only near the optimum. One aggregate of widths x d sums."""
+    y = 2 * (F.col(label) > 0.5).cast("double") - 1
+    x = vector_to_array(features)
+    rows = df.select(x.alias("x"), y.alias("y")).withColumn("m", F.col("y") * _dot(F.col("x"), weights))
+    shares = [F.least(F.greatest((1 + h - F.col("m")) / (2 * h), F.lit(0.0)), F.lit(1.0)) for h in widths]
+    rows = rows.withColumn("a", F.array(*shares))
+    loss, n, *means = rows.agg(F.avg(F.greatest(1 - F.col("m"), F.lit(0.0))), F.count(F.lit(1)), *[F.avg(F.get("a", F.lit(i))) for i in range(len(widths))]).first()
+    if not n:
+        return 0.0, 0.0
+    parts = rows.select("a", "y", F.posexplode("x").alias("j", "v")).groupBy("j").agg(*[
+        F.sum(F.get("a", F.lit(i)) * F.col("y") * F.col("v")).alias(f"s{i}") for i in range(len(widths))]).collect()
+    value = loss + reg / 2 * float(np.dot(weights, weights))
+    bounds = [means[i] - sum((r[f"s{i}"] / n) ** 2 for r in parts) / (2 * reg) for i in range(len(widths))]
+    return value, max(bounds)
+
+
 # --------------------------------------------------------------------------- L3
 def logistic(df: DataFrame, features: str = "features", label: str = "label",
              num_classes: int | None = None, max_iter: int = 100):
@@ -97,11 +124,12 @@ def naive_bayes(df: DataFrame, features: str = "features", label: str = "label",
 
 
 def nb_fit_terms(tf: DataFrame, labels: DataFrame, doc: str = "doc_id", label: str = "label",
-                 smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
+                 smoothing: float = 1.0, vocabulary: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Closed-form multinomial naive Bayes on exact (doc, term, tf) counts.
 
     Returns ``priors (label, log_prior, log_denominator)`` and
-    ``theta (label, term, log_theta)`` with the vocabulary = training terms:
+    ``theta (label, term, log_theta)`` with the vocabulary = training terms, or
+    of a stated size (slots of a hashed width):
     log_prior = ln(n_c + a) - ln(N + C a),
     log_theta = ln(tf_sum(c, t) + a) - ln(tf_sum(c) + V a).
     All are grouped aggregates; three counts reach the driver. The (class, term) counts feed
@@ -112,7 +140,7 @@ def nb_fit_terms(tf: DataFrame, labels: DataFrame, doc: str = "doc_id", label: s
     docs = labels.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
     n_docs, n_cls = labels.agg(F.count(F.lit(1)), F.countDistinct(label)).first()
     ct = cut_lineage(lt.groupBy(label, "term").agg(F.sum("tf").alias("tf_ct")))
-    v = ct.agg(F.countDistinct("term")).first()[0]
+    v = vocabulary or ct.agg(F.countDistinct("term")).first()[0]
     cls = ct.groupBy(label).agg(F.sum("tf_ct").alias("tf_c"))
     priors = (docs.join(cls, label, "left").fillna({"tf_c": 0})
               .select(label,
@@ -125,7 +153,7 @@ def nb_fit_terms(tf: DataFrame, labels: DataFrame, doc: str = "doc_id", label: s
 
 def nb_predict_terms(tf: DataFrame, priors: DataFrame, theta: DataFrame, doc: str = "doc_id",
                      label: str = "label", smoothing: float = 1.0,
-                     docs: DataFrame | None = None) -> DataFrame:
+                     docs: DataFrame | None = None, unseen: bool = False) -> DataFrame:
     """argmax_c log_prior_c + sum_t tf(d,t) log_theta(c,t); ties go to the smaller class.
 
     The class parameters (one row per class: prior and denominator) are model
@@ -140,7 +168,7 @@ def nb_predict_terms(tf: DataFrame, priors: DataFrame, theta: DataFrame, doc: st
     classes = [r[label] for r in pri]
     wide = (theta.groupBy("term").pivot(label, classes).agg(F.first("log_theta"))
             .toDF("term", *[f"_t{i}" for i in range(len(classes))]))
-    dt = tf.join(wide, "term")  # inner join: only in-vocabulary terms
+    dt = tf.join(wide, "term", "left" if unseen else "inner")  # inner join: only in-vocabulary terms
     sums = dt.groupBy(doc).agg(*[
         F.sum(F.col("tf") * F.coalesce(F.col(f"_t{i}"), F.lit(la - r["log_den"]))).alias(f"_s{i}")
         for i, r in enumerate(pri)])

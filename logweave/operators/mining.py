@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth, PrefixSpan
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .indexing import with_row_id
 
 
@@ -78,6 +79,37 @@ def frequent_sequences(df: DataFrame, min_support: float, max_len: int = 10,
     return ps.findFrequentSequentialPatterns(df)
 
 
+def session_sequences(df: DataFrame, user: str, ts: str, item: str, gap: str, order: str | None = None) -> DataFrame:
+    """(user, session, sequence): a user's items in time order, one item a step, cut where a pause is longer than ``gap``.
+
+    Rows are numbered in (user, time) order over range partitions, so no user's history meets in one task: a row opens a
+    session if the row numbered before it is another user's or too far back, and a session is the run up to the next opening.
+    Which rows open one is found by a join of neighbours; a running count of openings per range of
+    ``_RANGE`` rows gives every row its session. Only one session's items meet in a row."""
+    keys = [user, ts, *([order] if order else [])]
+    rows = cut_lineage(with_row_id(df.select(*dict.fromkeys([user, ts, item, *keys])).where(F.col(user).isNotNull() & F.col(ts).isNotNull()), keys, out="_n"))
+    before = rows.select((F.col("_n") + 1).alias("_n"), F.col(user).alias("_u"), F.col(ts).alias("_t"))
+    pause = F.expr(f"interval {gap}")
+    met = rows.join(before, "_n", "left").withColumn("_opens", F.col("_u").isNull() | (F.col("_u") != F.col(user)) | (F.col(ts) > F.col("_t") + pause))
+    part = F.floor(F.col("_n") / _RANGE)
+    met = cut_lineage(met.select(F.col(user), F.col(item).alias("_i"), "_n", "_opens", part.alias("_p")))
+    # openings before a range: prefix sums of one number per range, as in with_row_id
+    counts = sorted(tuple(r) for r in met.groupBy("_p").agg(F.count_if("_opens")).collect())
+    offsets, total = [], 0
+    for number, opened in counts:
+        offsets.append((number, total))
+        total += opened
+    ranges = df.sparkSession.createDataFrame(offsets, "_p long, _before long")
+    w = Window.partitionBy("_p").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    inside = met.join(F.broadcast(ranges), "_p").withColumn("session", F.col("_before") + F.count_if("_opens").over(w))
+    steps = F.array_sort(F.collect_list(F.struct("_n", "_i")))
+    return inside.groupBy("session").agg(F.first(user).alias(user), F.transform(steps, lambda s: F.array(s["_i"])).alias("sequence"))
+
+
+#: Rows of the sessions' running count that one task walks over.
+_RANGE = 100_000
+
+
 # --------------------------------------------------------------------------- B6
 def mine_cluster(df: DataFrame, cluster: int, min_support: float, items: str = "items",
                  cluster_col: str = "cluster", num_partitions: int | None = None) -> DataFrame:

@@ -1,17 +1,24 @@
-"""Time-series operators on long-form series ``(key, ts, value)``.
+"""Time-series operators (T1-T6) on long-form series ``(key, ts, value)`` and on aligned sets.
 
-A series set is kept long, one row per (key, instant). An index is a number of steps, not
-a list of instants: instants are computed from their position on the executors.
+An index is a number of steps, not a list of instants: instants are computed from their
+position on the executors.
 
-Filling, rates and the Durbin-Watson statistic look at neighbouring rows of a series. A
-series is cut into stretches of ``STRETCH`` seconds that are worked on by separate tasks;
-what crosses a border (the last and next known value) comes from a table with one row
-per key and stretch. So one long series is as well spread as many short ones.
+``align_series`` keeps a set of series on an index as one row per key and stretch of
+``_CHUNK`` positions, holding that stretch's known points. Filling, rates and the Durbin-Watson
+statistic all start from this one partitioning by (key, stretch): the statistic sums up each
+stretch by itself (first and last point, first and last rate, sums of squares) and joins the
+summaries of a key in order, so rows are never expanded; the row-wise results take the points
+beyond a stretch's ends from a table with one row per key and stretch. One long series is as
+well spread as many short ones.
+
+The functions on long-form tables (``fill``, ``return_rates``, ``durbin_watson``) take any series, on an
+index or not, one step at a time: series are cut into stretches of ``STRETCH`` seconds in the same way.
 """
 
 from __future__ import annotations
 
 import calendar
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -157,6 +164,172 @@ def align(obs: DataFrame, start: datetime | str | None, end: datetime | str | No
     return grid.join(o, ["key", "ts"], "left")
 
 
+# --------------------------------------------------------------------------- aligned sets
+def position_of(start: datetime | str, step: str, ts: Column) -> Column:
+    """The index position of an instant (a timestamp_ntz), null between two positions: the reverse of ``instant_at``."""
+    kind, n = parse_step(step)
+    lo = _instant(start)
+    if kind == "business":
+        lo = _first_weekday(lo)
+    first = F.lit(str(lo)).cast("timestamp_ntz")
+    if kind == "months":
+        steps = (F.year(ts) - lo.year) * 12 + F.month(ts) - lo.month
+    elif kind == "seconds":
+        steps = F.floor(epoch_seconds(ts) - epoch_seconds(first))
+    else:
+        days = F.date_diff(ts.cast("date"), first.cast("date")) + lo.weekday()
+        steps = 5 * F.floor(days / 7) + F.pmod(days, F.lit(7)) - lo.weekday()
+    at = F.floor(steps / n).cast("bigint")
+    return F.when(instant_at(start, step, at) == ts, at)
+
+
+def align_series(obs: DataFrame, start: datetime | str | None, end: datetime | str | None, step: str = "1 hour", *,
+                 ts: str = "ts", key: str = "key", value: str = "value", duplicates: str = "max", size: int = _CHUNK) -> SeriesSet:
+    """``obs`` on a uniform index as a ``SeriesSet``. Missing instants, observations off the index, duplicates and null
+    keys are handled as in ``align``; two shuffles, both of reduced points."""
+    red = {"max": F.max, "min": F.min, "sum": F.sum, "avg": F.avg}[duplicates]
+    n = index_length(start, end, step)
+    at = F.lit(None).cast("bigint") if n == 0 else position_of(start, step, F.col(ts).cast("timestamp_ntz"))
+    inside = F.when((at >= 0) & (at < n) & F.col(value).isNotNull(), at)
+    # a key without a value on the index keeps one row, without points
+    reduced = obs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), inside.alias("i"), F.col(value).alias("v")).groupBy("key", "i").agg(
+        red("v").cast("double").alias("v"))
+    point = F.when(F.col("i").isNotNull(), F.struct("i", "v"))
+    stretch = F.coalesce(F.floor(F.col("i") / size), F.lit(0)).cast("bigint")
+    points = reduced.groupBy("key", stretch.alias("stretch")).agg(F.array_sort(F.collect_list(point)).alias("points"))
+    return SeriesSet(points, start, step, n, size)
+
+
+@dataclass(frozen=True)
+class SeriesSet:
+    """Series on one index of ``n`` positions: ``table`` has one row (key, stretch, points) per key and ``size`` positions
+    with observations; points are structs (i, v) in order, and none only in a key's first row."""
+    table: DataFrame
+    start: datetime | str | None
+    step: str
+    n: int
+    size: int
+
+    def _time(self, i: Column) -> Column:
+        """What linear filling is linear in: positions of even steps, else seconds."""
+        kind, _ = parse_step(self.step)
+        return i.cast("double") if kind == "seconds" else epoch_seconds(instant_at(self.start, self.step, i)).cast("double")
+
+    def _line(self, a: Column, b: Column, i: Column) -> Column:
+        """The value at position ``i`` of the line through two points."""
+        share = (self._time(i) - self._time(a["i"])) / (self._time(b["i"]) - self._time(a["i"]))
+        return a["v"] + (b["v"] - a["v"]) * share
+
+    def _dense(self, points: Column, lo: Column, hi: Column) -> Column:
+        """Values at the positions ``lo`` to ``hi`` of the lines through the points; null before the first and after the last."""
+        inner = F.greatest(F.size(points) - 1, F.lit(0))
+        pairs = F.zip_with(F.slice(points, 1, inner), F.slice(points, 2, inner), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+        def piece(p: Column) -> Column:
+            at = F.sequence(F.greatest(p["a"]["i"], lo), F.least(p["b"]["i"] - 1, hi))
+            return F.when((p["a"]["i"] <= hi) & (p["b"]["i"] > lo), F.transform(at, lambda i: self._line(p["a"], p["b"], i))).otherwise(
+                F.array().cast("array<double>"))
+
+        first, last = F.get(points, F.lit(0)), F.get(points, F.size(points) - 1)
+        nulls = lambda count: F.array_repeat(F.lit(None).cast("double"), F.least(F.greatest(count, F.lit(0)), hi - lo + 1).cast("int"))
+        end = F.when((last["i"] >= lo) & (last["i"] <= hi), F.array(last["v"])).otherwise(F.array().cast("array<double>"))
+        return F.when(F.size(points) == 0, nulls(hi - lo + 1)).otherwise(
+            F.concat(nulls(first["i"] - lo), F.flatten(F.transform(pairs, piece)), end, nulls(hi - last["i"])))
+
+    # ------------------------------------------------------------------ rows
+    def _stretches(self) -> DataFrame:
+        """(key, lo, hi, points) of every stretch of the index for every key; among the points are the last two
+        before it and the next one behind it. One table of ends, one row per key and stretch, is ordered by key."""
+        kind = self.table.schema["points"].dataType
+        none = F.array().cast(kind)
+        ends = self.table.select("key", "stretch", F.get("points", F.lit(0)).alias("first"), F.slice(F.reverse("points"), 1, 2).alias("ends"))
+        w = Window.partitionBy("key").orderBy("stretch")
+        two = lambda *parts: F.slice(F.concat(*[F.coalesce(p, none) for p in parts]), 1, 2)
+        ends = ends.select("key", "stretch", "first", "ends", two(F.lag("ends").over(w), F.lag("ends", 2).over(w)).alias("before"),
+                           F.lead("first").over(w).alias("after"), F.lag("stretch").over(w).alias("previous"), F.lead("stretch").over(w).alias("next"))
+        last = (max(self.n, 1) - 1) // self.size
+
+        def run(lo: Column, hi: Column, place: int) -> Column:
+            numbers = F.transform(F.sequence(lo, hi), lambda s: F.struct(s.alias("stretch"), F.lit(place).alias("place")))
+            return F.when(lo <= hi, numbers).otherwise(F.array().cast("array<struct<stretch: bigint, place: int>>"))
+
+        own, zero = F.col("stretch"), F.lit(0).cast("bigint")
+        # each row answers for its own stretch, for empty ones up to the next row, and the first for those before it
+        ahead = run(zero, F.when(F.col("previous").isNull(), own - 1).otherwise(F.lit(-1).cast("bigint")), 0)
+        behind = run(own + 1, F.coalesce(F.col("next") - 1, F.lit(last).cast("bigint")), 2)
+        every = ends.select("*", F.explode(F.concat(ahead, run(own, own, 1), behind)).alias("s"))
+        place = F.col("s.place")
+        every = every.select("key", F.col("s.stretch").alias("stretch"),
+                             F.when(place == 0, none).when(place == 1, F.reverse("before")).otherwise(F.reverse(two(F.col("ends"), F.col("before")))).alias("_left"),
+                             F.when(place == 0, F.col("first")).otherwise(F.col("after")).alias("_right"))
+        met = every.join(self.table, ["key", "stretch"], "left")
+        right = F.when(F.col("_right").isNotNull(), F.array("_right")).otherwise(none)
+        lo = F.col("stretch") * self.size
+        return met.select("key", lo.alias("lo"), F.least(lo + (self.size - 1), F.lit(self.n - 1).cast("bigint")).alias("hi"),
+                          F.concat("_left", F.coalesce("points", none), right).alias("points"))
+
+    def _at(self, i: Column) -> Column:
+        return instant_at(self.start, self.step, i).alias("ts") if self.n else F.lit(None).cast("timestamp_ntz").alias("ts")
+
+    def fill(self, out: str = "value") -> DataFrame:
+        """(key, ts, value) of every position: gaps inside a series filled linearly, leading and trailing ones null."""
+        dense = self._stretches().where("lo <= hi").select("key", "lo", F.posexplode(self._dense(F.col("points"), F.col("lo"), F.col("hi"))).alias("_k", out))
+        return dense.select("key", self._at(F.col("lo") + F.col("_k")), out)
+
+    def return_rates(self, out: str = "rate") -> DataFrame:
+        """(key, ts, rate) of the filled series: ``v_t / v_(t-1) - 1``; the first instant is dropped."""
+        values = self._stretches().where("lo <= hi").select("key", "lo", self._dense(F.col("points"), F.col("lo") - 1, F.col("hi")).alias("_v"))
+        n = F.size("_v") - 1
+        rates = F.zip_with(F.slice("_v", 2, n), F.slice("_v", 1, n), lambda v, p: F.try_divide(v, p) - 1)
+        rows = values.select("key", "lo", F.posexplode(rates).alias("_k", out)).where(F.col("lo") + F.col("_k") > 0)
+        return rows.select("key", self._at(F.col("lo") + F.col("_k")), out)
+
+    # ------------------------------------------------------------------ statistic
+    def durbin_watson(self, out: str = "dw") -> DataFrame:
+        """(key, dw) of the filled series' rates: ``sum((e_t - e_(t-1))^2) / sum(e_t^2)``; nulls skipped, 0/0 -> null.
+
+        Every stretch sums up what lies between its own first and last point. In the order of a key's stretches, the line
+        from the last point before a stretch to its first adds the rates on it, in pieces of ``size`` positions, and the two
+        steps where it meets the rates before and behind it. Third shuffle: one summary per key and stretch."""
+        first, last = F.get("points", F.lit(0)), F.get("points", F.size("points") - 1)
+        values = self.table.select("key", "stretch", first.alias("first"), last.alias("last"),
+                                   F.when(F.size("points") > 0, self._dense(F.col("points"), first["i"], last["i"])).alias("_v"))
+        here = values.select("key", "stretch", "first", "last", (F.size("_v") > 1).alias("_many"), (F.try_divide(F.get("_v", F.lit(1)), F.get("_v", F.lit(0))) - 1).alias("_head"),
+                             _sums(F.slice("_v", 2, F.greatest(F.size("_v") - 1, F.lit(0))), F.get("_v", F.lit(0)), F.lit(None).cast("double")).alias("_s"))
+        w = Window.partitionBy("key").orderBy("stretch")
+        a, b = F.col("_a"), F.col("first")
+        rate = lambda i: F.try_divide(self._line(a, b, i), self._line(a, b, i - 1)) - 1
+        led = here.withColumn("_a", F.lag("last").over(w))
+        led = led.withColumn("_into", F.when(a.isNotNull(), rate(b["i"])))
+        # with a single point, the last rate of a stretch is that of the line into it
+        led = led.withColumn("_before", F.lag(F.when(F.col("_many"), F.col("_s.rate")).otherwise(F.col("_into"))).over(w))
+
+        def piece(s: Column) -> Column:
+            steps = F.transform(F.sequence(s, F.least(s + (self.size - 1), b["i"])), lambda i: self._line(a, b, i))
+            return _sums(steps, self._line(a, b, s - 1), F.when(s == a["i"] + 1, F.col("_before")).otherwise(rate(s - 1)))
+
+        pieces = F.when(a.isNotNull(), F.transform(F.sequence(a["i"] + 1, b["i"], F.lit(self.size).cast("bigint")), piece))
+        led = led.withColumn("_pieces", F.coalesce(pieces, F.array().cast("array<struct<value: double, rate: double, num: double, den: double>>")))
+        total = lambda name: F.aggregate(F.col("_pieces"), F.lit(0.0), lambda acc, p: acc + p[name])
+        junction = F.when(F.col("_many") & a.isNotNull(), F.col("_head") - F.col("_into"))
+        summed = led.groupBy("key").agg(
+            F.sum(F.coalesce("_s.num", F.lit(0.0)) + total("num") + F.coalesce(junction * junction, F.lit(0.0))).alias("_num"),
+            F.sum(F.coalesce("_s.den", F.lit(0.0)) + total("den")).alias("_den"))
+        return summed.select("key", F.when(F.col("_den") != 0, F.col("_num") / F.col("_den")).alias(out))
+
+
+def _sums(values: Column, before: Column, rate_before: Column) -> Column:
+    """struct (value, rate, num, den) after walking over ``values``: the last value and rate, the squared differences of
+    successive rates and the squared rates; null rates are skipped."""
+    def step(acc: Column, v: Column) -> Column:
+        rate = F.try_divide(v, acc["value"]) - 1
+        change = rate - acc["rate"]
+        return F.struct(v.alias("value"), rate.alias("rate"), (acc["num"] + F.coalesce(change * change, F.lit(0.0))).alias("num"),
+                        (acc["den"] + F.coalesce(rate * rate, F.lit(0.0))).alias("den"))
+
+    return F.aggregate(values, F.struct(before.alias("value"), rate_before.alias("rate"), F.lit(0.0).alias("num"), F.lit(0.0).alias("den")), step)
+
+
 # --------------------------------------------------------------------------- stretches
 def _stretches(df: DataFrame, ts: str, stretch: int) -> DataFrame:
     return df.withColumn("_t", epoch_seconds(F.col(ts)).cast("double")).withColumn("_b", F.floor(F.col("_t") / stretch))

@@ -71,27 +71,39 @@ def cluster_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, runs: int = 3
 # --------------------------------------------------------------------------- C8 / B6
 def cluster_and_mine(lines: DataFrame, k: int = 3, max_iter: int = 10, runs: int = 3, seed: int = 1,
                      cluster: int = 2, min_support: float = 0.1, line: str = "line",
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, start: str = "k-means||") -> DataFrame:
     """Compute-log lines -> 10 fields -> ordinal vectors -> k-means -> item sets of
-    the fields of the lines in one cluster."""
+    the fields of the lines in one cluster.
+
+    Clusters are numbered by the order of their centres. ``start="ranges"`` begins from ``range_start`` instead of
+    random seeds, so that every run on the same lines gives the same clusters."""
+    enc = encoded_lines(lines, line)
+    if start == "ranges":
+        centers = C.lloyd(enc, C.range_start(enc, k), max_iter)
+    else:
+        centers = C.model_centers(C.kmeans(enc, k, max_iter, runs, seed))
+    assigned = C.assign_nearest(enc, C.in_order(centers), dist_out=None)
+    return M.mine_cluster(assigned.withColumn("items", F.array_distinct("cats")), cluster, min_support,
+                          "items", "cluster", num_partitions)
+
+
+def encoded_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Parsed compute-log lines as (cats, features): ten fields and their dictionary indices, written once."""
     p = P.parse_log(lines, line, "compute", keep=[], matched_col=None)
     p = P.drop_unparsed(p, "user_id")
     fields = list(P.get_format("compute").groups[:10])
     p = p.withColumn("cats", F.array(*fields))
     d = V.category_dictionary(p, "cats")
-    enc = cut_lineage(V.encode_ordinal(p, d, "cats", "features", n_positions=len(fields), vector=True))
-    model = C.kmeans(enc, k, max_iter, runs, seed)
-    assigned = C.assign(model, enc).withColumnRenamed("prediction", "cluster")
-    return M.mine_cluster(assigned.withColumn("items", F.array_distinct("cats")), cluster, min_support,
-                          "items", "cluster", num_partitions)
+    return cut_lineage(V.encode_ordinal(p, d, "cats", "features", n_positions=len(fields), vector=True).select("cats", "features"))
 
 
 # --------------------------------------------------------------------------- C9
 def cluster_text_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, seed: int = 1,
                       num_features: int = V.HASH_WIDTH, weighting: str = "tf", line: str = "line",
-                      keep: Sequence[str] = (), out_path: str | None = None) -> DataFrame:
+                      keep: Sequence[str] = (), out_path: str | None = None, with_model: bool = False):
     """Dashboard error lines -> fields 0..6 as words -> hashed TF (or TF-IDF) -> k-means.
-    A line that does not match gives empty fields: a zero vector, still clustered."""
+    A line that does not match gives empty fields: a zero vector, still clustered.
+    ``with_model`` returns (lines, k-means model)."""
     p = P.parse_log(lines, line, "dashboard_error", keep=list(keep), matched_col=None)
     fields = ["match"] + list(P.get_format("dashboard_error").groups[:6])
     p = p.withColumn("words", F.filter(F.array(*fields), lambda x: x != ""))
@@ -105,7 +117,7 @@ def cluster_text_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, seed: in
     out = C.assign(model, tf).withColumnRenamed("prediction", "cluster")
     if out_path:
         write_partitioned(out.select(*keep, *fields, "cluster"), out_path, "cluster")
-    return out
+    return (out, model) if with_model else out
 
 
 # --------------------------------------------------------------------------- L11
@@ -113,23 +125,33 @@ def classify_metrics(docs: DataFrame, feature_cols: Sequence[str], target: str,
                      estimator: str = "gbt", seed: int = 1, key: str | None = None, **kw):
     """Metric documents -> numeric features + threshold label -> 70/30 split ->
     classifier -> (test predictions, accuracy, AUC of the hard predictions)."""
-    keep = [key] if key else []
-    m = P.parse_metrics(docs, feature_cols, target, threshold, vector=True, keep=keep)
-    if key:
-        train, test = split(m, [0.7, 0.3], key, seed)
-    else:
-        train, test = m.randomSplit([0.7, 0.3], seed)
+    train, test = metric_parts(docs, feature_cols, target, threshold, seed, key)
     model = L.metric_classifier(train, estimator, **kw)
     pred = model.transform(test)
     return model, pred, E.accuracy(pred), E.au_roc(pred, "prediction", "label")
 
 
+def metric_parts(docs: DataFrame, feature_cols: Sequence[str], target: str, threshold: float = 133.0, seed: int = 1,
+                 key: str | None = None) -> list[DataFrame]:
+    """The metric job's labelled training and test rows."""
+    m = P.parse_metrics(docs, feature_cols, target, threshold, vector=True, keep=[key] if key else [])
+    return split(m, [0.7, 0.3], key, seed) if key else m.randomSplit([0.7, 0.3], seed)
+
+
 # --------------------------------------------------------------------------- L12
 def classify_clicks(lines: DataFrame, iters: int = 10, depth: int = 10, seed: int = 1,
                     mode: str = "concat", line: str = "line"):
     """Click-log CSV -> id/label/categories/numbers -> dictionary on training ->
     ordinal codes (+ clamped numbers) -> boosted trees -> test error. Lines with a bad
     label or number are dropped before any vector is built."""
+    tr, te = click_parts(lines, seed, mode, line)  # the tree learner caches its own input
+    model = L.gbt(tr, iters=iters, depth=depth, seed=seed)
+    pred = model.transform(te)
+    return model, pred, E.error_rate(pred)
+
+
+def click_parts(lines: DataFrame, seed: int = 1, mode: str = "concat", line: str = "line") -> tuple[DataFrame, DataFrame]:
+    """The click job's training and test rows with their features, codes from the training rows' dictionary."""
     f = P.split_fields(lines, line)
     f = P.clamp_non_negative(f, ["nums"]).where(F.col("label").isNotNull() & P.all_numbers("nums"))
     train, test = split(f, [0.8, 0.2], "id", seed)
@@ -141,10 +163,7 @@ def classify_clicks(lines: DataFrame, iters: int = 10, depth: int = 10, seed: in
         e = V.combine_features(e, "cats_idx", "nums", "f", mode)
         return e.withColumn("features", array_to_vector("f")).drop("f")
 
-    tr, te = featurise(train), featurise(test)  # the tree learner caches its own input
-    model = L.gbt(tr, iters=iters, depth=depth, seed=seed)
-    pred = model.transform(te)
-    return model, pred, E.error_rate(pred)
+    return featurise(train), featurise(test)
 
 
 # --------------------------------------------------------------------------- L13

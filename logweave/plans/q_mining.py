@@ -159,3 +159,30 @@ def q_frequent_sequences(spark: SparkSession, sf: str) -> DataFrame:
     fs = M.frequent_sequences(event_sequences(spark, sf), SEQ_SUPPORT, SEQ_MAX_LEN)
     return fs.select(F.array_join(F.transform("sequence", lambda s: F.array_join(F.array_sort(s), ",")), "|")
                      .alias("sequence"), "freq")
+
+
+SESSION_GAP_MINUTES = 600
+SESSION_SUPPORT = 0.02
+
+
+@query("session_sequences", ops=("B4",), sql=f"""
+WITH o AS (SELECT user_id, ts, event_id, event_type AS i, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL {SESSION_GAP_MINUTES} MINUTE
+                       THEN 0 ELSE 1 END AS opens FROM events),
+s AS (SELECT user_id, i, sum(opens) OVER w AS d, row_number() OVER w AS p FROM o WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+n AS (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, d FROM s)),
+p1 AS (SELECT i AS pat, count(DISTINCT (user_id, d)) AS freq FROM s GROUP BY 1),
+p2 AS (SELECT a.i || '|' || b.i AS pat, count(DISTINCT (a.user_id, a.d)) AS freq
+       FROM s a JOIN s b ON a.user_id = b.user_id AND a.d = b.d AND a.p < b.p GROUP BY 1),
+p3 AS (SELECT a.i || '|' || b.i || '|' || c.i AS pat, count(DISTINCT (a.user_id, a.d)) AS freq
+       FROM s a JOIN s b ON a.user_id = b.user_id AND a.d = b.d AND a.p < b.p
+                JOIN s c ON c.user_id = a.user_id AND c.d = a.d AND b.p < c.p GROUP BY 1)
+SELECT pat AS sequence, freq FROM (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3)
+WHERE freq >= (SELECT ceil({SESSION_SUPPORT} * n) FROM n)
+""")
+def q_session_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """Frequent sequences of event types in a user's sessions, which a pause ends."""
+    ev = read_table(spark, sf, "events")
+    sequences = M.session_sequences(ev, "user_id", "ts", "event_type", f"{SESSION_GAP_MINUTES} minutes", order="event_id")
+    fs = M.frequent_sequences(sequences, SESSION_SUPPORT, 3)
+    return fs.select(F.array_join(F.transform("sequence", lambda s: F.array_join(F.array_sort(s), ",")), "|")
+                     .alias("sequence"), "freq")

@@ -24,12 +24,12 @@ def _hourly_events(spark: SparkSession, sf: str) -> tuple[DataFrame, object, obj
     return obs, lo, hi
 
 
-def _daily_orders(spark: SparkSession, sf: str) -> DataFrame:
+def _daily_orders(spark: SparkSession, sf: str) -> T.SeriesSet:
     o = read_table(spark, sf, "orders")
     obs = o.select(F.col("o_orderdate").alias("ts"), F.col("o_orderstatus").alias("key"),
                    F.col("o_totalprice").alias("value"))
     lo, hi = T.index_bounds(obs, "ts", "day")
-    return T.align(obs, lo, hi, "1 day")
+    return T.align_series(obs, lo, hi, "1 day")
 
 
 def _sql_aligned(table: str, key: str, ts: str, value: str, unit: str) -> str:
@@ -90,7 +90,7 @@ def q_ts_align(spark: SparkSession, sf: str) -> DataFrame:
 SELECT key, strftime(ts, {SQL_TS_FMT}) AS ts, round(value, 6) AS value FROM filled
 """)
 def q_ts_fill_linear(spark: SparkSession, sf: str) -> DataFrame:
-    f = T.fill(_daily_orders(spark, sf))
+    f = _daily_orders(spark, sf).fill()
     return f.select("key", W.wall_datetime("ts").alias("ts"), F.round("value", 6).alias("value"))
 
 
@@ -98,7 +98,7 @@ def q_ts_fill_linear(spark: SparkSession, sf: str) -> DataFrame:
 SELECT key, strftime(ts, {SQL_TS_FMT}) AS ts, round(rate, 6) AS rate FROM rates WHERE rn > 1
 """)
 def q_ts_returns(spark: SparkSession, sf: str) -> DataFrame:
-    r = T.return_rates(T.fill(_daily_orders(spark, sf)))
+    r = _daily_orders(spark, sf).return_rates()
     return r.select("key", W.wall_datetime("ts").alias("ts"), F.round("rate", 6).alias("rate"))
 
 
@@ -106,7 +106,7 @@ def q_ts_returns(spark: SparkSession, sf: str) -> DataFrame:
 SELECT key, round(dw, 6) AS dw FROM dw
 """)
 def q_ts_durbin_watson(spark: SparkSession, sf: str) -> DataFrame:
-    d = T.durbin_watson(T.return_rates(T.fill(_daily_orders(spark, sf))))
+    d = _daily_orders(spark, sf).durbin_watson()
     return d.select("key", F.round("dw", 6).alias("dw"))
 
 
@@ -116,7 +116,7 @@ SELECT arg_min(key, (dw, key)) AS min_key, round(min(dw), 6) AS min_dw,
 FROM dw WHERE dw IS NOT NULL
 """)
 def q_ts_extremes(spark: SparkSession, sf: str) -> DataFrame:
-    d = T.durbin_watson(T.return_rates(T.fill(_daily_orders(spark, sf))))
+    d = _daily_orders(spark, sf).durbin_watson()
     x = extremes(d, "dw", "key")
     return x.select("min_key", F.round("min_dw", 6).alias("min_dw"),
                     "max_key", F.round("max_dw", 6).alias("max_dw"))
@@ -147,7 +147,7 @@ def q_ts_monthly(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     obs = o.select(F.col("o_orderdate").alias("ts"), F.col("o_orderpriority").alias("key"), F.col("o_totalprice").alias("value"))
     lo, hi = T.index_bounds(obs, "ts", "month")
-    f = T.fill(T.align(T.snap(obs, "month"), lo, hi, "1 month"))
+    f = T.align_series(T.snap(obs, "month"), lo, hi, "1 month").fill()
     return f.select("key", W.wall_datetime("ts").alias("ts"), F.round("value", 6).alias("value"))
 
 
