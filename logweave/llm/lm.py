@@ -58,6 +58,7 @@ ROWS = 1 << 14           # hashed weight rows of each of the two softmaxes
 BLOCK = 256              # weight rows summed together
 CHUNK = 1 << 13          # tokens of one numpy batch when scoring
 STEP = 1 << 15           # tokens of one gradient update
+TASK_TOKENS = 2_000_000  # tokens of a training task, about
 SLICE = 1 << 20          # bytes of text scored together
 FLUSH = 400_000          # distinct tokens a task counts before it hands them on
 HISTORY = 3
@@ -239,34 +240,56 @@ def features(symbols: np.ndarray, place: np.ndarray, classes: np.ndarray) -> np.
     return np.stack(rows).astype(np.int64)
 
 
-def log_probabilities(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """(2 x targets, 64) natural logarithms: of the classes, then of the units of each target's class."""
+def _logits(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """(2 x targets, 64): of the classes, then of the units of each target's class; the greatest of a row is 0."""
     logits = np.concatenate([np.broadcast_to(model.class_bias, (len(classes), WIDTH)), model.unit_bias[classes]])
     for r in rows:
         logits += weights[r]
     logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
     return logits
 
 
+def log_probabilities(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the same shape."""
+    logits = _logits(model, weights, rows, classes)
+    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+
+
+def target_log_probability(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray, units: np.ndarray) -> np.ndarray:
+    """Natural logarithm of each target's class and unit together."""
+    logits = _logits(model, weights, rows, classes)
+    own = logits[np.arange(len(logits)), np.concatenate([classes, units])]
+    np.exp(logits, out=logits)
+    both = own.astype(np.float64) - np.log(logits.sum(axis=1, dtype=np.float64))
+    return both[:len(classes)] + both[len(classes):]
+
+
 def _train(batches: Iterator[pa.RecordBatch], shared, rate: float) -> Iterator[pa.RecordBatch]:
     """Gradient updates on this task's documents; the changed rows and how often they were met, by block."""
     model = shared.value
     reader = Reader(model)
     weights, squares = model.weights.copy(), np.ones(model.weights.T.shape, np.float32)
     met, gradient = np.zeros(2 * ROWS, np.int64), np.empty(weights.T.shape, np.float32)
+    step = np.empty_like(gradient)
     documents = (reader.symbols(t.lower().split()) for batch in batches for t in utf8(batch.column(0)))
     for symbols, place, _ in chunks(documents, reader.gap, STEP):
         classes, units = reader.targets(symbols[place])
         rows = features(symbols, place, classes)
-        error = np.exp(log_probabilities(model, weights, rows, classes))
+        error = _logits(model, weights, rows, classes)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(error)), np.concatenate([classes, units])] -= 1.0
         # one histogram of all features per outcome
-        for k, e in enumerate(np.ascontiguousarray(error.T)):
-            gradient[k] = sum(np.bincount(r, e, 2 * ROWS) for r in rows)
-        squares += gradient * gradient
-        weights -= (rate * gradient / np.sqrt(squares)).T
-        met += np.bincount(rows.ravel(), minlength=2 * ROWS)
+        every = rows.ravel()
+        for k, e in enumerate(np.ascontiguousarray(error.T, np.float64)):
+            gradient[k] = np.bincount(every, np.tile(e, len(rows)), 2 * ROWS)
+        np.multiply(gradient, gradient, out=step)
+        squares += step
+        np.sqrt(squares, out=step)
+        np.divide(gradient, step, out=step)
+        step *= rate
+        weights -= step.T
+        met += np.bincount(every, minlength=2 * ROWS)
     weights -= model.weights
     for at in range(0, 2 * ROWS, BLOCK):
         n = met[at:at + BLOCK]
@@ -294,11 +317,14 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_weights(training: DataFrame, model: Model, part: Column, rounds: int = 2, rate: float = 0.5) -> Model:
-    """``training`` has the text column; ``part`` deals its rows into ``rounds`` disjoint parts."""
+    """``training`` has the text column; ``part`` deals its rows into ``rounds`` disjoint parts.
+
+    Every task sends its weights, so small partitions are put together until a task has some ``TASK_TOKENS``."""
     spark = training.sparkSession
+    tasks = max(1, -(-model.total // (rounds * TASK_TOKENS)))
     for r in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        changes = training.where(part == r).select("text").mapInArrow(
+        changes = training.where(part == r).select("text").coalesce(tasks).mapInArrow(
             partial(_train, shared=shared, rate=rate), "block int, met binary, change binary")
         means = changes.repartition(2 * ROWS // BLOCK // 4, "block").mapInArrow(_average, "block int, mean binary")
         for row in means.toLocalIterator():
@@ -347,9 +373,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         for part, place, owner in chunks(iter(symbols), reader.gap):
             target = part[place]
             classes, units = reader.targets(target)
-            log_p = log_probabilities(model, model.weights, features(part, place, classes), classes)
-            at = np.arange(len(place))
-            log_p = (log_p[at, classes].astype(np.float64) + log_p[at + len(place), units]) * to_ten
+            log_p = target_log_probability(model, model.weights, features(part, place, classes), classes, units) * to_ten
             tail = target >= n_head
             log_p[~tail] += model.log_share[target[~tail]]
             log_p[tail] -= model.log_tail_total[target[tail] - n_head]
