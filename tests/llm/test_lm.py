@@ -96,7 +96,7 @@ def test_context_changes_the_order_of_two_words_of_one_class(spark):
     reader, c = L.Reader(model), {r.token.encode(): r.c for r in counts.collect()}
     one, two = (int(model.head_unit[model.head[w]]) for w in (b"apple", b"apricot"))
     assert one // L.WIDTH == two // L.WIDTH and one != two
-    red, blue = (after(model, reader, [w]) for w in (b"red", b"blue"))
+    red, blue = (after(model, reader, history) for history in ([b"apricot", b".", b"red"], [b"apple", b".", b"blue"]))
     assert probability(model, c, *red, b"apple") > probability(model, c, *red, b"apricot")
     assert probability(model, c, *blue, b"apple") < probability(model, c, *blue, b"apricot")
 
