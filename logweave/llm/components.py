@@ -4,6 +4,9 @@ Edges stay distributed throughout; each step is one aggregation (least neighbour
 node, combined map-side) and one join, checkpointed, and the driver sees two numbers a
 round. A hub with very many neighbours is no group in any one task: its minimum is a
 partial aggregate, and its rows meet that one-row minimum in a join that Spark can split.
+
+Defined cases: an edge with a null end and an edge from a node to itself are no edges; repeated edges count
+once; an empty edge table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -81,3 +81,10 @@ def test_one_of_each(docs, empty):
     for r in rows:
         assert r.doc_id == of[f"{brute(r.text):016x}"]
     assert S.one_of_each(empty).count() == 0 and S.near_duplicates(empty).count() == 0
+
+
+def test_components_of_odd_edges(spark):
+    rows = [(1, 2), (2, 1), (2, 3), (5, 5), (None, 1), (7, None), (9, 8), (9, 8)]
+    edges = spark.createDataFrame([(*r, "x") for r in rows], "u long, v long, other string")
+    assert sorted(map(tuple, components(edges).collect())) == [(2, 1), (3, 1), (9, 8)]
+    assert components(edges.limit(0)).collect() == []
