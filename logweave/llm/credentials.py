@@ -23,12 +23,10 @@ kind as listed in ``KINDS``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage
 from .common import table, text_or_empty
 
 # The base patterns.
@@ -152,18 +150,16 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 def hide_secrets(docs: DataFrame, hidden: str = HIDDEN) -> DataFrame:
     """``docs`` with every reported span replaced by ``hidden``; ``n_chars`` follows the text.
 
-    Texts are searched once: the rows are written with the parts found in them. Only rows with parts meet the table of
+    Texts are searched once: the rows are checkpointed with the parts found in them. Only rows with parts meet the table of
     spans; all others pass as they are, so the join moves the few texts that may change.
     """
-    spark = docs.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/secrets-{uuid.uuid4().hex}"
     row = docs.select(F.struct("*").alias("_row"), text_or_empty().alias("_text"))
     patterns = (ASSIGN, ACCESS_LONG, HEX_LONG, *(p for p, _ in WEAK))
     suspect = F.lit(False)
     for p in patterns:
         suspect = suspect | F.col("_text").rlike(p)
-    _with_parts(row.withColumn("_suspect", suspect), F.col("_suspect")).select("_row", "_suspect", "_parts").write.parquet(path)
-    marked = spark.read.parquet(path).withColumn("_text", F.coalesce("_row.text", F.lit("")))
+    held = cut_lineage(_with_parts(row.withColumn("_suspect", suspect), F.col("_suspect")).select("_row", "_suspect", "_parts"))
+    marked = held.withColumn("_text", F.coalesce("_row.text", F.lit("")))
     found = spans(marked.where("_suspect").select("_row.doc_id", F.xxhash64("_text").alias("_hash"), "_parts"))
     # merge overlapping spans
     order = Window.partitionBy("doc_id", "_hash").orderBy("start", "end")
