@@ -19,6 +19,8 @@ from .parsing import tokens
 
 #: Width of hashed term vectors, the class default of the original's estimator.
 HASH_WIDTH = 1 << 20
+#: A position's part of the dictionary is broadcast up to this many values and bytes; a larger one is joined by shuffle.
+BROADCAST_VALUES, BROADCAST_BYTES = 200_000, 16 << 20
 
 
 # --------------------------------------------------------------------------- A8
@@ -35,18 +37,22 @@ def encode_ordinal(df: DataFrame, dictionary: DataFrame, col: str = "cats", out:
                    vector: bool = False) -> DataFrame:
     """Replace each category by its dictionary index; unseen -> ``default``.
 
-    One left join per position, without a hint: at run time AQE broadcasts a position's
-    slice of the dictionary if its measured bytes allow it, and otherwise joins by shuffle
-    and splits a hot value's partition.
+    One left join per position. The dictionary's values are counted per position first: a position of few values is
+    broadcast, so that no row is shuffled by a column of few values, which would put all rows into as few tasks; one of
+    many values is joined by shuffle, where AQE splits a hot value's partition.
     """
+    sizes = {r["position"]: (r["n"], r["bytes"] or 0) for r in dictionary.groupBy("position").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col("value").cast("string"))).alias("bytes")).collect()}
     if n_positions is None:
-        last = dictionary.agg(F.max("position")).first()[0]
-        n_positions = 0 if last is None else last + 1
+        n_positions = max((p for p in sizes if p is not None), default=-1) + 1
     cur = df
     idx_cols = []
     for i in range(n_positions):
         d = dictionary.where(F.col("position") == i).select(
             F.col("value").alias(f"_v{i}"), F.col("idx").cast("double").alias(f"_i{i}"))
+        n, size = sizes.get(i, (0, 0))
+        if n <= BROADCAST_VALUES and size <= BROADCAST_BYTES:
+            d = F.broadcast(d)
         cur = cur.join(d, F.get(F.col(col), i) == F.col(f"_v{i}"), "left").drop(f"_v{i}")
         idx_cols.append(F.coalesce(F.col(f"_i{i}"), F.lit(float(default))))
     cur = cur.withColumn(out, F.array(*idx_cols)).drop(*[f"_i{i}" for i in range(n_positions)])
