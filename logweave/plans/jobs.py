@@ -22,7 +22,7 @@ from ..operators import mining as M
 from ..operators import parsing as P
 from ..operators.relational import distinct_points
 from ..operators.split import split
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 from ..sources.io import write_partitioned
 
 
@@ -112,7 +112,7 @@ def cluster_text_logs(lines: DataFrame, k: int = 3, max_iter: int = 20, seed: in
         from pyspark.ml.feature import IDF
         tf = IDF(inputCol="features", outputCol="_w").fit(tf).transform(tf).drop("features") \
             .withColumnRenamed("_w", "features")
-    tf = cut_lineage(tf)
+    tf = spread(cut_lineage(tf))
     model = C.kmeans(tf, k, max_iter, 1, seed)
     out = C.assign(model, tf).withColumnRenamed("prediction", "cluster")
     if out_path:

@@ -6,6 +6,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from logweave.operators import clusters as C
 from logweave.operators import features as V
 from logweave.operators import learn as L
 
@@ -66,3 +67,23 @@ def test_bins_keep_the_side_of_every_threshold(spark):
     plain = GBTClassifier(maxIter=3, maxDepth=4).fit(few)
     pair = [{r.id: r.prediction for r in m.transform(few).collect()} for m in (plain, L.gbt(few, iters=3, depth=4))]
     assert pair[0] == pair[1]
+
+
+def test_graph_clusters_are_steps_of_dataframes(spark):
+    rng = random.Random(5)
+    rows = [(a, b, 1.0 + 9 * (a // 20 == b // 20)) for a in range(40) for b in range(a, 40) if a // 20 == b // 20 or rng.random() < .02]
+    edges = spark.createDataFrame(rows + [(0, 0, 50.0)], "src long, dst long, weight double")
+    for mode in ("degree", "random"):
+        one, two = ({r.id: r.embedding for r in C.power_embedding(e, 5, init_mode=mode).collect()} for e in (edges, edges.repartition(3)))
+        assert set(one) == set(range(40)) and all(abs(one[v] - two[v]) < 1e-12 for v in one)
+    found = {r.id: r.cluster for r in C.graph_clusters(edges, 2, 10).collect()}
+    assert len({found[v] for v in range(20)}) == 1 == len({found[v] for v in range(20, 40)}) and found[0] != found[39]
+
+
+def test_hot_slots_are_not_one_task(spark):
+    rows = spark.createDataFrame([(i, [1.0, float(i % 3), 0.0]) for i in range(30)], "id int, a array<double>").withColumn("features", array_to_vector("a"))
+    centers = [[1.0, 0.0, 0.0], [0.0, 2.0, 5.0], [0.0, 0.0, 0.0]]
+    got = C.nearest_sparse(rows, "id", centers)
+    assert "SortMergeJoin" not in plan(got)
+    want = {i: [sum((x - y) ** 2 for x, y in zip([1.0, float(i % 3), 0.0], c)) for c in centers] for i in range(30)}
+    assert all(abs(x - y) < 1e-9 for r in got.collect() for x, y in zip(r.sq_dists, want[r.id]))
