@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -62,6 +63,8 @@ def test_bins_keep_the_side_of_every_threshold(spark):
     assert edges[0] == [0.5, 1.5, 2.5] and edges[3] == [] and 25 <= len(edges[1]) <= 31 and len(edges[2]) <= 31
     for r in L.binned(df, edges).select("a", "_binned").collect():
         assert r._binned == [sum(t < x for t in e) for x, e in zip(r.a, edges)]
+    with pytest.raises(Exception, match="one size"):
+        L.gbt(df.union(df.withColumn("features", array_to_vector(F.slice("a", 1, 3)))), iters=1)
     # trees over bins decide as trees over few values do
     few = df.withColumn("features", array_to_vector(F.array(F.get("a", F.lit(0)), F.get("a", F.lit(3)), F.get("a", F.lit(2)) % 7)))
     plain = GBTClassifier(maxIter=3, maxDepth=4).fit(few)
@@ -77,6 +80,9 @@ def test_graph_clusters_are_steps_of_dataframes(spark):
         one, two = ({r.id: r.embedding for r in C.power_embedding(e, 5, init_mode=mode).collect()} for e in (edges, edges.repartition(3)))
         assert set(one) == set(range(40)) and all(abs(one[v] - two[v]) < 1e-12 for v in one)
     found = {r.id: r.cluster for r in C.graph_clusters(edges, 2, 10).collect()}
+    for row in [(1, None, 1.0), (1, 2, None), (1, 2, -1.0), (1, 2, float("nan"))]:
+        with pytest.raises(ValueError):
+            C.graph_clusters(edges.union(spark.createDataFrame([row], edges.schema)))
     assert len({found[v] for v in range(20)}) == 1 == len({found[v] for v in range(20, 40)}) and found[0] != found[39]
 
 
