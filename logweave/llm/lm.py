@@ -39,14 +39,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import id_crc_mod, table
-from .tokens import utf8
+from .tokens import slices, utf8
 
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"              # no word holds a line break
@@ -338,20 +337,6 @@ _PARTS = ("row bigint, doc_id bigint, token string, tf bigint, unknown double, "
           "n_tokens bigint, n_known bigint, base double, score double")
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids, texts) of some rows at a time, up to ``SLICE`` bytes of text (a longer text alone)."""
-    at = 0
-    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
-    while at < batch.num_rows:
-        end, held = at, 0
-        while end < batch.num_rows and (end == at or held + sizes[end] <= SLICE):
-            held += sizes[end]
-            end += 1
-        part = batch.slice(at, end - at)
-        yield part.column(0).cast(pa.int64()).to_pylist(), utf8(part.column(1))
-        at = end
-
-
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """Of each document one row with what the head decides, and one row per distinct tail token."""
     model = shared.value
@@ -360,7 +345,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     context = TaskContext.get()
     row = (context.partitionId() if context else 0) << 40
     to_ten = 1 / np.log(10)
-    for ids, texts in (x for batch in batches for x in _slices(batch)):
+    for ids, texts in (x for batch in batches for x in slices(batch, SLICE)):
         split, symbols = [], []
         for t in texts:
             words = t.lower().split()

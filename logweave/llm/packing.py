@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import table
-from .tokens import BATCH_BYTES, byte_batches, encoder, utf8
+from .tokens import BATCH_BYTES, encoder, slices
 
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, _deal bigint"
 PACKED_SCHEMA = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
@@ -45,21 +45,21 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: in
     enc, end = encoder(path), end_id.to_bytes(4, "little")
     context = TaskContext.get()
     deal = (context.partitionId() if context else 0) << 40
-    for batch in batches:
-        rows: list[list] = [[], [], [], [], [], []]
-        ids, at = batch.column(0).cast(pa.int64()).to_pylist(), 0
-        for group in byte_batches(utf8(batch.column(1)), limit=8 * BATCH_BYTES):
-            for packed in enc.id_bytes(group):
+    try:
+        for ids, texts in (x for batch in batches for x in slices(batch, BATCH_BYTES)):
+            rows: list[list] = [[], [], [], [], [], []]
+            for doc_id, packed in zip(ids, enc.id_bytes(texts)):
                 packed += end
                 for piece, start in enumerate(range(0, len(packed) // 4, capacity)):
                     part = packed[4 * start:4 * (start + capacity)]
-                    for column, value in zip(rows, (ids[at], piece, start, len(part) // 4, zlib.crc32(part), deal)):
+                    for column, value in zip(rows, (doc_id, piece, start, len(part) // 4, zlib.crc32(part), deal)):
                         column.append(value)
                     deal += 1
-                at += 1
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)],
-                                         ["doc_id", "piece", "start", "length", "ids_crc32", "_deal"])
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)],
+                                             ["doc_id", "piece", "start", "length", "ids_crc32", "_deal"])
+    finally:
+        enc.forget_ids()  # a worker that waits for its next task holds no segments
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:

@@ -25,6 +25,7 @@ from itertools import product
 from string import ascii_letters, ascii_lowercase, digits, punctuation
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
@@ -33,6 +34,8 @@ COUNT_SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boole
 BATCH_BYTES = 1 << 20
 #: Bound on each worker's memory of encoded segments; it is emptied when full.
 MEMO_ENTRIES = 1_000_000
+#: The same for segments with their ids, which take some 250 bytes each.
+MEMO_IDS = 400_000
 LONGEST_KEPT = 64
 
 #: The pre-tokenizer's rule for printable ASCII in lower case; used only where a trial on the tokenizer holds.
@@ -135,9 +138,8 @@ class SegmentEncoder:
         if not self.splits:
             return [_packed(ids) for b in byte_batches(texts) for ids in self._encode([t.decode() for t in b])]
         known, split = self.ids, [self.segments(t) for t in texts]
-        if len(known) > MEMO_ENTRIES:
-            known.clear()
-            self.pieces.clear()
+        if len(known) > MEMO_IDS:
+            self.forget_ids()
         new = {s for segments in split for s in segments if s not in known}
         long, rest = {}, []
         for s in new:
@@ -154,6 +156,10 @@ class SegmentEncoder:
             return [b"".join(map(known.__getitem__, segments)) for segments in split]
         return [b"".join([known[s] if s in known else long[s] for s in segments]) for segments in split]
 
+    def forget_ids(self) -> None:
+        self.ids.clear()
+        self.pieces.clear()
+
     def _piece(self, piece: str) -> bytes:
         ids = _packed([t.id for t in self.tokenizer.model.tokenize(piece)])
         if len(piece) <= LONGEST_KEPT:
@@ -180,6 +186,20 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, texts) of some rows at a time, up to ``limit`` bytes of text (a longer text alone)."""
+    at = 0
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+    while at < batch.num_rows:
+        end, held = at, 0
+        while end < batch.num_rows and (end == at or held + sizes[end] <= limit):
+            held += sizes[end]
+            end += 1
+        part = batch.slice(at, end - at)
+        yield part.column(0).cast(pa.int64()).to_pylist(), utf8(part.column(1))
+        at = end
+
+
 def _count(batches: Iterator[pa.RecordBatch], path: str, limit: int) -> Iterator[pa.RecordBatch]:
     enc = encoder(path)
     for batch in batches:
