@@ -24,6 +24,7 @@ from functools import cached_property, partial
 from itertools import product
 from string import ascii_letters, ascii_lowercase, digits, punctuation
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,16 @@ MEMO_ENTRIES = 1_000_000
 MEMO_IDS = 400_000
 LONGEST_KEPT = 64
 
-#: The pre-tokenizer's rule for printable ASCII in lower case; used only where a trial on the tokenizer holds.
-ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Letters beyond ASCII that may stand in words taken by pieces: composed ones, whose lower case is one character.
+LETTERS = [c for c in map(chr, range(0xC0, 0x180)) if c.isalpha() and len(c.lower()) == 1]
+#: The printed character of each byte in byte-level vocabularies.
+_PRINTED = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+BYTE_LEVEL = _PRINTED | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
+def piece_rule(letters: str = "") -> re.Pattern:
+    """The pre-tokenizer's rule for printable ASCII in lower case and more letters; used only where a trial on the tokenizer holds."""
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{letters}]+|[0-9]|[^\sa-z0-9{letters}]+")
 
 
 def load(path: str):
@@ -79,6 +88,8 @@ class SegmentEncoder:
         self.counts: dict[bytes, int] = {}
         self.ids: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.model = None if self.sentencepiece else self.tokenizer.model
+        self.rule = piece_rule()
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         if self.sentencepiece:
@@ -102,13 +113,30 @@ class SegmentEncoder:
 
     @cached_property
     def ascii_pieces(self) -> bool:
-        """Whether the pieces by ``ASCII_PIECE`` have the library's ids."""
+        """Whether the pieces by ``piece_rule`` have the library's ids."""
         words = [*map("".join, product(ascii_lowercase + digits + punctuation, repeat=2)), "it's", "we'll've", "x'sted",
                  "a1b22c", "''s'", "'re9", "foo-bar_baz!!", "(a.b)'d", "internationalization", "x.y's1"]
         return all(_packed(ids) == self._by_pieces(w) for w, ids in zip(words, self._encode(words)) if "<|" not in w)
 
+    @cached_property
+    def simple(self) -> re.Pattern | None:
+        """What words taken by pieces are made of: printable ASCII and those of ``LETTERS`` whose trial on the tokenizer holds."""
+        if not self.ascii_pieces:
+            return None
+        small = sorted({c.lower() for c in LETTERS} & set(LETTERS))
+        self.rule = piece_rule("".join(small))
+        cases = [c for c in LETTERS if self.lowers or c in small]
+        ways = "{0}", "{0}{0}", "a{0}", "{0}a", "st{0}ng", "{0}1", "1{0}", "{0}.", ".{0}", "{0}'s", "'s{0}", "{0}'ll{0}", "e{0}\u00e9\u00fc{0}n"
+        words = [w.format(c) for c in cases for w in ways]
+        right = [_packed(ids) == self._by_pieces(w.lower()) for w, ids in zip(words, self._encode(words))]
+        failed = {c.lower() for i, c in enumerate(cases) if not all(right[i * len(ways):(i + 1) * len(ways)])}
+        self.rule = piece_rule("".join(c for c in small if c not in failed))
+        self.pieces.clear()
+        letters = "".join(c for c in cases if c.lower() not in failed)
+        return re.compile(rf"[!-@\[-~{'A-Z' if self.lowers else ''}{letters}]+")
+
     def _by_pieces(self, word: str) -> bytes:
-        return b"".join([self.pieces.get(p) or self._piece(p) for p in ASCII_PIECE.findall(word)])
+        return b"".join([self.pieces.get(p) or self._piece(p) for p in self.rule.findall(word)])
 
     def segments(self, text: bytes) -> list[bytes]:
         """Runs between ASCII white space; ASCII ones lowered unless a special string may be there."""
@@ -137,31 +165,42 @@ class SegmentEncoder:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         if not self.splits:
             return [_packed(ids) for b in byte_batches(texts) for ids in self._encode([t.decode() for t in b])]
-        known, split = self.ids, [self.segments(t) for t in texts]
+        known = self.ids
         if len(known) > MEMO_IDS:
             self.forget_ids()
-        new = {s for segments in split for s in segments if s not in known}
-        long, rest = {}, []
-        for s in new:
+        # each distinct segment is looked up once; "" (before or after white space) has no ids
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        segments = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        parts = list(map(known.get, segments))
+        missed = [i for i, ids in enumerate(parts) if ids is None]
+        keys = [self._key(segments[i]) for i in missed]
+        long, rest = {b"": b""}, []
+        simple = self.simple
+        for s in {s for s in keys if s and s not in known}:
             into = known if len(s) <= LONGEST_KEPT else long
             word = s.decode()
-            if word.isascii() and word.isprintable() and word.islower() and "<|" not in word and self.ascii_pieces:
-                into[s] = self._by_pieces(word)
+            if simple and "<|" not in word and simple.fullmatch(word):
+                into[s] = self._by_pieces(word.lower())
             else:
                 rest.append(s)
         for batch in byte_batches(rest):
             for s, ids in zip(batch, self._encode([s.decode() for s in batch])):
                 (known if len(s) <= LONGEST_KEPT else long)[s] = _packed(ids)
-        if not long:
-            return [b"".join(map(known.__getitem__, segments)) for segments in split]
-        return [b"".join([known[s] if s in known else long[s] for s in segments]) for segments in split]
+        for i, s in zip(missed, keys):
+            parts[i] = known[s] if s in known else long[s]
+        return _strung(parts, coded.indices.to_numpy(), split.value_lengths().to_numpy())
+
+    def _key(self, segment: bytes) -> bytes:
+        return segment.lower() if self.lowers and segment.isascii() and b"<|" not in segment else segment
 
     def forget_ids(self) -> None:
         self.ids.clear()
         self.pieces.clear()
 
     def _piece(self, piece: str) -> bytes:
-        ids = _packed([t.id for t in self.tokenizer.model.tokenize(piece)])
+        printed = piece if piece.isascii() else "".join([BYTE_LEVEL[b] for b in piece.encode()])
+        ids = _packed([t.id for t in self.model.tokenize(printed)])
         if len(piece) <= LONGEST_KEPT:
             self.pieces[piece] = ids
         return ids
@@ -171,6 +210,18 @@ def _packed(ids: list[int]) -> bytes:
     return b"".join([i.to_bytes(4, "little") for i in ids])
 
 
+def _strung(parts: list[bytes], codes: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The parts named by the next ``counts[i]`` codes, strung together, for each i; parts hold whole 32-bit numbers."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    starts, taken = np.cumsum(sizes) - sizes, sizes[codes]
+    ends = np.cumsum(taken)
+    at = np.repeat(starts[codes] - ends + taken, taken)
+    at += np.arange(len(at))
+    strung = np.frombuffer(b"".join(parts), "<u4")[at].tobytes()
+    bounds = (4 * np.r_[0, ends][np.r_[0, np.cumsum(counts)]]).tolist()
+    return [strung[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
 _ENCODERS: dict[str, SegmentEncoder] = {}
 
 

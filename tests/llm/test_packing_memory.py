@@ -29,3 +29,19 @@ def test_texts_are_encoded_by_slices_and_forgotten(monkeypatch):
 def test_slices_keep_every_row():
     batch = pa.RecordBatch.from_pydict({"a": [1, None, 3, 4], "t": ["ab", None, "c" * 9, "d"]})
     assert list(T.slices(batch, 3)) == [([1, None], [b"ab", b""]), ([3], [b"c" * 9]), ([4], [b"d"])]
+
+
+def test_accented_words_go_by_pieces_and_have_the_librarys_ids(monkeypatch):
+    enc = T.SegmentEncoder(PATH)
+    simple = [f"{a}{c}{b}" for c in T.LETTERS for a in ("", "x", "É", "'s", "9") for b in ("", "Y", "ü", "...", "'ll", "7")]
+    simple += ["4575803494779329", "26.243.41.137", "***", "ÉEAUQUE!!", "ENTSTÖ", "ßSß"]
+    other = ["é", "ȩ́x", "J̌", "İx", "ΟΣ", "½", "a b", "中文", "x<|y", "<|endoftext|>é"]
+    texts = [" ".join(simple[i:i + 50]) + "  \n" for i in range(0, len(simple), 50)] + ["", " ", " \t".join(simple[:9] + other)]
+    want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert enc.simple
+    asked, encode = [], enc._encode
+    monkeypatch.setattr(enc, "_encode", lambda words: asked.extend(words) or encode(words))
+    got = enc.id_bytes([t.encode() for t in texts])
+    assert got == [T._packed(ids) for ids in want]
+    assert sorted(asked) == sorted(w for o in other for w in T.SegmentEncoder.segments(enc, o.encode()) for w in [w.decode()])
+    assert not set(asked) & set(simple)
