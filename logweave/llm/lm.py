@@ -32,20 +32,20 @@ result; other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import id_crc_mod, table
-from .tokens import slices, utf8
+from .tokens import byte_batches, coded_segments, slices, utf8
 
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"              # no word holds a line break
@@ -60,6 +60,8 @@ STEP = 1 << 15           # tokens of one gradient update
 TASK_TOKENS = 2_000_000  # tokens of a training task, about
 SLICE = 1 << 20          # bytes of text scored together
 FLUSH = 400_000          # distinct tokens a task counts before it hands them on
+HELD = 1 << 10           # rows of logits worked at a time, so that they stay in a core's cache
+FAN = 32                 # rows added at a time
 HISTORY = 3
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
 
@@ -69,21 +71,32 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 # ------------------------------------------------------------------ counts
+def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct lower-cased words, each word of the texts by its number there, and how many words each text has."""
+    words, codes, counts = coded_segments(pc.ascii_lower(pa.array(texts, pa.large_binary()).cast(pa.large_string())))
+    kept = pc.not_equal(words, "").to_numpy(zero_copy_only=False)[codes]
+    owner = np.repeat(np.arange(len(texts)), counts)
+    return words, codes[kept], np.bincount(owner[kept], minlength=len(texts))
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+    words, times = [], []
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()).cast(pa.string()),
-                                           pa.array(list(held.values()), pa.int64())], ["token", "c"])
+        coded = pa.concat_arrays(words).dictionary_encode()
+        c = np.bincount(coded.indices.to_numpy(), np.concatenate(times), len(coded.dictionary)).astype(np.int64)
+        words.clear()
+        times.clear()
+        return pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(c)], ["token", "c"])
 
     for batch in batches:
-        for text in utf8(batch.column(0)):
-            held.update(text.lower().split())
-            if len(held) > FLUSH:
+        for texts in byte_batches(utf8(batch.column(0)), limit=SLICE):
+            found, codes, _ = _words(texts)
+            words += [found, pa.array([END], pa.large_binary()).cast(pa.large_string())]
+            times += [np.bincount(codes, minlength=len(found)), [len(texts)]]
+            if sum(map(len, words)) > FLUSH:
                 yield out()
-                held.clear()
-        held[END] += batch.num_rows
-    if held:
+    if words:
         yield out()
 
 
@@ -178,24 +191,46 @@ class Reader:
 
     def __init__(self, model: Model):
         self.model = model
-        self.end = model.head.get(END)
         self.gap = len(model.head) + BUCKETS
-        self.buckets: dict[bytes, int] = {}
+        self.head = pa.array(list(model.head), pa.large_binary()).cast(pa.large_string())
         self.units = np.concatenate([model.head_unit, shared_unit(np.arange(BUCKETS), True)]).astype(np.int64)
+        one, two = [bytes([a]) for a in range(256)], [bytes([a, b]) for a in range(256) for b in range(256)]
+        self.endings = np.array([ending_bucket(w) for w in two + one])
+
+    def buckets(self, words: pa.Array) -> np.ndarray:
+        """The ending bucket of each word; that of an empty one, which no text has, is of no meaning."""
+        offset, data = words.buffers()[1:]
+        ends = np.frombuffer(offset, np.int64)[words.offset:words.offset + len(words) + 1]
+        if ends[-1] == 0:
+            return np.zeros(len(words), np.int64)
+        letters = np.frombuffer(data, np.uint8)
+        last, before = (letters[np.maximum(ends[1:] - i, 0)].astype(np.int64) for i in (1, 2))
+        return self.endings[last + np.where(np.diff(ends) < 2, 1 << 16, before << 8)]
+
+    def numbered(self, words: pa.Array) -> np.ndarray:
+        """The symbol of each word."""
+        symbols = pc.fill_null(pc.index_in(words, value_set=self.head), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        tail = np.flatnonzero(symbols < 0)
+        symbols[tail] = len(self.head) + self.buckets(words.take(pa.array(tail)))
+        return symbols
 
     def symbols(self, words: list[bytes]) -> np.ndarray:
         """Of one document, the end token included."""
-        get, first_tail, buckets = self.model.head.get, len(self.model.head), self.buckets
-        out = [get(w, -1) for w in words]
-        out.append(self.end if self.end is not None else first_tail + ending_bucket(END))
-        symbols = np.array(out, np.int64)
-        for i in np.flatnonzero(symbols < 0).tolist():
-            tail = words[i][-2:]
-            k = buckets.get(tail)
-            if k is None:
-                k = buckets[tail] = ending_bucket(tail)
-            symbols[i] = first_tail + k
-        return symbols
+        return self.numbered(pa.array([*words, END], pa.large_binary()).cast(pa.large_string()))
+
+    def read(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct words, the end last; all tokens of the texts by their number there, and their symbols; tokens of each text."""
+        words, codes, counts = _words(texts)
+        codes = np.insert(codes, np.cumsum(counts), len(words)).astype(np.int64)
+        words = pa.concat_arrays([words, pa.array([END], pa.large_binary()).cast(pa.large_string())])
+        symbols = self.numbered(words)
+        return words, codes, symbols[codes], counts + 1
+
+    def documents(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The symbols of each text, the end token included."""
+        for some in byte_batches(texts, limit=SLICE):
+            _, _, symbols, counts = self.read(some)
+            yield from np.split(symbols, np.cumsum(counts)[:-1])
 
     def targets(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(class, place in it) of each symbol."""
@@ -239,55 +274,107 @@ def features(symbols: np.ndarray, place: np.ndarray, classes: np.ndarray) -> np.
     return np.stack(rows).astype(np.int64)
 
 
-def _logits(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """(2 x targets, 64): of the classes, then of the units of each target's class; the greatest of a row is 0."""
-    logits = np.concatenate([np.broadcast_to(model.class_bias, (len(classes), WIDTH)), model.unit_bias[classes]])
-    for r in rows:
-        logits += weights[r]
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits
+def _logits(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray,
+            out: np.ndarray | None = None) -> Iterator[tuple[slice, np.ndarray]]:
+    """(2 x targets, 64) in blocks of ``HELD`` rows: of the classes, then of the units of each target's class.
+
+    They are lessened by the greatest of a row where weights are so large that exponentials might not fit; elsewhere
+    a row's greatest logit is between -65 and 60, as the biases are logarithms of 64 shares."""
+    bias, own = np.concatenate([model.class_bias[None], model.unit_bias]), np.r_[np.zeros_like(classes), classes + 1]
+    large = len(rows) * max(weights.max(), -weights.min()) > 60
+    room, part = np.empty((2, HELD, WIDTH), np.float32)
+    for at in range(0, len(own), HELD):
+        places = slice(at, min(at + HELD, len(own)))
+        n = places.stop - at
+        logits = room[:n] if out is None else out[places]
+        np.take(bias, own[places], axis=0, out=logits, mode="clip")  # no index is outside; "raise" would copy
+        for r in rows:
+            np.take(weights, r[places], axis=0, out=part[:n], mode="clip")
+            logits += part[:n]
+        if large:
+            logits -= logits.max(axis=1, keepdims=True)
+        yield places, logits
 
 
 def log_probabilities(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Natural logarithms of the same shape."""
-    logits = _logits(model, weights, rows, classes)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    out = np.empty((2 * len(classes), WIDTH), np.float32)
+    for _, logits in _logits(model, weights, rows, classes, out):
+        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return out
 
 
 def target_log_probability(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray, units: np.ndarray) -> np.ndarray:
     """Natural logarithm of each target's class and unit together."""
-    logits = _logits(model, weights, rows, classes)
-    own = logits[np.arange(len(logits)), np.concatenate([classes, units])]
-    np.exp(logits, out=logits)
-    both = own.astype(np.float64) - np.log(logits.sum(axis=1, dtype=np.float64))
+    wanted, both = np.r_[classes, units], np.empty(2 * len(classes))
+    for places, logits in _logits(model, weights, rows, classes):
+        own = logits[np.arange(len(logits)), wanted[places]].astype(np.float64)
+        np.exp(logits, out=logits)
+        both[places] = own - np.log(logits.sum(axis=1), dtype=np.float64)
     return both[:len(classes)] + both[len(classes):]
 
 
+def _errors(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray, units: np.ndarray) -> np.ndarray:
+    """Probabilities less one at the targets."""
+    out = np.empty((2 * len(classes), WIDTH), np.float32)
+    for _, logits in _logits(model, weights, rows, classes, out):
+        np.exp(logits, out=logits)
+        logits /= logits.sum(axis=1, keepdims=True)
+    out[np.arange(len(out)), np.r_[classes, units]] -= 1.0
+    return out
+
+
+def sums_by_key(values: np.ndarray, places: np.ndarray, keys: np.ndarray, out: np.ndarray) -> None:
+    """``out[k]`` becomes the sum of ``values[places[i]]`` over all i with ``keys[i] == k``; the keys rise.
+
+    Up to ``FAN`` rows of a key are added at a time, in blocks of sums that stay in the cache; the sums of a key are added in turn."""
+    out[:] = 0
+    room = np.empty((HELD, WIDTH), np.float32)
+    while len(keys):
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        length = np.diff(np.r_[first, len(keys)])
+        parts = -(-length // FAN)
+        begin = np.repeat(first - FAN * (np.cumsum(parts) - parts), parts) + FAN * np.arange(parts.sum())
+        size = np.minimum(np.repeat(first + length, parts) - begin, FAN)
+        order = np.argsort((FAN - size).astype(np.uint16), kind="stable")  # longest first
+        sums = np.empty((len(order), WIDTH), np.float32)
+        for at in range(0, len(order), HELD):
+            some = order[at:at + HELD]
+            start, total, shorter = begin[some], sums[at:at + HELD], -size[some]
+            np.take(values, places[start], axis=0, out=total, mode="clip")
+            for j in range(1, -int(shorter[0])):
+                n = int(np.searchsorted(shorter, -j))  # those of more than j rows
+                np.take(values, places[start[:n] + j], axis=0, out=room[:n], mode="clip")
+                total[:n] += room[:n]
+        met = np.repeat(keys[first], parts)
+        alone = np.repeat(parts == 1, parts)
+        done = alone[order]
+        out[met[order[done]]] = sums[done]
+        where = np.empty(len(order), np.int64)
+        where[order] = np.arange(len(order))
+        values, places, keys = sums, where[~alone], met[~alone]
+
+
 def _train(batches: Iterator[pa.RecordBatch], shared, rate: float) -> Iterator[pa.RecordBatch]:
     """Gradient updates on this task's documents; the changed rows and how often they were met, by block."""
     model = shared.value
     reader = Reader(model)
-    weights, squares = model.weights.copy(), np.ones(model.weights.T.shape, np.float32)
-    met, gradient = np.zeros(2 * ROWS, np.int64), np.empty(weights.T.shape, np.float32)
-    step = np.empty_like(gradient)
-    documents = (reader.symbols(t.lower().split()) for batch in batches for t in utf8(batch.column(0)))
+    weights, squares = model.weights.copy(), np.ones(model.weights.shape, np.float32)
+    met, gradient = np.zeros(2 * ROWS, np.int64), np.empty(weights.shape, np.float32)
+    documents = (d for batch in batches for d in reader.documents(utf8(batch.column(0))))
     for symbols, place, _ in chunks(documents, reader.gap, STEP):
         classes, units = reader.targets(symbols[place])
         rows = features(symbols, place, classes)
-        error = _logits(model, weights, rows, classes)
-        np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(error)), np.concatenate([classes, units])] -= 1.0
-        # one histogram of all features per outcome
+        error = _errors(model, weights, rows, classes, units)
         every = rows.ravel()
-        for k, e in enumerate(np.ascontiguousarray(error.T, np.float64)):
-            gradient[k] = np.bincount(every, np.tile(e, len(rows)), 2 * ROWS)
-        np.multiply(gradient, gradient, out=step)
-        squares += step
-        np.sqrt(squares, out=step)
-        np.divide(gradient, step, out=step)
-        step *= rate
-        weights -= step.T
+        order = np.argsort(every.astype(np.uint16), kind="stable")
+        sums_by_key(error, order % rows.shape[1], every[order], gradient)
+        for at in range(0, 2 * ROWS, BLOCK):
+            g, s = gradient[at:at + BLOCK], squares[at:at + BLOCK]
+            s += g * g
+            g /= np.sqrt(s)
+            g *= rate
+            weights[at:at + BLOCK] -= g
         met += np.bincount(every, minlength=2 * ROWS)
     weights -= model.weights
     for at in range(0, 2 * ROWS, BLOCK):
@@ -346,14 +433,9 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     row = (context.partitionId() if context else 0) << 40
     to_ten = 1 / np.log(10)
     for ids, texts in (x for batch in batches for x in slices(batch, SLICE)):
-        split, symbols = [], []
-        for t in texts:
-            words = t.lower().split()
-            s = reader.symbols(words)
-            symbols.append(s)
-            split.append(Counter([words[i] for i in np.flatnonzero(s[:-1] >= n_head).tolist()]))
-            if s[-1] >= n_head:
-                split[-1][END] += 1
+        words, codes, all_symbols, n = reader.read(texts)
+        ends = np.cumsum(n)
+        symbols = np.split(all_symbols, ends[:-1])
         total = np.zeros(len(texts))
         for part, place, owner in chunks(iter(symbols), reader.gap):
             target = part[place]
@@ -363,22 +445,23 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
             log_p[~tail] += model.log_share[target[~tail]]
             log_p[tail] -= model.log_tail_total[target[tail] - n_head]
             total += np.bincount(owner, log_p, len(texts))
-        n = np.array([len(s) for s in symbols], np.int64)
-        known = np.array([int((s < n_head).sum()) for s in symbols], np.int64)
-        base = np.array([float(log_count[s[s < n_head]].sum()) for s in symbols])
+        of, in_head = np.repeat(np.arange(len(texts)), n), all_symbols < n_head
+        known = np.bincount(of[in_head], minlength=len(texts))
+        base = np.bincount(of[in_head], log_count[all_symbols[in_head]], len(texts))
         rows = np.arange(row, row + len(texts))
         row += len(texts)
         yield pa.RecordBatch.from_arrays([
             pa.array(rows), pa.array(ids, pa.int64()), pa.array([f"\n{r}" for r in rows.tolist()]),
-            *(pa.nulls(len(rows), t) for t in (pa.int64(), pa.float64())), pa.array(n), pa.array(known), pa.array(base), pa.array(total)],
+            *(pa.nulls(len(rows), t) for t in (pa.int64(), pa.float64())), pa.array(n), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(total)],
             _PARTS_NAMES)
-        many = np.repeat(rows, [len(c) for c in split])
-        words = [w for c in split for w in c]
-        unknown = model.log_unknown[[ending_bucket(w) for w in words]] if words else np.zeros(0)
-        nothing = [pa.nulls(len(words), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+        pairs, tf = np.unique(of[~in_head] * len(words) + codes[~in_head], return_counts=True)
+        of, word = np.divmod(pairs, len(words))
+        tokens = words.take(pa.array(word))
+        unknown = model.log_unknown[reader.buckets(tokens)]
+        nothing = [pa.nulls(len(pairs), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
         yield pa.RecordBatch.from_arrays([
-            pa.array(many, pa.int64()), pa.nulls(len(words), pa.int64()), pa.array(words, pa.binary()).cast(pa.string()),
-            pa.array([n for c in split for n in c.values()], pa.int64()), pa.array(unknown, pa.float64()), *nothing], _PARTS_NAMES)
+            pa.array(rows[of]), pa.nulls(len(pairs), pa.int64()), tokens.cast(pa.string()),
+            pa.array(tf, pa.int64()), pa.array(unknown, pa.float64()), *nothing], _PARTS_NAMES)
 
 
 _PARTS_NAMES = [x.split()[0] for x in _PARTS.split(", ")]

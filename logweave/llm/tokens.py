@@ -168,10 +168,9 @@ class SegmentEncoder:
         known = self.ids
         if len(known) > MEMO_IDS:
             self.forget_ids()
-        # each distinct segment is looked up once; "" (before or after white space) has no ids
-        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
-        coded = split.flatten().dictionary_encode()
-        segments = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        # each distinct segment is looked up once; "" has no ids
+        distinct, codes, counts = coded_segments(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        segments = distinct.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
         parts = list(map(known.get, segments))
         missed = [i for i, ids in enumerate(parts) if ids is None]
         keys = [self._key(segments[i]) for i in missed]
@@ -189,7 +188,7 @@ class SegmentEncoder:
                 (known if len(s) <= LONGEST_KEPT else long)[s] = _packed(ids)
         for i, s in zip(missed, keys):
             parts[i] = known[s] if s in known else long[s]
-        return _strung(parts, coded.indices.to_numpy(), split.value_lengths().to_numpy())
+        return _strung(parts, codes, counts)
 
     def _key(self, segment: bytes) -> bytes:
         return segment.lower() if self.lowers and segment.isascii() and b"<|" not in segment else segment
@@ -210,6 +209,15 @@ def _packed(ids: list[int]) -> bytes:
     return b"".join([i.to_bytes(4, "little") for i in ids])
 
 
+def coded_segments(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct runs between ASCII white space, each run by its number there, and how many runs each text has.
+
+    There may be an empty run before leading and after trailing white space."""
+    split = pc.ascii_split_whitespace(texts)
+    coded = split.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), split.value_lengths().to_numpy()
+
+
 def _strung(parts: list[bytes], codes: np.ndarray, counts: np.ndarray) -> list[bytes]:
     """The parts named by the next ``counts[i]`` codes, strung together, for each i; parts hold whole 32-bit numbers."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4

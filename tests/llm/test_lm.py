@@ -147,3 +147,56 @@ def test_a_feature_for_each_of_the_three_tokens_back(fitted):
     assert a[:-1].tolist() == b[:-1].tolist() and (a[-1] != b[-1]).all()
     other = L.features(np.array([7, 3, 2, 0]), np.array([3]), np.array([6]))
     assert (a[:, 0] == other[:, 0]).all() and (a[:, 1] != other[:, 1]).all() and (a[:, 1] >= L.ROWS).all()
+
+
+TEXTS = [None, "", " \t", "The the THE end", "Été été x Z", "  a b\nc　d e\x1cf \x85g ", "word " * 700, "中 ß \U0001f600 q"]
+
+
+def test_words_are_read_by_distinct_word_as_one_by_one(fitted, monkeypatch):
+    model = fitted[2]
+    reader, raw = L.Reader(model), [(t or "").encode() for t in TEXTS]
+    one = lambda w: model.head.get(w, len(model.head) + L.ending_bucket(w))
+    want = [[one(w) for w in t.lower().split() + [L.END]] for t in raw]
+    assert [s.tolist() for s in reader.documents(raw)] == want
+    assert [reader.symbols(t.lower().split()).tolist() for t in raw] == want
+    monkeypatch.setattr(L, "SLICE", 8)
+    assert [s.tolist() for s in reader.documents(raw)] == want
+    assert [s.tolist() for s in reader.documents([b"", b" "])] == [[one(L.END)]] * 2 and list(reader.documents([])) == []
+    for flush in (3, 10 ** 6):
+        monkeypatch.setattr(L, "FLUSH", flush)
+        got = Counter()
+        for b in L._counts(iter([pa.RecordBatch.from_pydict({"text": TEXTS})])):
+            got.update({r["token"].encode(): r["c"] for r in b.to_pylist() if r["c"]})
+        assert got == Counter(t for x in TEXTS for t in tokens(x))
+
+
+def test_sums_of_rows_by_key():
+    rng = np.random.default_rng(1)
+    values = rng.normal(size=(5000, L.WIDTH)).astype(np.float32)
+    keys = np.sort(np.r_[np.zeros(4000, np.int64), np.full(L.FAN + 1, 7), rng.integers(9, 3000, 9000)])
+    places = rng.integers(0, len(values), len(keys))
+    want, got = np.zeros((3001, L.WIDTH)), np.ones((3001, L.WIDTH), np.float32)
+    np.add.at(want, keys, values[places].astype(np.float64))
+    L.sums_by_key(values, places, keys, got)
+    assert np.abs(got - want).max() < 1e-3 and (got[8] == 0).all()
+    L.sums_by_key(values, places[:0], keys[:0], got)
+    assert not got.any()
+
+
+def test_large_weights_stay_finite_and_logits_are_held_in_blocks(fitted):
+    model, rng = fitted[2], np.random.default_rng(2)
+    n = 3 * L.HELD // 2
+    symbols, classes, units = rng.integers(0, 500, n + 3), rng.integers(0, 64, n), rng.integers(0, 64, n)
+    rows = L.features(symbols, np.arange(3, n + 3), classes)
+    for scale in (0.1, 100):
+        weights = (rng.normal(size=model.weights.shape) * scale).astype(np.float32)
+        logits = np.concatenate([np.broadcast_to(model.class_bias, (n, 64)), model.unit_bias[classes]]).astype(np.float64)
+        logits += sum(weights[r].astype(np.float64) for r in rows)
+        top = logits.max(axis=1, keepdims=True)
+        log_p = (logits - top) - np.log(np.exp(logits - top).sum(axis=1, keepdims=True))
+        own = log_p[np.arange(2 * n), np.r_[classes, units]]
+        got = L.target_log_probability(model, weights, rows, classes, units)
+        assert np.abs(got - (own[:n] + own[n:])).max() < 1e-4 * max(1, scale)
+        assert np.abs(L.log_probabilities(model, weights, rows, classes) - log_p).max() < 1e-4 * max(1, scale)
+        assert np.isfinite(L._errors(model, weights, rows, classes, units)).all()
+    assert max(len(x) for _, x in L._logits(model, weights, rows, classes)) == L.HELD
