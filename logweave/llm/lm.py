@@ -80,22 +80,31 @@ def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, times = [], []
+    words, times, merged = [], [], 0
 
-    def out() -> pa.RecordBatch:
+    def merge() -> None:
         coded = pa.concat_arrays(words).dictionary_encode()
         c = np.bincount(coded.indices.to_numpy(), np.concatenate(times), len(coded.dictionary)).astype(np.int64)
+        words[:], times[:] = [coded.dictionary], [c]
+
+    def out() -> pa.RecordBatch:
+        merge()
+        batch = pa.RecordBatch.from_arrays([words[0].cast(pa.string()), pa.array(times[0])], ["token", "c"])
         words.clear()
         times.clear()
-        return pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(c)], ["token", "c"])
+        return batch
 
     for batch in batches:
         for texts in byte_batches(utf8(batch.column(0)), limit=SLICE):
             found, codes, _ = _words(texts)
             words += [found, pa.array([END], pa.large_binary()).cast(pa.large_string())]
             times += [np.bincount(codes, minlength=len(found)), [len(texts)]]
-            if sum(map(len, words)) > FLUSH:
-                yield out()
+            if sum(map(len, words)) - merged > FLUSH:
+                merge()
+                merged = len(words[0])
+                if merged > FLUSH:
+                    yield out()
+                    merged = 0
     if words:
         yield out()
 
