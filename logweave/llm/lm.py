@@ -34,7 +34,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +166,10 @@ class Model:
         self.log_unknown = np.log10(np.where(empty, 1, self.discount * self.tail_words))
         self.weights = np.zeros((2 * ROWS, WIDTH), np.float32)
 
+    def biases(self) -> np.ndarray:
+        """Of the classes, then of the units of each class."""
+        return np.concatenate([self.class_bias[None], self.unit_bias])
+
 
 def fit_head(counts: DataFrame) -> Model:
     """The head table and the statistics of the tail's buckets; what is collected is bounded by ``HEAD``."""
@@ -195,6 +199,13 @@ def fit_head(counts: DataFrame) -> Model:
 
 
 # ------------------------------------------------------------------ numpy batches
+@cache
+def _endings() -> np.ndarray:
+    """The ending bucket of any two last bytes, then of any single one."""
+    one, two = [bytes([a]) for a in range(256)], [bytes([a, b]) for a in range(256) for b in range(256)]
+    return np.array([ending_bucket(w) for w in two + one])
+
+
 class Reader:
     """Turns texts into symbols: head tokens by number, tail tokens by ending bucket, a gap between documents."""
 
@@ -203,8 +214,7 @@ class Reader:
         self.gap = len(model.head) + BUCKETS
         self.head = pa.array(list(model.head), pa.large_binary()).cast(pa.large_string())
         self.units = np.concatenate([model.head_unit, shared_unit(np.arange(BUCKETS), True)]).astype(np.int64)
-        one, two = [bytes([a]) for a in range(256)], [bytes([a, b]) for a in range(256) for b in range(256)]
-        self.endings = np.array([ending_bucket(w) for w in two + one])
+        self.endings = _endings()
 
     def buckets(self, words: pa.Array) -> np.ndarray:
         """The ending bucket of each word; that of an empty one, which no text has, is of no meaning."""
@@ -276,35 +286,78 @@ def features(symbols: np.ndarray, place: np.ndarray, classes: np.ndarray) -> np.
     one, two, three = (symbols[place - i].astype(np.uint64) + np.uint64(1) for i in (1, 2, 3))
     shift, spread = np.uint64(65 - ROWS.bit_length()), np.uint64(0x9E3779B97F4A7C15)
     own = (classes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    rows = []
+    n = len(place)
+    rows = np.empty((len(_MULTIPLIERS), 2 * n), np.uint64)
     for i, (key, m) in enumerate(zip((one, one * np.uint64(1_000_003) + two, two, three), _MULTIPLIERS)):
-        key = key * np.uint64(m) + np.uint64(i + 1)
-        rows.append(np.concatenate([(key * spread) >> shift, (((key ^ own) * spread) >> shift) + np.uint64(ROWS)]))
-    return np.stack(rows).astype(np.int64)
-
+        rows[i, :n] = key * np.uint64(m) + np.uint64(i + 1)
+        np.bitwise_xor(rows[i, :n], own, out=rows[i, n:])
+    rows *= spread
+    rows >>= shift
+    rows[:, n:] += np.uint64(ROWS)
+    return rows.view(np.int64)
 
-def _logits(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray,
-            out: np.ndarray | None = None) -> Iterator[tuple[slice, np.ndarray]]:
-    """(2 x targets, 64) in blocks of ``HELD`` rows: of the classes, then of the units of each target's class.
 
-    They are lessened by the greatest of a row where weights are so large that exponentials might not fit; elsewhere
-    a row's greatest logit is between -65 and 60, as the biases are logarithms of 64 shares."""
-    bias, own = np.concatenate([model.class_bias[None], model.unit_bias]), np.r_[np.zeros_like(classes), classes + 1]
-    large = len(rows) * max(weights.max(), -weights.min()) > 60
+def _joined(join: np.ufunc, start: np.ndarray, own: np.ndarray, table: np.ndarray, rows: np.ndarray,
+            out: np.ndarray | None) -> Iterator[tuple[slice, np.ndarray]]:
+    """In blocks of ``HELD`` rows: the own row of ``start`` with a row of ``table`` for each feature, added or multiplied."""
     room, part = np.empty((2, HELD, WIDTH), np.float32)
     for at in range(0, len(own), HELD):
         places = slice(at, min(at + HELD, len(own)))
         n = places.stop - at
-        logits = room[:n] if out is None else out[places]
-        np.take(bias, own[places], axis=0, out=logits, mode="clip")  # no index is outside; "raise" would copy
+        held = room[:n] if out is None else out[places]
+        start.take(own[places], axis=0, out=held, mode="clip")  # no index is outside; "raise" would copy
         for r in rows:
-            np.take(weights, r[places], axis=0, out=part[:n], mode="clip")
-            logits += part[:n]
+            table.take(r[places], axis=0, out=part[:n], mode="clip")
+            join(held, part[:n], out=held)
+        yield places, held
+
+
+def _reach(weights: np.ndarray) -> float:
+    return float(max(weights.max(), -weights.min()))
+
+
+def _logits(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray, out: np.ndarray | None = None,
+            part: slice = slice(None)) -> Iterator[tuple[slice, np.ndarray]]:
+    """(2 x targets, 64), or a part of it, in blocks of ``HELD`` rows: of the classes, then of the units of each target's class.
+
+    They are lessened by the greatest of a row where weights are so large that exponentials might not fit; elsewhere
+    a row's greatest logit is between -65 and 60, as the biases are logarithms of 64 shares."""
+    own = np.r_[np.zeros_like(classes), classes + 1][part]
+    large = len(rows) * _reach(weights) > 60
+    for places, logits in _joined(np.add, model.biases(), own, weights, rows[:, part], out):
         if large:
             logits -= logits.max(axis=1, keepdims=True)
         yield places, logits
 
 
+class Powers:
+    """Exponentials of weights, kept beside them: a logit's exponential is the product of those of its bias and weights."""
+
+    def __init__(self, model: Model, weights: np.ndarray):
+        biases = model.biases()
+        self.weights, self.powers, self.biases = weights, np.empty_like(weights), np.exp(biases)
+        self.renew(slice(None))
+        self.reach, self.most = _reach(weights), min(60, 85 + float(biases.min()))
+
+    def renew(self, places: slice) -> None:
+        """After a change of these rows of weights; what does not fit is not used."""
+        with np.errstate(over="ignore"):
+            np.exp(self.weights[places], out=self.powers[places])
+
+    def fit(self, n: int) -> bool:
+        """Whether products of ``n`` rows and a bias are surely normal numbers."""
+        if n * self.reach > self.most:  # ``reach`` may be a bound
+            self.reach = _reach(self.weights)
+        return n * self.reach <= self.most
+
+
+def _shares(model: Model, powers: Powers, rows: np.ndarray, classes: np.ndarray, out: np.ndarray | None = None,
+            part: slice = slice(None)) -> Iterator[tuple[slice, np.ndarray]]:
+    """Exponentials of ``_logits``."""
+    own = np.r_[np.zeros_like(classes), classes + 1][part]
+    yield from _joined(np.multiply, powers.biases, own, powers.powers, rows[:, part], out)
+
+
 def log_probabilities(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Natural logarithms of the same shape."""
     out = np.empty((2 * len(classes), WIDTH), np.float32)
@@ -313,23 +366,39 @@ def log_probabilities(model: Model, weights: np.ndarray, rows: np.ndarray, class
     return out
 
 
-def target_log_probability(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray, units: np.ndarray) -> np.ndarray:
-    """Natural logarithm of each target's class and unit together."""
+_ONES = np.ones(WIDTH, np.float32)
+
+
+def target_log_probability(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray, units: np.ndarray,
+                           powers: Powers | None = None) -> np.ndarray:
+    """Natural logarithm of each target's class and unit together; ``powers`` are those of the weights."""
     wanted, both = np.r_[classes, units], np.empty(2 * len(classes))
-    for places, logits in _logits(model, weights, rows, classes):
-        own = logits[np.arange(len(logits)), wanted[places]].astype(np.float64)
-        np.exp(logits, out=logits)
-        both[places] = own - np.log(logits.sum(axis=1), dtype=np.float64)
+    wanted += WIDTH * (np.arange(len(wanted)) % HELD)  # place in the block
+    if powers is not None and powers.fit(len(rows)):
+        for places, shares in _shares(model, powers, rows, classes):
+            own = shares.ravel().take(wanted[places])
+            both[places] = np.log(own, dtype=np.float64) - np.log(shares @ _ONES, dtype=np.float64)
+    else:
+        for places, logits in _logits(model, weights, rows, classes):
+            own = logits.ravel().take(wanted[places]).astype(np.float64)
+            np.exp(logits, out=logits)
+            both[places] = own - np.log(logits @ _ONES, dtype=np.float64)
     return both[:len(classes)] + both[len(classes):]
 
 
-def _errors(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray, units: np.ndarray) -> np.ndarray:
-    """Probabilities less one at the targets."""
-    out = np.empty((2 * len(classes), WIDTH), np.float32)
-    for _, logits in _logits(model, weights, rows, classes, out):
-        np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-    out[np.arange(len(out)), np.r_[classes, units]] -= 1.0
+def _errors(model: Model, weights: np.ndarray, rows: np.ndarray, classes: np.ndarray, units: np.ndarray,
+            powers: Powers | None = None, out: np.ndarray | None = None, part: slice = slice(None)) -> np.ndarray:
+    """Probabilities less one at the targets, or a part of these rows; ``powers`` are those of the weights."""
+    wanted = np.r_[classes, units][part]
+    out = np.empty((len(wanted), WIDTH), np.float32) if out is None else out[:len(wanted)]
+    wanted += WIDTH * (np.arange(len(wanted)) % HELD)  # place in the block
+    ready = powers is not None and powers.fit(len(rows))
+    blocks = _shares(model, powers, rows, classes, out, part) if ready else _logits(model, weights, rows, classes, out, part)
+    for places, shares in blocks:
+        if not ready:
+            np.exp(shares, out=shares)
+        shares *= (1 / (shares @ _ONES))[:, None]
+        shares.reshape(-1)[wanted[places]] -= 1.0
     return out
 
 
@@ -338,30 +407,29 @@ def sums_by_key(values: np.ndarray, places: np.ndarray, keys: np.ndarray, out: n
 
     Up to ``FAN`` rows of a key are added at a time, in blocks of sums that stay in the cache; the sums of a key are added in turn."""
     out[:] = 0
-    room = np.empty((HELD, WIDTH), np.float32)
+    total, room = np.empty((2, HELD, WIDTH), np.float32)
     while len(keys):
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         length = np.diff(np.r_[first, len(keys)])
         parts = -(-length // FAN)
         begin = np.repeat(first - FAN * (np.cumsum(parts) - parts), parts) + FAN * np.arange(parts.sum())
         size = np.minimum(np.repeat(first + length, parts) - begin, FAN)
+        met = np.repeat(keys[first], parts)
+        several = np.repeat(parts > 1, parts)
+        slot = np.cumsum(several) - 1
+        pieces = np.empty((int(several.sum()), WIDTH), np.float32)
         order = np.argsort((FAN - size).astype(np.uint16), kind="stable")  # longest first
-        sums = np.empty((len(order), WIDTH), np.float32)
         for at in range(0, len(order), HELD):
             some = order[at:at + HELD]
-            start, total, shorter = begin[some], sums[at:at + HELD], -size[some]
-            np.take(values, places[start], axis=0, out=total, mode="clip")
-            for j in range(1, -int(shorter[0])):
-                n = int(np.searchsorted(shorter, -j))  # those of more than j rows
-                np.take(values, places[start[:n] + j], axis=0, out=room[:n], mode="clip")
-                total[:n] += room[:n]
-        met = np.repeat(keys[first], parts)
-        alone = np.repeat(parts == 1, parts)
-        done = alone[order]
-        out[met[order[done]]] = sums[done]
-        where = np.empty(len(order), np.int64)
-        where[order] = np.arange(len(order))
-        values, places, keys = sums, where[~alone], met[~alone]
+            start, held, shorter = begin[some], total[:len(some)], -size[some]
+            values.take(places[start], axis=0, out=held, mode="clip")
+            for j, n in enumerate(np.searchsorted(shorter, -np.arange(1, -int(shorter[0]))).tolist(), 1):  # those of more than j rows
+                values.take(places[start[:n] + j], axis=0, out=room[:n], mode="clip")
+                np.add(held[:n], room[:n], out=held[:n])
+            out[met[some]] = held  # the next turn writes keys of several parts again
+            again = np.flatnonzero(several[some])
+            pieces[slot[some[again]]] = held[again]
+        values, places, keys = pieces, np.arange(len(pieces)), met[several]
 
 
 def _train(batches: Iterator[pa.RecordBatch], shared, rate: float) -> Iterator[pa.RecordBatch]:
@@ -369,22 +437,32 @@ def _train(batches: Iterator[pa.RecordBatch], shared, rate: float) -> Iterator[p
     model = shared.value
     reader = Reader(model)
     weights, squares = model.weights.copy(), np.ones(model.weights.shape, np.float32)
-    met, gradient = np.zeros(2 * ROWS, np.int64), np.empty(weights.shape, np.float32)
+    powers = Powers(model, weights)
+    met, gradient, room = np.zeros(2 * ROWS, np.int64), np.empty((ROWS, WIDTH), np.float32), np.empty((2 * STEP, WIDTH), np.float32)
     documents = (d for batch in batches for d in reader.documents(utf8(batch.column(0))))
     for symbols, place, _ in chunks(documents, reader.gap, STEP):
         classes, units = reader.targets(symbols[place])
         rows = features(symbols, place, classes)
-        error = _errors(model, weights, rows, classes, units)
-        every = rows.ravel()
-        order = np.argsort(every.astype(np.uint16), kind="stable")
-        sums_by_key(error, order % rows.shape[1], every[order], gradient)
-        for at in range(0, 2 * ROWS, BLOCK):
-            g, s = gradient[at:at + BLOCK], squares[at:at + BLOCK]
-            s += g * g
-            g /= np.sqrt(s)
-            g *= rate
-            weights[at:at + BLOCK] -= g
-        met += np.bincount(every, minlength=2 * ROWS)
+        n = len(classes)
+        # tokens of like history side by side: their rows of weights, and of errors, are then near each other
+        order = np.argsort(rows[1, :n].astype(np.uint16), kind="stable")
+        order = order[np.argsort(rows[0, order].astype(np.uint16), kind="stable")]
+        classes, units, rows = classes[order], units[order], rows[:, np.r_[order, order + n]]
+        for first, part in (0, slice(0, n)), (ROWS, slice(n, 2 * n)):  # the softmaxes share no weights
+            error = _errors(model, weights, rows, classes, units, powers, room, part)
+            every = rows[:, part].ravel()
+            order = np.argsort(every.astype(np.uint16), kind="stable")
+            sums_by_key(error, order % n, every[order] - first, gradient)
+            for at in range(0, ROWS, BLOCK):
+                places = slice(first + at, first + at + BLOCK)
+                g, s = gradient[at:at + BLOCK], squares[places]
+                s += g * g
+                g /= np.sqrt(s)
+                g *= rate
+                weights[places] -= g
+                powers.renew(places)
+            met += np.bincount(every, minlength=2 * ROWS)
+        powers.reach += rate  # no weight changes by more
     weights -= model.weights
     for at in range(0, 2 * ROWS, BLOCK):
         n = met[at:at + BLOCK]
@@ -436,7 +514,7 @@ _PARTS = ("row bigint, doc_id bigint, token string, tf bigint, unknown double, "
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """Of each document one row with what the head decides, and one row per distinct tail token."""
     model = shared.value
-    reader, n_head = Reader(model), len(model.head)
+    reader, n_head, powers = Reader(model), len(model.head), Powers(model, model.weights)
     log_count = np.log10(model.head_count + 1)
     context = TaskContext.get()
     row = (context.partitionId() if context else 0) << 40
@@ -449,7 +527,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         for part, place, owner in chunks(iter(symbols), reader.gap):
             target = part[place]
             classes, units = reader.targets(target)
-            log_p = target_log_probability(model, model.weights, features(part, place, classes), classes, units) * to_ten
+            log_p = target_log_probability(model, model.weights, features(part, place, classes), classes, units, powers) * to_ten
             tail = target >= n_head
             log_p[~tail] += model.log_share[target[~tail]]
             log_p[tail] -= model.log_tail_total[target[tail] - n_head]

@@ -200,3 +200,71 @@ def test_large_weights_stay_finite_and_logits_are_held_in_blocks(fitted):
         assert np.abs(L.log_probabilities(model, weights, rows, classes) - log_p).max() < 1e-4 * max(1, scale)
         assert np.isfinite(L._errors(model, weights, rows, classes, units)).all()
     assert max(len(x) for _, x in L._logits(model, weights, rows, classes)) == L.HELD
+
+
+def drawn(model, scale, n=3 * L.HELD // 2):
+    rng = np.random.default_rng(3)
+    symbols, classes, units = rng.integers(0, 500, n + 3), rng.integers(0, 64, n), rng.integers(0, 64, n)
+    weights = (rng.normal(size=model.weights.shape) * scale).astype(np.float32)
+    return weights, L.features(symbols, np.arange(3, n + 3), classes), classes, units
+
+
+def test_scoring_takes_no_exponentials_for_each_token(fitted, monkeypatch):
+    model, taken, exp = fitted[2], [], np.exp
+    monkeypatch.setattr(L.np, "exp", lambda x, **k: (taken.append(np.size(x)), exp(x, **k))[1])
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some words of a text " * 20_000]})
+    assert list(L._score(iter([batch]), type("Shared", (), {"value": model})))
+    assert sum(taken) <= model.weights.size + (L.CLASSES + 1) * L.WIDTH < 100_000 * 2 * L.WIDTH
+
+
+def test_products_of_exponentials_are_the_exponentials_of_sums(fitted):
+    model = fitted[2]
+    for scale, fit in ((0.1, True), (2.0, True), (4.0, False), (100, False)):
+        weights, rows, classes, units = drawn(model, scale)
+        powers = L.Powers(model, weights)
+        assert powers.fit(len(rows)) == fit
+        got, want = (L.target_log_probability(model, weights, rows, classes, units, p) for p in (powers, None))
+        assert np.isfinite(got).all() and np.abs(got - want).max() < 1e-5 * max(1, scale)
+        want, n = L._errors(model, weights, rows, classes, units), len(classes)
+        for part in slice(0, n), slice(n, 2 * n):
+            got = L._errors(model, weights, rows, classes, units, powers, np.empty((4 * n, L.WIDTH), np.float32), part)
+            assert np.abs(got - want[part]).max() < 1e-5
+
+
+def test_a_bound_of_the_weights_is_replaced_by_the_weights_themselves(fitted):
+    model = fitted[2]
+    powers = L.Powers(model, np.full_like(model.weights, -3))
+    powers.reach = 1000.0
+    assert powers.fit(4) and powers.reach == 3
+    powers.weights[5, 5] = 20
+    powers.reach = 20.0
+    assert not powers.fit(4)
+
+
+def test_training_is_gradient_steps_of_all_tokens(fitted, monkeypatch):
+    model = L.fit_head(fitted[1])
+    model.weights[:] = np.random.default_rng(4).normal(size=model.weights.shape) / 4
+    monkeypatch.setattr(L, "STEP", 64)
+    texts = ["the cat sat on the mat and the dog sat on the cat " * 3, "", None, "one two three two one " * 30]
+    reader = L.Reader(model)
+    weights, squares, met = model.weights.astype(np.float64), np.ones(model.weights.shape), np.zeros(2 * L.ROWS, int)
+    for symbols, place, _ in L.chunks(reader.documents([(t or "").encode() for t in texts]), reader.gap, L.STEP):
+        classes, units = reader.targets(symbols[place])
+        rows = L.features(symbols, place, classes)
+        logits = np.concatenate([np.broadcast_to(model.class_bias, (len(classes), 64)), model.unit_bias[classes]]) + weights[rows].sum(axis=0)
+        error = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+        error[np.arange(len(error)), np.r_[classes, units]] -= 1
+        gradient = np.zeros(weights.shape)
+        for r in rows:
+            np.add.at(gradient, r, error)
+            np.add.at(met, r, 1)
+        squares += gradient ** 2
+        weights -= 0.5 * gradient / np.sqrt(squares)
+    start, got, times = model.weights.copy(), np.zeros(weights.shape), np.zeros(2 * L.ROWS, int)
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    for b in L._train(iter([batch]), type("Shared", (), {"value": model}), 0.5):
+        for r in b.to_pylist():
+            got[r["block"]:r["block"] + L.BLOCK] = np.frombuffer(r["change"], np.float32).reshape(L.BLOCK, -1)
+            times[r["block"]:r["block"] + L.BLOCK] = np.frombuffer(r["met"], np.int64)
+    assert (times == met).all() and met.sum() > 1000 and (model.weights == start).all()
+    assert np.abs(got - (weights - start)).max() < 1e-5
