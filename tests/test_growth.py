@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from logweave.operators import clusters as C
 from logweave.operators import features as V
 from logweave.operators import learn as L
+from logweave.operators.split import split
+from logweave.plans import jobs as J
 
 
 def plan(df):
@@ -31,6 +33,50 @@ def test_positions_of_few_values_are_not_shuffled(spark, monkeypatch):
     assert [r.f for r in V.encode_ordinal(df, d.limit(0), "cats", "f", n_positions=1).select("f").distinct().collect()] == [[0.0]]
 
 
+def test_few_strings_are_looked_up_without_a_join(spark, monkeypatch):
+    rows = [(i, None if i == 7 else ["a" if i % 9 else "b", None if i % 4 == 0 else f"u{i % 30}", "é" if i % 2 else ""][:1 + i % 3]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, cats array<string>")
+    d = V.category_dictionary(df.where("id < 20"), "cats")
+    got = V.encode_ordinal(df, d, "cats", "f", -1.0, 4)
+    assert "Join" not in plan(got)
+    monkeypatch.setattr(V, "LITERAL_VALUES", -1, raising=False)
+    joined = V.encode_ordinal(df, d, "cats", "f", -1.0, 4)
+    assert "Join" in plan(joined)
+    want = {r.id: r.f for r in joined.collect()}
+    assert {r.id: r.f for r in got.collect()} == want and len(want) == 300
+    # a value that a dictionary holds twice gives a row each
+    monkeypatch.setattr(V, "LITERAL_VALUES", 32, raising=False)
+    twice = d.union(d.where("position = 0 and value = 'b'"))
+    assert V.encode_ordinal(df.where("id = 9"), twice, "cats", "f", -1.0, 3).count() == 2
+    numbers = spark.createDataFrame([(0, 5, 3), (0, 6, 4)], "position int, value int, idx long")
+    assert [r.f for r in V.encode_ordinal(spark.createDataFrame([([6, 5],)], "cats array<int>"), numbers, "cats", "f", n_positions=1).collect()] == [[4.0]]
+
+
+def test_click_lines_are_parsed_once(spark):
+    rng = random.Random(4)
+    rows = [f"{i}-1,{rng.randrange(2)},x,y,z," + ",".join(f"{'abc'[(i + j) % 3]}{j}" for j in range(10)) + f",{rng.randrange(9)},-{i % 5}" for i in range(200)]
+    bad = [None, "", "7-2,q,x", rows[0].replace("0-1", "300-1") + ",none", "301-1,1"]
+    lines = spark.createDataFrame([(r,) for r in rows + bad], "line string")
+    train, test = J.click_parts(lines)
+    for part in (train, test):  # the parts read written fields, not the lines
+        assert "split(" not in plan(part) and "Scan parquet" in plan(part) and "md5" not in plan(part) and "Join" not in plan(part)
+    want = split(spark.createDataFrame([(r.split(",")[0],) for r in [*rows, bad[-1]]], "id string"), [0.8, 0.2], "id", 1)
+    for part, ids in zip((train, test), want):
+        assert sorted(r.id for r in part.collect()) == sorted(r.id for r in ids.collect())
+    fields = {r.id: (r.label, r.cats, r.nums) for r in train.union(test).collect()}
+    assert fields["3-1"] == (float(rows[3].split(",")[1]), rows[3].split(",")[5:15], [float(rows[3].split(",")[15]), 0.0])
+    assert fields["301-1"] == (1.0, [], [])
+
+
+def test_losses_of_the_training_rows_need_no_second_binning(spark, monkeypatch):
+    df, made, groups = boosting_rows(spark, 800), [], L.binned_groups
+    monkeypatch.setattr(L, "binned_groups", lambda *a: made.append(1) or groups(*a))
+    model = L.gbt(df, iters=3, depth=3)
+    losses = model.evaluateEachIteration(df)
+    assert len(made) == 1
+    assert losses == pytest.approx(model.evaluateEachIteration(df.select("*")), abs=1e-12) and len(made) == 2
+
+
 def boosting_rows(spark, n=3000):
     rng = random.Random(3)
     rows = [(i, [float(rng.randrange(4)), rng.gauss(0, 1), float(rng.randrange(60)), 5.0], 0.0) for i in range(n)]
